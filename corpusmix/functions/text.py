@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -48,22 +49,22 @@ def first_usable(df: DataFrame, names: Iterable[str]) -> Column:
     return F.coalesce(*present, F.lit("")) if present else F.lit("")
 
 
-def fill(template: str, **slots: Column) -> Column:
-    """``template`` with each ``{slot}`` replaced by a column, as one ``concat``."""
-    parts: list[Column] = []
-    rest = template
-    while rest:
-        hits = [(rest.find("{" + name + "}"), name) for name in slots]
-        hits = [hit for hit in hits if hit[0] >= 0]
-        if not hits:
-            parts.append(F.lit(rest))
-            break
-        at, name = min(hits)
-        if at:
-            parts.append(F.lit(rest[:at]))
-        parts.append(slots[name])
-        rest = rest[at + len(name) + 2 :]
-    return F.concat(*parts) if parts else F.lit("")
+def quoted(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
+
+
+def fill_sql(template: str, **slots: str) -> str:
+    """``template`` with each ``{slot}`` replaced by a SQL expression, as one ``concat``."""
+    names = "|".join(re.escape(name) for name in slots)
+    pieces = re.split("{(" + names + ")}", template)
+    parts = [slots[piece] if at % 2 else quoted(piece) for at, piece in enumerate(pieces)]
+    return f"concat({', '.join(part for part in parts if part != quoted(''))})"
+
+
+def fill(template: str, **slots: str) -> Column:
+    return F.expr(fill_sql(template, **slots))
 
 
 def pair_hash(source: Column, target: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmix.functions import fixed_values as fixed
-from corpusmix.functions.text import first_usable, strip
+from corpusmix.functions.text import first_usable, quoted, strip
 from corpusmix.functions.tokens import Tokenizer
 
 
@@ -43,23 +43,17 @@ def map_bitext(df: DataFrame) -> DataFrame:
 
 def drop_blank(df: DataFrame, left: str = "source_text", right: str = "target_text") -> DataFrame:
     """Keep rows whose two texts are both non-empty."""
-    return df.where((F.col(left) != "") & (F.col(right) != ""))
+    return df.where(f"{left} <> '' AND {right} <> ''")
 
 
-def direction_record(
-    position: int, direction: str, english: Column, welsh: Column, *extra: Column
-) -> Column:
-    """One flat translation record as a struct; ``extra`` fields are appended."""
+def direction_struct(position: int, direction: str, sides: dict[str, str], extra: str = "") -> str:
+    """SQL for one flat translation record; ``sides`` names the column of each language."""
     source, target = direction.split("-")
-    side = {"en": english, "cy": welsh}
-    return F.struct(
-        F.lit(fixed.TASK_TRANSLATION).alias("task"),
-        side[source].alias("source_text"),
-        side[target].alias("target_text"),
-        F.lit(source).alias("source_lang_code"),
-        F.lit(target).alias("target_lang_code"),
-        F.lit(position).alias("emit_ord"),
-        *extra,
+    return (
+        f"named_struct('task', {quoted(fixed.TASK_TRANSLATION)}, "
+        f"'source_text', {sides[source]}, 'target_text', {sides[target]}, "
+        f"'source_lang_code', '{source}', 'target_lang_code', '{target}', "
+        f"'emit_ord', {position}{extra})"
     )
 
 
@@ -70,21 +64,17 @@ def expand_directions(pairs: DataFrame, directions: Iterable[str]) -> DataFrame:
     records get them as ``src_len`` and ``tgt_len``: each side is counted once,
     although two directions use it twice.
     """
-    measured = "en_len" in pairs.columns
+    columns = pairs.columns
     records = []
     for position, direction in enumerate(directions):
         source, target = direction.split("-")
-        lengths = (
-            (F.col(f"{source}_len").alias("src_len"), F.col(f"{target}_len").alias("tgt_len"))
-            if measured
-            else ()
-        )
-        records.append(
-            direction_record(position, direction, F.col("en_text"), F.col("cy_text"), *lengths)
-        )
-    sides = {"en_text", "cy_text", "en_len", "cy_len"}
-    kept = [name for name in pairs.columns if name not in sides]
-    return drop_blank(pairs, "en_text", "cy_text").select(*kept, F.inline(F.array(*records)))
+        lengths = f", 'src_len', {source}_len, 'tgt_len', {target}_len"
+        extra = lengths if "en_len" in columns else ""
+        sides = {"en": "en_text", "cy": "cy_text"}
+        records.append(direction_struct(position, direction, sides, extra))
+    kept = [name for name in columns if name not in {"en_text", "cy_text", "en_len", "cy_len"}]
+    expanded = F.expr(f"inline(array({', '.join(records)}))")
+    return drop_blank(pairs, "en_text", "cy_text").select(*kept, expanded)
 
 
 def translation_records(

@@ -67,8 +67,8 @@ def measured_text() -> Column:
     """The text whose tokens the length analysis counts, the same for both tasks."""
     return fill(
         fixed.MEASURED_TEXT,
-        source=F.coalesce(F.col("source_text"), F.lit("")),
-        target=F.coalesce(F.col("target_text"), F.lit("")),
+        source="coalesce(source_text, '')",
+        target="coalesce(target_text, '')",
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmix.functions import fixed_values as fixed
-from corpusmix.functions.text import column, fill, is_missing, keyed_hash, pick, strip
-from corpusmix.operators.bitext import direction_record
+from corpusmix.functions.text import column, fill_sql, is_missing, keyed_hash, pick, quoted, strip
+from corpusmix.operators.bitext import direction_struct
 
 
 def _field(df: DataFrame, name: str) -> Column:
@@ -52,30 +52,26 @@ def dictionary_terms(df: DataFrame) -> DataFrame:
     )
 
 
-def _question_record(
+def _question_struct(
     position: int,
     direction: str,
     templates: Sequence[tuple[str, str]],
     definition: str,
     full: str,
-    seed: object,
-) -> Column:
-    """A struct with one of the templates filled in, chosen by the row's own hash."""
-    choice = pick(keyed_hash(f"{seed}/{direction}", F.col("order_key")), len(templates))
-    slots = {"en": F.col("en"), "cy": F.col("cy"), "definition": F.col(full)}
+) -> str:
+    """SQL for one question record; column ``pick_<source>`` says which template is used."""
     source, target = direction.split("-")
+    slots = {"en": "en", "cy": "cy", "definition": full}
 
-    def chosen(side: int) -> Column:
-        return F.get(F.array(*[fill(template[side], **slots) for template in templates]), choice)
-
-    return F.struct(
-        F.lit(fixed.TASK_INSTRUCTION).alias("task"),
-        chosen(0).alias("source_text"),
-        chosen(1).alias("target_text"),
-        F.lit(source).alias("source_lang_code"),
-        F.lit(target).alias("target_lang_code"),
-        F.lit(position).alias("emit_ord"),
-        (~is_missing(F.col(definition))).alias("_present"),
+    def chosen(side: int) -> str:
+        texts = ", ".join(fill_sql(template[side], **slots) for template in templates)
+        return f"get(array({texts}), pick_{source})"
+
+    return (
+        f"named_struct('task', {quoted(fixed.TASK_INSTRUCTION)}, "
+        f"'source_text', {chosen(0)}, 'target_text', {chosen(1)}, "
+        f"'source_lang_code', '{source}', 'target_lang_code', '{target}', "
+        f"'emit_ord', {position}, '_present', has_{definition})"
     )
 
 
@@ -88,23 +84,24 @@ def dictionary_records(
     there is a Welsh definition, then one about the English term if there is an
     English definition. The questions do not depend on ``directions``.
     """
-    terms = dictionary_terms(df)
-    always = F.lit(True).alias("_present")
+    hashes = {code: keyed_hash(f"{seed}/{code}", F.col("order_key")) for code in ("en", "cy")}
+    terms = dictionary_terms(df).select(
+        "*",
+        pick(hashes["en"], len(fixed.EN_TO_CY_TEMPLATES)).alias("pick_en"),
+        pick(hashes["cy"], len(fixed.CY_TO_EN_TEMPLATES)).alias("pick_cy"),
+        (~is_missing(F.col("en_def"))).alias("has_en_def"),
+        (~is_missing(F.col("cy_def"))).alias("has_cy_def"),
+    )
     records = [
-        direction_record(position, direction, F.col("en"), F.col("cy"), always)
+        direction_struct(position, direction, {"en": "en", "cy": "cy"}, ", '_present', true")
         for position, direction in enumerate(directions)
     ]
-    records.append(
-        _question_record(
-            len(records), "en-cy", fixed.EN_TO_CY_TEMPLATES, "cy_def", "cy_full", seed
-        )
-    )
-    records.append(
-        _question_record(
-            len(records), "cy-en", fixed.CY_TO_EN_TEMPLATES, "en_def", "en_full", seed
-        )
-    )
-    emitted = terms.select("order_key", F.inline(F.array(*records)))
+    at = len(records)
+    records += [
+        _question_struct(at, "en-cy", fixed.EN_TO_CY_TEMPLATES, "cy_def", "cy_full"),
+        _question_struct(at + 1, "cy-en", fixed.CY_TO_EN_TEMPLATES, "en_def", "en_full"),
+    ]
+    emitted = terms.select("order_key", F.expr(f"inline(array({', '.join(records)}))"))
     return emitted.where("_present").drop("_present")
 
 

@@ -31,9 +31,9 @@ def translation_prompt(template: str = TRANSLATION_TEMPLATE) -> Column:
     check_template(template)
     return fill(
         template,
-        source_lang_code=F.col("source_lang_code"),
-        target_lang_code=F.col("target_lang_code"),
-        text=F.col("source_text"),
+        source_lang_code="source_lang_code",
+        target_lang_code="target_lang_code",
+        text="source_text",
     )
 
 
