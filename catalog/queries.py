@@ -405,12 +405,7 @@ def packing_plan(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, tables: str) -> DataFrame:
-    rows = prepared.in_row_order(dedup.keep_first(_hashed_pool(spark, tables)))
-    lengths = rows.select(
-        "pair_hash",
-        "order_key",
-        PatternTokenizer().count(budget.measured_text()).alias("total_tokens"),
-    )
+    lengths = prepared.row_lengths(dedup.keep_first(_hashed_pool(spark, tables)))
     return packing.packing_plan(lengths)
 
 

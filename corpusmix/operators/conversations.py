@@ -15,8 +15,10 @@ from corpusmix.functions.text import first_usable, strip
 def _content_text(content: Column, kind: T.DataType) -> Column:
     """Turn content as text; a list of parts is joined by blanks."""
     if isinstance(kind, T.ArrayType):
-        if isinstance(kind.elementType, T.StructType):
-            content = F.transform(content, lambda part: part["text"])
+        part_kind = kind.elementType
+        if isinstance(part_kind, T.StructType):
+            has_text = "text" in part_kind.fieldNames()
+            content = F.transform(content, lambda part: part["text"] if has_text else F.to_json(part))
         return F.array_join(content, " ")
     return content.cast("string")
 

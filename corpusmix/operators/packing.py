@@ -41,13 +41,16 @@ def packing_plan(
     length: str = "total_tokens",
     block_tokens: int = fixed.MAX_TOKENS,
 ) -> DataFrame:
-    """Add ``first_block`` and ``last_block`` to each row; blocks are cut every ``block_tokens``."""
+    """Add ``first_block`` and ``last_block`` to each row; blocks are cut every ``block_tokens``.
+
+    ``lengths`` is read twice, so it should be a written table of these narrow
+    columns, or texts are tokenised twice. Rows without tokens take no place.
+    """
     placed = token_offsets(lengths.where(F.col(length) > 0), order_key, length)
-    last_token = F.col("start_token") + F.col(length) - 1
     return placed.select(
         "*",
-        F.floor(F.col("start_token") / block_tokens).cast("bigint").alias("first_block"),
-        F.floor(last_token / block_tokens).cast("bigint").alias("last_block"),
+        F.expr(f"start_token div {block_tokens}").alias("first_block"),
+        F.expr(f"(start_token + {length} - 1) div {block_tokens}").alias("last_block"),
     )
 
 

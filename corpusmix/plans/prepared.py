@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmix.functions import fixed_values as fixed
 from corpusmix.functions.text import keyed_hash
 from corpusmix.functions.tokens import PatternTokenizer, Tokenizer
-from corpusmix.operators.budget import total_lengths
+from corpusmix.operators.budget import measured_text, total_lengths
 from corpusmix.operators.evaluation import require_columns, translation_rows
+from corpusmix.operators.packing import packing_plan
 from corpusmix.operators.prompts import TRANSLATION_TEMPLATE, render
 from corpusmix.operators.reports import length_statistics
 from corpusmix.operators.selection import first_rows, fraction_quota, take_exact
+from corpusmix.session import materialize
 from corpusmix.sources.readers import read_prepared, resolve_held_out_split, resolve_split
 
 ROW_SEED = f"{fixed.SEED}/rows"
@@ -41,6 +43,24 @@ def analyse_lengths(
     return length_statistics(total_lengths(rows, tokenizer))
 
 
+def row_lengths(df: DataFrame, tokenizer: Tokenizer = PatternTokenizer()) -> DataFrame:
+    """``pair_hash, order_key, total_tokens`` as a written table, for several passes."""
+    ordered = in_row_order(df)
+    total = tokenizer.count(measured_text()).alias("total_tokens")
+    return materialize(ordered.select("pair_hash", "order_key", total), "row_lengths")
+
+
+def plan_packing(
+    spark: SparkSession,
+    path: str,
+    block_tokens: int = fixed.MAX_TOKENS,
+    tokenizer: Tokenizer = PatternTokenizer(),
+) -> DataFrame:
+    """The token blocks of the training rows, laid end to end in row order."""
+    lengths = row_lengths(read_prepared(spark, path, "train"), tokenizer)
+    return packing_plan(lengths, block_tokens=block_tokens)
+
+
 def training_rows(
     spark: SparkSession,
     path: str,
