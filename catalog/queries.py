@@ -9,6 +9,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import catalog
+import corpusmix
 from catalog import bindings
 from corpusmix.functions import fixed_values as fixed
 from corpusmix.functions.text import strip
@@ -28,7 +30,7 @@ from corpusmix.operators import (
 )
 from corpusmix.operators.bitext import drop_blank, map_bitext, translation_records
 from corpusmix.plans import corpus, prepared
-from corpusmix.session import materialize, stage_path
+from corpusmix.session import materialize, ship_packages, stage_path
 from corpusmix.sources.readers import read_json_lines, read_prepared, with_order_key
 from corpusmix.sources.sinks import write_json_lines, write_prepared
 
@@ -265,6 +267,7 @@ class WordTokenizer:
 
 def batch_tokenizer_lengths(spark: SparkSession, tables: str) -> DataFrame:
     """The same lengths from a tokenizer object that runs on Arrow batches."""
+    ship_packages(spark, corpusmix, catalog)
     pairs = _source(spark, tables, "document_pairs")
     tokenizer = BatchTokenizer(WordTokenizer)
     return _bucketed(translation_records(pairs, fixed.DIRECTIONS, tokenizer))
@@ -465,6 +468,7 @@ def _score_batch(model: LengthGap, batch: pd.DataFrame) -> pd.DataFrame:
 
 def batch_scorer(spark: SparkSession, tables: str) -> DataFrame:
     """A caller's scoring object over all rows, in Arrow batches."""
+    ship_packages(spark, corpusmix, catalog)
     rows = _predictions(spark, tables).select(
         "row_id", F.col("source_text").alias("source"), "hypothesis"
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +71,24 @@ def pin_small(df: DataFrame, limit: int = 10_000) -> DataFrame:
     if head.num_rows > limit:
         return df
     return df.sparkSession.createDataFrame(head, schema=df.schema)
+
+
+def ship_packages(spark: SparkSession, *packages: ModuleType) -> None:
+    """Send packages to the Python workers, once per session.
+
+    Needed only for the slots that run a caller's Python on the executors, and
+    only where the cluster does not have the packages installed.
+    """
+    for package in packages:
+        folder = os.path.dirname(os.path.abspath(package.__file__))
+        archive = f"{package.__name__}-{spark.sparkContext.applicationId}.zip"
+        if archive in {os.path.basename(path) for path in spark.sparkContext.listFiles}:
+            continue
+        path = os.path.join(tempfile.mkdtemp(prefix="corpusmix-"), archive)
+        with zipfile.ZipFile(path, "w") as packed:
+            for where, _, names in os.walk(folder):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(where, name)
+                        packed.write(full, os.path.relpath(full, os.path.dirname(folder)))
+        spark.sparkContext.addPyFile(path)

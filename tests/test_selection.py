@@ -1,0 +1,115 @@
+import random
+import statistics
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from corpusmix.functions.frames import emit_copies
+from corpusmix.functions.text import keyed_hash
+from corpusmix.operators import selection
+from corpusmix.session import pin_small
+
+
+def numbered(spark, count, groups=3):
+    """Rows in groups of uneven size: the first group has about two thirds."""
+    group = F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % groups)
+    return spark.range(count).select(
+        group.cast("int").alias("g"), "id", keyed_hash(1, F.col("id").cast("string")).alias("key")
+    )
+
+
+def brute(df, k_of, key="key", group="g"):
+    kept = []
+    data = df.collect()
+    for value in {row[group] for row in data}:
+        members = sorted((row for row in data if row[group] == value), key=lambda row: row[key])
+        kept += members[: k_of(value, len(members))]
+    return sorted((tuple(row) for row in kept), key=repr)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_take_exact_per_group_equals_sorting(spark, partitions):
+    df = numbered(spark, 900).repartition(partitions)
+    found = selection.take_exact(df, selection.fraction_quota(0.37), "key", ["g"])
+    assert rows(found) == brute(df, lambda _, n: int(n * 0.37))
+
+
+@pytest.mark.parametrize("k", [0, 1, 17, 500, 2000])
+def test_take_exact_of_everything(spark, k):
+    df = numbered(spark, 500)
+    found = selection.take_exact(df, selection.fixed_quota(k), "key")
+    assert rows(found) == sorted((tuple(r) for r in df.orderBy("key").limit(k).collect()), key=repr)
+    assert "row_number" not in found._jdf.queryExecution().toString()
+
+
+def test_quotas_that_drop_a_group(spark):
+    df = numbered(spark, 300)
+
+    def quota(counts):
+        return counts.withColumn("k", F.when(F.col("g") == 0, 0).otherwise(2).cast("bigint"))
+
+    assert rows(selection.take_exact(df, quota, "key", ["g"])) == brute(df, lambda g, _: 0 if g == 0 else 2)
+
+
+def test_a_quota_that_ends_among_copies(spark):
+    """A third of all rows are copies of one row, and the cut falls between them."""
+    data = [("hot", "00ff")] * 400 + [(f"r{n}", f"{n * 54:04x}") for n in range(1, 800)]
+    df = spark.createDataFrame(data, "v string, key string").repartition(6)
+    for k in (1, 2, 5, 100, 350, 400, 404, 405, 700, 1199):
+        found = [tuple(r) for r in selection.take_exact(df, selection.fixed_quota(k), "key").collect()]
+        expected = sorted(data, key=lambda row: row[1])[:k]
+        assert Counter(found) == Counter(expected), k
+
+
+def test_mark_first_moves_no_rows(spark):
+    df = numbered(spark, 400)
+    marked = selection.mark_first(df, selection.fraction_quota(0.5), "first", "key", ["g"])
+    assert rows(marked.where("first").drop("first")) == brute(df, lambda _, n: n // 2)
+    assert marked.count() == 400
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_many_groups_fall_back_to_a_shuffle_join(spark, monkeypatch):
+    monkeypatch.setattr(selection, "pin_small", lambda df, limit=5: pin_small(df, 5))
+    df = spark.range(600).select(
+        (F.col("id") % 40).cast("int").alias("g"), "id", keyed_hash(1, F.col("id").cast("string")).alias("key")
+    )
+    found = selection.take_exact(df, selection.fraction_quota(0.4), "key", ["g"])
+    assert rows(found) == brute(df, lambda _, n: int(n * 0.4))
+
+
+def test_first_rows(spark, monkeypatch):
+    df = numbered(spark, 300)
+    expected = sorted((tuple(r) for r in df.orderBy("key").limit(40).collect()), key=repr)
+    assert rows(selection.first_rows(df, 40, "key")) == expected
+    monkeypatch.setattr(selection, "SMALL_PREFIX", 10)
+    assert rows(selection.first_rows(df, 40, "key")) == expected
+
+
+def test_emit_copies(spark):
+    df = spark.createDataFrame([("a", 25_001), ("b", 1), ("c", 0), ("d", 10_000)], "v string, n bigint")
+    found = dict(tuple(r) for r in emit_copies(df, "n").groupBy("v").count().collect())
+    assert found == {"a": 25_001, "b": 1, "d": 10_000}
+
+
+@pytest.mark.parametrize("gathered", [1, 10, 1_000_000])
+def test_exact_medians(spark, gathered):
+    rng = random.Random(7)
+    data = [("even", v) for v in (1.0, 2.0, 3.0, 10.0)] + [("one", -4.5), ("none", None)]
+    data += [("same", 2.5)] * 50
+    data += [("far", rng.gauss(0, 1)) for _ in range(301)] + [("far", 1e12), ("far", -1e9)]
+    data += [("hot", 0.25)] * 200 + [("hot", rng.random()) for _ in range(300)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    found = dict(tuple(r) for r in selection.exact_medians(df, "v", ["g"], gathered).collect())
+    groups = {g for g, v in data if v is not None}
+    assert found == {g: statistics.median(v for h, v in data if h == g) for g in groups}
+
+
+def test_pin_small_gives_the_planner_a_size(spark):
+    df = spark.range(10).groupBy().count()
+    assert "LocalRelation" in pin_small(df)._jdf.queryExecution().analyzed().toString()
+    assert pin_small(df, 0) is df
