@@ -6,6 +6,8 @@ sides of a pair are called English and Welsh whatever they hold.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +52,9 @@ RECIPE = parse_recipe(
 )
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, tables: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the file once per session."""
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
 

@@ -163,6 +163,21 @@ SELECT 'instruction', dataset_source, source_ord, order_key, {FLAT}, emit_ord
 FROM instructions WHERE source_text <> '' AND target_text <> ''
 """
 
+VIEWS["usage_lines"] = """
+  SELECT 0 AS source_ord, 'translation' AS section, 'document_pairs' AS dataset_source, 1.0 AS usage,
+         (SELECT count(DISTINCT doc_id // 2) FROM documents) AS n
+  UNION ALL SELECT 1, 'translation', 'document_pairs_again', 0.35,
+         (SELECT count(DISTINCT doc_id // 2) FROM documents)
+  UNION ALL SELECT 3, 'dictionary', 'part_terms', 1.0, (SELECT count(*) FROM part)
+  UNION ALL SELECT 4, 'instruction', 'chats', 1.0,
+         (SELECT count(DISTINCT conv_id) FROM conversations)
+  UNION ALL SELECT 5, 'instruction', 'web_pages', 0.8, (SELECT count(*) FROM pages)
+  UNION ALL SELECT 6, 'instruction', 'texts_en', 1.0, (SELECT count(*) FROM documents WHERE lang = 'en')
+  UNION ALL SELECT 7, 'instruction', 'texts_fr', 1.0, (SELECT count(*) FROM documents WHERE lang = 'fr')
+  UNION ALL SELECT 8, 'instruction', 'texts_de', 1.0, (SELECT count(*) FROM documents WHERE lang = 'de')
+  UNION ALL SELECT 9, 'instruction', 'texts_es', 1.0, (SELECT count(*) FROM documents WHERE lang = 'es')
+"""
+
 # --- budget, duplicates, mix, split ----------------------------------------------
 
 PROMPT = f"""CASE task WHEN 'translation' THEN {
@@ -363,20 +378,7 @@ STATEMENTS: dict[str, str] = {
     "q01_recipe_active_sources": """
 SELECT source_ord::bigint AS source_ord, section, dataset_source, usage::double AS usage,
        n::bigint AS rows_available, floor(n * usage::double)::bigint AS source_rows_used
-FROM (
-  SELECT 0 AS source_ord, 'translation' AS section, 'document_pairs' AS dataset_source, 1.0 AS usage,
-         (SELECT count(DISTINCT doc_id // 2) FROM documents) AS n
-  UNION ALL SELECT 1, 'translation', 'document_pairs_again', 0.35,
-         (SELECT count(DISTINCT doc_id // 2) FROM documents)
-  UNION ALL SELECT 3, 'dictionary', 'part_terms', 1.0, (SELECT count(*) FROM part)
-  UNION ALL SELECT 4, 'instruction', 'chats', 1.0,
-         (SELECT count(DISTINCT conv_id) FROM conversations)
-  UNION ALL SELECT 5, 'instruction', 'web_pages', 0.8, (SELECT count(*) FROM pages)
-  UNION ALL SELECT 6, 'instruction', 'texts_en', 1.0, (SELECT count(*) FROM documents WHERE lang = 'en')
-  UNION ALL SELECT 7, 'instruction', 'texts_fr', 1.0, (SELECT count(*) FROM documents WHERE lang = 'fr')
-  UNION ALL SELECT 8, 'instruction', 'texts_de', 1.0, (SELECT count(*) FROM documents WHERE lang = 'de')
-  UNION ALL SELECT 9, 'instruction', 'texts_es', 1.0, (SELECT count(*) FROM documents WHERE lang = 'es')
-)
+FROM usage_lines
 """,
     "q02_strip_and_blank_filter": f"""
 SELECT * FROM (
@@ -451,6 +453,13 @@ SELECT coalesce(section, 'TOTAL') AS section, coalesce(dataset_source, 'TOTAL')
        count(*) AS rows, count(*) FILTER (task = 'translation') AS translation_rows,
        count(*) FILTER (task = 'instruction') AS instruction_rows
 FROM pool GROUP BY ROLLUP (section, dataset_source)
+""",
+    "q18b_recipe_report": """
+SELECT u.section, u.dataset_source, coalesce(p.n, 0)::bigint AS rows_used,
+       u.n::bigint AS rows_available, floor(u.n * u.usage::double)::bigint AS source_rows_used
+FROM usage_lines u LEFT JOIN (
+  SELECT dataset_source, count(*) AS n FROM pool GROUP BY dataset_source
+) p ON p.dataset_source = u.dataset_source
 """,
     "q19_task_totals_and_percentages": """
 SELECT t AS translation_rows, i AS instruction_rows, n AS total_rows,

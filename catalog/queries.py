@@ -336,6 +336,11 @@ def source_report(spark: SparkSession, tables: str) -> DataFrame:
     return reports.source_report(_pool(spark, tables))
 
 
+def recipe_report(spark: SparkSession, tables: str) -> DataFrame:
+    usage = corpus.source_usage(spark, bindings.RECIPE, bindings.load(tables))
+    return reports.recipe_report(usage, _pool(spark, tables))
+
+
 def task_totals_and_percentages(spark: SparkSession, tables: str) -> DataFrame:
     return reports.task_totals(_pool(spark, tables))
 
@@ -527,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "q17b_stratified_split_rows": stratified_split_rows,
     "q17c_stratum_codes": stratum_codes,
     "q18_source_report": source_report,
+    "q18b_recipe_report": recipe_report,
     "q19_task_totals_and_percentages": task_totals_and_percentages,
     "q20_direction_counts": direction_counts,
     "q20b_removed_counts": removed_counts,

@@ -105,19 +105,37 @@ def overall_scores(
     scored: DataFrame, split: str, requested_split: str, reference_free: bool = False
 ) -> DataFrame:
     """One line over all scored rows; mean and median are null if there are none."""
-    mode = F.lit("qe" if reference_free else "reference")
-    rows = scored.select(mode.alias("mode"), "prediction")
-    means = rows.agg(
+    mode = "qe" if reference_free else "reference"
+    means = scored.agg(
         F.count("prediction").alias("samples"), F.avg("prediction").alias("average_score")
-    ).withColumn("mode", mode)
-    medians = exact_medians(rows, "prediction", ["mode"])
-    return means.join(medians, "mode", "left").select(
+    )
+    median = exact_medians(scored, "prediction")
+    both = means.unionByName(median, allowMissingColumns=True)
+    return both.agg(
+        F.max("samples").alias("samples"),
+        F.max("average_score").alias("average_score"),
+        F.max("median").alias("median_score"),
+    ).select(
         F.lit(split).alias("split"),
         F.lit(requested_split).alias("requested_split"),
         F.lit(fixed.TASK_TRANSLATION).alias("evaluated_task"),
         "samples",
-        "mode",
+        F.lit(mode).alias("mode"),
         "average_score",
-        F.col("median").alias("median_score"),
+        "median_score",
         F.lit(True).alias("lower_is_better"),
     )
+
+
+def score_summary(
+    scored: DataFrame, split: str, requested_split: str, reference_free: bool = False
+) -> DataFrame:
+    """The overall scores with those of each direction nested in them, as one document."""
+    names = ("samples", "average_score", "median_score", "lower_is_better")
+    entry = F.struct("direction", *names)
+    directions = direction_scores(scored).agg(
+        F.sort_array(F.collect_list(entry)).alias("direction_summaries")
+    )
+    overall = overall_scores(scored, split, requested_split, reference_free)
+    both = overall.unionByName(directions, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])

@@ -166,7 +166,7 @@ def first_rows(df: DataFrame, rows: int, order_key: str = "order_key") -> DataFr
 
 
 def exact_medians(
-    df: DataFrame, value: str, groups: Sequence[str], gathered_rows: int = GATHERED_ROWS
+    df: DataFrame, value: str, groups: Sequence[str] = (), gathered_rows: int = GATHERED_ROWS
 ) -> DataFrame:
     """Exact median of a numeric column per group: ``groups, median``.
 
@@ -188,7 +188,15 @@ def exact_medians(
 
     def in_range(lines: DataFrame) -> DataFrame:
         ranges = lines.select(*groups, "low", "high").distinct()
-        joined = present.join(ranges, list(groups))
+        if groups:
+            joined = present.join(ranges, list(groups))
+        else:
+            # At most two ranges, one for each middle rank.
+            pairs = [
+                F.struct(F.lit(line["low"]).alias("low"), F.lit(line["high"]).alias("high"))
+                for line in ranges.collect()
+            ] or [F.struct(F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))]
+            joined = present.select("*", F.inline(F.array(*pairs)))
         return joined.where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
 
     while not lines.where(open_range).isEmpty():

@@ -42,15 +42,16 @@ def usage_slice(df: DataFrame, entry: SourceEntry) -> DataFrame:
 
 
 def source_records(df: DataFrame, entry: SourceEntry, tokenizer: Tokenizer | None = None) -> DataFrame:
-    """Flat records of a keyed source by the rules of its section, without blank ones."""
+    """Flat records of a keyed source by the rules of its section, without blank ones.
+
+    Translation records carry their token counts if there is a tokenizer, since
+    each side is counted once for both directions.
+    """
     if entry.section == "translation":
         return translation_records(df, entry.directions, tokenizer)
     if entry.section == "dictionary":
-        records = dictionary_records(df, entry.directions)
-    else:
-        records = instruction_records(df, entry.language)
-    records = drop_blank(records)
-    return records if tokenizer is None else measure(records, tokenizer)
+        return drop_blank(dictionary_records(df, entry.directions))
+    return drop_blank(instruction_records(df, entry.language))
 
 
 def tagged(records: DataFrame, entry: SourceEntry) -> DataFrame:
@@ -73,16 +74,23 @@ def build_pool(
 
     Without a tokenizer the budget is left out, and no row is over its limit.
     """
-    parts = []
+    measured: list[DataFrame] = []
+    unmeasured: list[DataFrame] = []
     for entry in recipe.active_entries:
         records = source_records(usage_slice(loader(spark, entry), entry), entry, tokenizer)
-        if tokenizer is None:
-            fitted = records.withColumn("over_limit", F.lit(False))
-        else:
-            fitted = enforce_budget(records, tokenizer, recipe.max_tokens, template=template)
-        parts.append(tagged(fitted, entry))
-    if not parts:
+        has_counts = tokenizer is not None and entry.section == "translation"
+        (measured if has_counts else unmeasured).append(tagged(records, entry))
+    if not measured and not unmeasured:
         raise ValueError("the recipe has no source with a usage above zero")
+    if tokenizer is None:
+        return _union(unmeasured).withColumn("over_limit", F.lit(False))
+    # Budget expressions are planned and compiled once for all sources.
+    if unmeasured:
+        measured.append(measure(_union(unmeasured), tokenizer))
+    return enforce_budget(_union(measured), tokenizer, recipe.max_tokens, template=template)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -100,7 +108,7 @@ def source_usage(spark: SparkSession, recipe: Recipe, loader: Loader = read_sour
         )
         for entry in recipe.active_entries
     ]
-    counts = reduce(DataFrame.unionByName, parts)
+    counts = _union(parts)
     return recipe.to_frame(spark).where(F.col("usage") > 0).join(counts, "dataset_source")
 
 

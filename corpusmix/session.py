@@ -11,6 +11,7 @@ from types import ModuleType
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 # Only what the plans rely on. Partition counts and memory belong to the cluster.
 DEFAULTS = {
@@ -33,15 +34,17 @@ def build_session(app_name: str = "corpusmix", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A session without the setting is a local test session: it gets a fresh
-    temporary folder of its own, which is then kept for the whole session.
+    A local session without the setting gets a fresh temporary folder of its
+    own, kept for as long as it lives; a cluster without it is an error.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="corpusmix-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="corpusmix-")
+        folder = _LOCAL_FOLDERS[application]
     return folder.rstrip("/")
 
 

@@ -32,5 +32,5 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_summary(df: DataFrame, path: str) -> None:
-    """One JSON document: for results of one row, such as the overall scores."""
-    write_json_lines(df.limit(1).coalesce(1), path)
+    """One JSON document, for results that are one line by construction, such as totals."""
+    write_json_lines(df.coalesce(1), path)

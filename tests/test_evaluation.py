@@ -64,6 +64,18 @@ def test_direction_and_overall_scores(spark):
     assert line["median_score"] == statistics.median(values)
 
 
+def test_summary_document(spark, tmp_path):
+    data = [("en", "cy", v) for v in (3.0, 1.0)] + [("cy", "en", 4.0)]
+    path = str(tmp_path / "summary")
+    sinks.write_summary(evaluation.score_summary(scored(spark, data), "test", "validation"), path)
+    (name,) = [n for n in os.listdir(path) if n.endswith(".json")]
+    (line,) = open(os.path.join(path, name), encoding="utf-8").read().splitlines()
+    document = json.loads(line)
+    assert (document["samples"], document["median_score"], document["mode"]) == (3, 3.0, "reference")
+    assert [d["direction"] for d in document["direction_summaries"]] == ["cy->en", "en->cy"]
+    assert document["direction_summaries"][1]["average_score"] == 2.0
+
+
 def test_no_scores(spark):
     line = evaluation.overall_scores(scored(spark, []), "test", "test").first()
     assert (line["samples"], line["average_score"], line["median_score"]) == (0, None, None)

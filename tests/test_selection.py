@@ -107,6 +107,10 @@ def test_exact_medians(spark, gathered):
     found = dict(tuple(r) for r in selection.exact_medians(df, "v", ["g"], gathered).collect())
     groups = {g for g, v in data if v is not None}
     assert found == {g: statistics.median(v for h, v in data if h == g) for g in groups}
+    whole = selection.exact_medians(df, "v", gathered_rows=gathered).first()["median"]
+    assert whole == statistics.median(v for _, v in data if v is not None)
+    nothing = selection.exact_medians(df.where("v is null"), "v", gathered_rows=gathered)
+    assert nothing.where("median is not null").count() == 0
 
 
 def test_pin_small_gives_the_planner_a_size(spark):
