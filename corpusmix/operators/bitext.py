@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmix.functions import fixed_values as fixed
+from corpusmix.functions.frames import compute_once
 from corpusmix.functions.text import first_usable, quoted, strip
 from corpusmix.functions.tokens import Tokenizer
 
@@ -20,21 +21,28 @@ def _sides(df: DataFrame) -> tuple[Column, Column]:
             first_usable(df, fixed.ENGLISH_COLUMNS),
             first_usable(df, fixed.WELSH_COLUMNS),
         )
-    pair, kind = F.col("translation"), df.schema["translation"].dataType
-    if isinstance(kind, T.StringType):
-        pair = F.from_json(pair, "en string, cy string", {"mode": "FAILFAST"})
-        kind = T.StructType([T.StructField("en", T.StringType()), T.StructField("cy", T.StringType())])
+    kind = df.schema["translation"].dataType
     names = kind.fieldNames() if isinstance(kind, T.StructType) else ["en", "cy"]
     return tuple(
-        pair[name].cast("string") if name in names else F.lit("") for name in ("en", "cy")
+        F.col("translation")[name].cast("string") if name in names else F.lit("")
+        for name in ("en", "cy")
     )
 
 
+def _parse_json_pairs(df: DataFrame) -> DataFrame:
+    """Turn a ``translation`` column of JSON texts into structs, parsed once per row."""
+    if "translation" in df.columns and df.schema["translation"].dataType == T.StringType():
+        parsed = F.from_json("translation", "en string, cy string", {"mode": "FAILFAST"})
+        return compute_once(df, translation=parsed)
+    return df
+
+
 def map_bitext(df: DataFrame) -> DataFrame:
     """Add the stripped sides ``en_text`` and ``cy_text``; a null side is blank."""
-    english, welsh = _sides(df)
+    parsed = _parse_json_pairs(df)
+    english, welsh = _sides(parsed)
     blank = F.lit("")
-    return df.select(
+    return parsed.select(
         "*",
         strip(F.coalesce(english, blank)).alias("en_text"),
         strip(F.coalesce(welsh, blank)).alias("cy_text"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmix.functions import fixed_values as fixed
+from corpusmix.functions.frames import compute_once
 from corpusmix.functions.text import first_usable, strip
 
 
@@ -47,13 +48,17 @@ def _from_turns(df: DataFrame, name: str) -> tuple[Column, Column]:
 
 
 def _flat_record(df: DataFrame, source: Column, target: Column, language: Column) -> DataFrame:
-    return df.select(
+    """The flat record, with its texts taken from the turns once, whatever filters follow."""
+    picked = compute_once(
+        df.select("*", language.alias("_language")), source_text=source, target_text=target
+    )
+    return picked.select(
         "order_key",
         F.lit(fixed.TASK_INSTRUCTION).alias("task"),
-        source.alias("source_text"),
-        target.alias("target_text"),
-        language.alias("source_lang_code"),
-        language.alias("target_lang_code"),
+        "source_text",
+        "target_text",
+        F.col("_language").alias("source_lang_code"),
+        F.col("_language").alias("target_lang_code"),
         F.lit(0).alias("emit_ord"),
     )
 

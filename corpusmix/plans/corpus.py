@@ -153,7 +153,7 @@ class Corpus:
         rows = self.split.where(F.col("split") == split)
         return rows.groupBy("stratify_key").agg(F.count("*").alias("rows"))
 
-    def write(self, path: str, test_files: int = 1) -> None:
+    def write(self, path: str, test_files: int | None = 1) -> None:
         """The prepared table, the duplicate log and the summary, below ``path``."""
         write_prepared(prepared_rows(self.split), f"{path}/prepared", test_files)
         write_json_lines(dedup.duplicate_log(self.duplicates()), f"{path}/dropped_duplicates")

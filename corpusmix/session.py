@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Writing by split keeps a file open for each of them instead of sorting the rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Call-site capture triples the cost of building a plan from Python.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

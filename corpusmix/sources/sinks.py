@@ -3,27 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from corpusmix.session import materialize
 
 
 def write_prepared(
-    df: DataFrame, path: str, test_files: int = 1, rows_per_file: int | None = None
+    df: DataFrame, path: str, test_files: int | None = 1, rows_per_file: int | None = None
 ) -> None:
     """Write ``split=train`` and ``split=test`` folders below ``path``.
 
-    The training part is written where its partitions already are. Only the
-    small test part is moved, so that it does not end up as one tiny file per
-    task; no shuffle of the whole table is needed for either.
+    The table is read and written once, where its partitions already are, with no
+    shuffle. That leaves the test rows in many tiny files, one per task that met
+    any, so this small part is then rewritten into ``test_files`` files. Pass
+    None where the test part is large and its files are fine as they are.
     """
-    parts = {
-        "train": df.where(F.col("split") == "train"),
-        "test": df.where(F.col("split") == "test").repartition(test_files),
-    }
-    for split, part in parts.items():
-        writer = part.drop("split").write.mode("overwrite")
-        if rows_per_file:
-            writer = writer.option("maxRecordsPerFile", rows_per_file)
-        writer.parquet(f"{path}/split={split}")
+    writer = df.write.mode("overwrite").partitionBy("split")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
+    if test_files is None:
+        return
+    spark, folder = df.sparkSession, f"{path}/split=test"
+    scattered = spark.read.schema(df.drop("split").schema).parquet(folder)
+    # A folder cannot be overwritten while it is read, so the rows wait elsewhere.
+    gathered = materialize(scattered.repartition(test_files), "test_part")
+    gathered.write.mode("overwrite").parquet(folder)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

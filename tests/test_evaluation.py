@@ -155,3 +155,12 @@ def test_prepared_table_files(spark, tmp_path):
     assert len(files("test")) == 2
     assert len(files("train")) >= 9
     assert rows(spark.read.parquet(path)) == rows(df)
+    sinks.write_prepared(df.repartition(4), path, test_files=None)
+    assert len(files("test")) == 4
+    assert rows(spark.read.parquet(path)) == rows(df)
+
+
+def test_a_table_without_test_rows_is_written(spark, tmp_path):
+    df = spark.range(10).withColumn("split", F.lit("train"))
+    sinks.write_prepared(df, str(tmp_path / "out"), test_files=None)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10

@@ -38,6 +38,21 @@ def test_struct_map_and_json(spark):
     assert sides(df) == [("a", "b"), ("a", "")]
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_costly_columns_are_evaluated_once(spark):
+    pairs = keyed(spark.createDataFrame([('{"en": "a", "cy": "b"}',)], "translation string"))
+    assert optimized(bitext.translation_records(pairs, fixed.DIRECTIONS)).count("from_json") == 1
+    chats = keyed(spark.createDataFrame([([("user", "q")],)], TURNS))
+    records = bitext.drop_blank(conversations.instruction_records(chats))
+    assert optimized(records).count("transform(") == 2
+    two = keyed(spark.createDataFrame([("a", "b")], "en string, cy string"))
+    records = bitext.translation_records(two, fixed.DIRECTIONS, PatternTokenizer()).where("src_len < 9")
+    assert optimized(records).count("regexp_extract_all") == 2
+
+
 def test_malformed_json_fails(spark):
     df = spark.createDataFrame([("{not json",)], "translation string")
     with pytest.raises(Exception, match="FAILFAST|Malformed"):
