@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpusmix.functions import fixed_values as fixed
 from corpusmix.operators.selection import key_bucket
 
+OFFSET_DIGITS = 4
+
 
 def token_offsets(lengths: DataFrame, order_key: str, length: str) -> DataFrame:
     """Add ``start_token``: the total length of all rows with a smaller key.
@@ -16,7 +18,7 @@ def token_offsets(lengths: DataFrame, order_key: str, length: str) -> DataFrame:
     key are summed up first (a fixed number of lines), then each bucket sums up
     its own rows. The buckets are even because keys are hashes of unique rows.
     """
-    bucketed = lengths.withColumn("_bucket", key_bucket(order_key))
+    bucketed = lengths.withColumn("_bucket", key_bucket(order_key, OFFSET_DIGITS))
     totals = bucketed.groupBy("_bucket").agg(F.sum(length).alias("_total"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -16,10 +16,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmix.functions.frames import emit_copies
-from corpusmix.session import pin_small
+from corpusmix.functions.frames import compute_once, emit_copies
+from corpusmix.session import materialize, pin_small
 
-KEY_DIGITS = 4
+KEY_DIGITS = 3
 VALUE_BUCKETS = 65_536
 SMALL_PREFIX = 1_000
 GATHERED_ROWS = 1_000_000
@@ -54,32 +54,84 @@ def _running(counts: DataFrame, groups: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def group_sizes(histogram: DataFrame, groups: Sequence[str]) -> DataFrame:
-    return histogram.groupBy(*groups).agg(F.sum("n").alias("available"))
+def key_bucket(order_key: str, digits: int = KEY_DIGITS) -> Column:
+    return F.substring(F.col(order_key), 1, digits)
 
 
-def _ranked(
-    df: DataFrame, groups: Sequence[str], value: Column, bucket: Column, quota: Quota
+def _cuts(
+    keyed: DataFrame, groups: Sequence[str], digits: int, wanted: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """The value of rank ``k`` in each group: ``groups, k, value, before, at_value``.
+    """The bucket in which each group's rank falls: ``groups, bucket, k, n, skipped``.
 
-    ``before`` counts the rows below the value, ``at_value`` those equal to it.
+    ``wanted`` adds the rank ``k`` to the running counts of the buckets, and
+    ``base``, the rows known to lie below all of these buckets.
     """
-    keyed = df.select(*groups, value.alias("value"), bucket.alias("bucket"))
-    histogram = keyed.groupBy(*groups, "bucket").agg(F.count("*").alias("n"))
-    buckets = _running(histogram, groups, "bucket")
-    if groups:
-        wanted = quota(group_sizes(histogram, groups)).select(*groups, "k")
-        buckets = buckets.join(wanted, list(groups))
-    else:
-        buckets = quota(buckets.withColumn("available", F.sum("n").over(Window.partitionBy())))
-    hit = (F.col("before") < F.col("k")) & (F.col("k") <= F.col("upto"))
-    cuts = pin_small(
-        buckets.where(hit).select(*groups, "bucket", "k", F.col("before").alias("skipped"))
+    counted = keyed.groupBy(*groups, key_bucket("value", digits).alias("bucket")).agg(
+        F.count("*").alias("n")
+    )
+    # The counts are used twice, for the sizes of the groups and for the sums, so the
+    # small histogram is written and the keys are scanned only once.
+    running = wanted(_running(materialize(counted, "key_histogram"), groups, "bucket"))
+    rank = F.col("k") - F.col("base")
+    hit = running.where((F.col("before") < rank) & (rank <= F.col("upto")))
+    skipped = (F.col("base") + F.col("before")).alias("skipped")
+    return pin_small(hit.select(*groups, "bucket", "k", "n", skipped))
+
+
+def _inside(keyed: DataFrame, cuts: DataFrame, groups: Sequence[str], digits: int) -> DataFrame:
+    """The rows in the cut buckets only."""
+    bucketed = keyed.withColumn("bucket", key_bucket("value", digits))
+    return bucketed.join(cuts.select(*groups, "bucket"), [*groups, "bucket"], "left_semi")
+
+
+def thresholds(
+    df: DataFrame,
+    quota: Quota,
+    order_key: str = "order_key",
+    groups: Sequence[str] = (),
+    gathered_rows: int = GATHERED_ROWS,
+) -> DataFrame:
+    """The last key to take from each group: ``groups, k, value, before, at_value``.
+
+    ``before`` counts the rows below that key, ``at_value`` those that have it.
+    Groups with a quota of zero have no line. One pass over the groups and keys
+    makes the histogram; buckets with more than ``gathered_rows`` rows are divided
+    once more, which is enough for any table: one key in 16 million is left.
+    """
+    groups = list(groups)
+    # The key is often a hash still to be computed: filters must not compute it again.
+    present = df.select(*groups, F.col(order_key).alias("_key")).dropna(subset=groups)
+    keyed = compute_once(present, value=F.col("_key")).drop("_key")
+
+    def by_quota(running: DataFrame) -> DataFrame:
+        based = running.withColumn("base", F.lit(0).cast("bigint"))
+        if not groups:
+            everything = F.sum("n").over(Window.partitionBy())
+            return quota(based.withColumn("available", everything))
+        sizes = running.groupBy(*groups).agg(F.sum("n").alias("available"))
+        return based.join(quota(sizes).select(*groups, "k"), groups)
+
+    digits = KEY_DIGITS
+    cuts = _cuts(keyed, groups, digits, by_quota)
+    if not cuts.where(F.col("n") > gathered_rows).isEmpty():
+        ranks = cuts.select(*groups, "bucket", "k", F.col("skipped").alias("base"))
+        inside = _inside(keyed, cuts, groups, digits).withColumnRenamed("bucket", "outer")
+        digits *= 2
+
+        def by_rank(running: DataFrame) -> DataFrame:
+            outer = ranks.withColumnRenamed("bucket", "outer")
+            return running.join(outer, [*groups, "outer"])
+
+        cuts = _cuts(inside, [*groups, "outer"], digits, by_rank).drop("outer")
+
+    tallies = (
+        _inside(keyed, cuts, groups, digits)
+        .groupBy(*groups, "bucket", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    values = _running(tallies, [*groups, "bucket"], "value").join(
+        cuts.drop("n"), [*groups, "bucket"]
     )
-    inside = keyed.join(cuts.select(*groups, "bucket").distinct(), [*groups, "bucket"], "left_semi")
-    tallies = inside.groupBy(*groups, "bucket", "value").agg(F.count("*").alias("n"))
-    values = _running(tallies, [*groups, "bucket"], "value").join(cuts, [*groups, "bucket"])
     rank = F.col("k") - F.col("skipped")
     found = values.where((F.col("before") < rank) & (rank <= F.col("upto")))
     return pin_small(
@@ -93,17 +145,6 @@ def _ranked(
     )
 
 
-def key_bucket(order_key: str, digits: int = KEY_DIGITS) -> Column:
-    return F.substring(F.col(order_key), 1, digits)
-
-
-def thresholds(
-    df: DataFrame, quota: Quota, order_key: str = "order_key", groups: Sequence[str] = ()
-) -> DataFrame:
-    """The last key to take from each group; groups with a quota of zero have none."""
-    return _ranked(df, groups, F.col(order_key), key_bucket(order_key), quota)
-
-
 def _with_threshold(df: DataFrame, limits: DataFrame, groups: Sequence[str], how: str) -> DataFrame:
     """Add the group's last key and counts; without groups these are literals."""
     names = {"_last": "value", "_k": "k", "_before": "before", "_tied": "at_value"}

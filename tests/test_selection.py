@@ -44,6 +44,21 @@ def test_take_exact_of_everything(spark, k):
     assert "row_number" not in found._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("gathered", [1, 3, 10_000])
+def test_crowded_buckets_are_divided_again(spark, gathered):
+    """Keys that share their first digits, a third of them copies."""
+    data = [(n % 2, f"abc{(n if n % 3 else 300) * 5:05x}", f"v{n if n % 3 else 0}") for n in range(900)]
+    df = spark.createDataFrame(data, "g int, key string, v string").repartition(4)
+    limits = selection.thresholds(df, selection.fixed_quota(200), "key", ["g"], gathered)
+    for line in limits.collect():
+        keys = sorted(key for g, key, _ in data if g == line["g"])
+        assert line["value"] == keys[199]
+        assert line["before"] == sum(key < keys[199] for key in keys)
+        assert line["at_value"] == keys.count(keys[199])
+    whole = selection.thresholds(df, selection.fixed_quota(200), "key", gathered_rows=gathered).first()
+    assert whole["value"] == sorted(key for _, key, _ in data)[199]
+
+
 def test_quotas_that_drop_a_group(spark):
     df = numbered(spark, 300)
 
