@@ -22,11 +22,12 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from corpusmix.llm.common import Memo, lowered, map_batches
+from corpusmix.llm.common import Memo, WordIds, lowered, map_batches, slices
 
 WINDOW_STEP = 512
 MEMO_LENGTH = 64
@@ -263,32 +264,45 @@ class StreamDecoder:
 class TextEncoder:
     """Ids of whole texts through the transducer, each distinct short part once.
 
-    White space always ends a part, so a text goes through part by part. A part within
+    White space always ends a part, so a text goes through word by word. A part within
     the window of the transducer is settled by its own end; the memo keeps those.
-    Longer ones, and texts that are not yet in normal form, stream through in pieces.
+    Longer words, and those not yet in normal form, stream through in pieces.
     """
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.memo = Memo(self._make)
-
-    def _make(self, parts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(self.stream(part)) for part in parts]
+        self.parts = Memo(self._encode_parts)
+        self.encode_all = WordIds(self._encode_words).encode
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        return [np.array(self._part(part), dtype="<u4").tobytes() for part in parts]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        split: list[list[str] | None] = []
+        for word in words:
+            low = lowered(word) if len(word) <= MEMO_LENGTH else None
+            split.append(None if low is None else StreamEncoder.PARTS.findall(low))
+        ids = iter(self.parts.values(list(chain.from_iterable(filter(None, split)))))
+        return [
+            np.array(self.stream(word), dtype="<u4").tobytes()
+            if parts is None
+            else b"".join(next(ids) for _ in parts)
+            for word, parts in zip(words, split)
+        ]
+
+    def _part(self, part: str) -> list[int]:
+        stream = StreamEncoder(self.merges)
+        return stream._extend(part) + stream._close()
 
     def stream(self, text: str) -> list[int]:
         stream = StreamEncoder(self.merges)
-        if len(text) <= MEMO_LENGTH and StreamEncoder.PARTS.fullmatch(text):
-            return stream._extend(text) + stream._close()
         out: list[int] = []
         for at in range(0, len(text), PIECE):
             out += stream.feed(text[at : at + PIECE])
         return out + stream.finish()
 
     def encode(self, text: str) -> list[int]:
-        low = lowered(text)
-        if low is None:
-            return self.stream(text)
-        return list(chain.from_iterable(self.memo.values(StreamEncoder.PARTS.findall(low))))
+        return self.encode_all([text])[0].tolist()
 
 
 @lru_cache(maxsize=4)
@@ -305,8 +319,9 @@ def _round_trip(path: str):
         decimal = {i: str(i) for i in encoder.merges.text_of}
         for batch in batches:
             counts, encoded, decoded = [], [], []
-            for text in batch.column(1):
-                ids = encoder.encode(text.as_py() or "")
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for array in chain.from_iterable(map(encoder.encode_all, slices(texts))):
+                ids = array.tolist()
                 counts.append(len(ids))
                 encoded.append(sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoder, digest = StreamDecoder(encoder.merges), sha256()

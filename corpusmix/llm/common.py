@@ -5,7 +5,9 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 import corpusmix
@@ -63,3 +65,47 @@ def lowered(text: str) -> str | None:
     low = text.replace("Σ", "σ").lower()
     composed = unicodedata.is_normalized
     return low if composed("NFC", text) and composed("NFC", low) else None
+
+
+class WordIds:
+    """Ids of whole texts, put together from those of their words.
+
+    ``make`` gives the little-endian 32-bit ids of new words. The words of many texts are
+    told apart by a dictionary of Arrow first, so each different word is looked up once.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list[bytes]]):
+        self.memo = Memo(make)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ready = []
+        for text in texts:
+            low = lowered(text)
+            safe = text if low is None else low
+            ready.append(safe.replace("\n", " ").replace("\t", " ").replace("\r", " "))
+        split = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        words = split.flatten().dictionary_encode()
+        known = self.memo.values(words.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        word = words.indices.to_numpy()
+        taken = sizes[word]
+        ends = np.cumsum(taken)
+        place = np.repeat(starts[word] - (ends - taken), taken) + np.arange(len(taken) and ends[-1])
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return np.split(ids[place], bounds[1:-1])
+
+
+def slices(texts: list[str], chars: int = 1_000_000) -> Iterator[list[str]]:
+    """Neighbouring texts together, of about so many characters."""
+    part: list[str] = []
+    size = 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part

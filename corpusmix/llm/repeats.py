@@ -34,10 +34,10 @@ GRAM = 32
 WINDOW = LENGTH - GRAM + 1  # substrings in a string
 SIDE = (LENGTH - GRAM) // 2  # one side of the anchor has as many bytes or more
 CHUNK = 1 << 20
-BUCKET = 4_000
+BUCKET = 2_000
 HOT_SEGMENTS = 2_000
 NO_ID = -(1 << 63)
-SEGMENT_SCHEMA = "anchor bigint, content bigint, doc_id bigint, start bigint, n int"
+SEGMENT_SCHEMA = "anchor bigint, content bigint, doc_id bigint, start bigint, shape int"
 _U = np.uint64
 
 
@@ -75,7 +75,7 @@ def _hash(prefixes: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np.
 
 
 def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, content, first string and number of strings of each segment of at most a chunk."""
+    """Anchor, content, first string and shape (see below) of each segment of at most a chunk."""
     first, second, powers, inverse, index = _tables()
     grams = len(data) - GRAM + 1
     windows = len(data) - LENGTH + 1
@@ -93,7 +93,9 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     start = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
     count = np.diff(np.concatenate([start, [windows]]))
     contents = _hash(_prefixes(second[data], powers), inverse, start, start + count + LENGTH - 1)
-    return gram[anchor[start]].view(np.int64), contents.view(np.int64), start, count
+    # Strings in the low byte, the anchor's place in the segment above it.
+    shape = (anchor[start] - start) << 8 | count
+    return gram[anchor[start]].view(np.int64), contents.view(np.int64), start, shape
 
 
 def _find_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,9 +105,9 @@ def _find_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = np.frombuffer((text.as_py() or "").encode("utf-8"), np.uint8)
             for at in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
-                anchor, content, start, count = segments(data[at : at + CHUNK + LENGTH - 1])
+                anchor, content, start, shape = segments(data[at : at + CHUNK + LENGTH - 1])
                 for column, values in zip(
-                    columns, (anchor, content, np.full(len(start), doc_id), start + at, count.astype(np.int32))
+                    columns, (anchor, content, np.full(len(start), doc_id), start + at, shape.astype(np.int32))
                 ):
                     column.append(values)
                 size += len(start)
@@ -117,7 +119,7 @@ def _find_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _segment_batch(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    names = ["anchor", "content", "doc_id", "start", "n"]
+    names = ["anchor", "content", "doc_id", "start", "shape"]
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names)
 
 
@@ -147,105 +149,88 @@ def _met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of wanted segments: rows of ``anchor, doc_id, start, bytes``."""
+    """The bytes of wanted segments: rows of ``anchor, doc_id, start, at, bytes``."""
     for batch in batches:
-        out: list[tuple[int, int, int, bytes]] = []
+        out: list[tuple[int, int, int, int, bytes]] = []
         for doc_id, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             data = (text.as_py() or "").encode("utf-8")
             for one in wanted.as_py():
-                part = data[one["start"] : one["start"] + one["n"] + LENGTH - 1]
-                out.append((one["anchor"], doc_id, one["start"], part))
-        columns = list(zip(*out)) if out else [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                size = (one["shape"] & 255) + LENGTH - 1
+                part = data[one["start"] : one["start"] + size]
+                out.append((one["anchor"], doc_id, one["start"], one["shape"] >> 8, part))
+        columns = list(zip(*out)) if out else [[], [], [], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "doc_id", "start", "bytes"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "doc_id", "start", "at", "bytes"]
         )
 
 
 def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, length and common prefix with the one before, of all suffixes in order.
+    """Owner, length and common prefix (255 at most) with the one before, of all suffixes in order.
 
     Built column by column: at the start there is an empty suffix of each part, in order. A round
     puts in front of every suffix the symbol that stands there; suffixes with one symbol in
     front keep their order, and their common prefix is one more than the least between them.
     """
-    sizes = np.array([len(p) for p in parts])
-    longest = int(sizes.max(initial=0))
-    codes = np.zeros((len(parts), longest + 1), dtype=np.uint16)
+    stride = max(map(len, parts), default=0) + 1
+    codes = np.zeros((len(parts), stride), dtype=np.uint16)
     for k, part in enumerate(parts):  # right-aligned, column 0 is the last symbol
         codes[k, : len(part)] = np.frombuffer(part, np.uint8)[::-1].astype(np.uint16) + 1
-    if codes.max(initial=0) < 256:
-        codes = codes.astype(np.uint8)  # sorted by counting
-    ends = np.arange(len(parts))
-    owner, length = ends, np.zeros(len(parts), np.int64)
-    common = np.zeros(len(parts), np.int64)
-    for _ in range(longest):
-        front = codes[owner, length]
+    used, small = np.unique(codes, return_inverse=True)
+    if len(used) <= 256:
+        codes = small.astype(np.uint8)  # sorted by counting
+    codes = codes.reshape(-1)
+    ends = (np.arange(len(parts)) * stride).astype(np.int32)
+    nothing = np.zeros(len(parts), np.uint8)
+    place, common = ends, nothing  # where the symbol in front of each suffix is
+    for _ in range(stride - 1):
+        front = codes[place]
         order = np.argsort(front, kind="stable")
+        order = order[int(np.count_nonzero(front == 0)) :]
         symbols = front[order]
-        order, symbols = order[symbols > 0], symbols[symbols > 0]
-        bounds = [0, *(np.flatnonzero(np.diff(symbols)) + 1).tolist(), len(symbols)]
-        shared = np.zeros(len(order), np.int64)
-        for lo, hi in zip(bounds, bounds[1:]):
-            places = order[lo:hi]
-            if hi - lo > 1:
-                shared[lo + 1 : hi] = 1 + np.minimum.reduceat(common[: places[-1] + 1], places[:-1] + 1)
-        owner = np.concatenate([ends, owner[order]])
-        length = np.concatenate([np.zeros(len(ends), np.int64), length[order] + 1])
-        common = np.concatenate([np.zeros(len(ends), np.int64), shared])
-    return owner, length, common
-
-
-def _may_match(anchors: np.ndarray, parts: list[bytes], offsets: np.ndarray) -> np.ndarray:
-    """Segments that share one side of the anchor with another one of the same anchor."""
-    met = np.zeros(len(parts), bool)
-    for side in ("left", "right"):
-        keys: dict[tuple[int, bytes], int] = {}
-        for k, (anchor, part, at) in enumerate(zip(anchors.tolist(), parts, offsets.tolist())):
-            if side == "left":
-                if at < SIDE:
-                    continue
-                text = part[at - SIDE : at]
-            else:
-                text = part[at + GRAM : at + GRAM + SIDE]
-                if len(text) < SIDE:
-                    continue
-            other = keys.setdefault((anchor, text), k)
+        # From after the one before to the suffix itself; between symbols the value is not used.
+        edges = np.empty(2 * len(order), np.int64)
+        edges[0], edges[2::2] = 0, order[:-1] + 1
+        edges[1::2] = order + 1
+        starts_symbol = np.concatenate([[True], symbols[1:] != symbols[:-1]])
+        edges[0::2][starts_symbol] = order[starts_symbol]
+        least = np.minimum.reduceat(np.append(common, np.uint8(0)), edges)[0::2]
+        shared = np.where(starts_symbol, 0, np.minimum(least, 254) + 1).astype(np.uint8)
+        place = np.concatenate([ends, place[order] + 1])
+        common = np.concatenate([nothing, shared])
+    return place // stride, place % stride, common
+
+
+def _may_match(bucket: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int, int, int, bytes]]:
+    """Segments that share one whole side of the anchor with another one of the same anchor."""
+    met = np.zeros(len(bucket), bool)
+    left: dict[tuple[int, bytes], int] = {}
+    right: dict[tuple[int, bytes], int] = {}
+    for k, (anchor, _, _, at, part) in enumerate(bucket):
+        if at >= SIDE:
+            other = left.setdefault((anchor, part[at - SIDE : at]), k)
             if other != k:
                 met[k] = met[other] = True
-    return met
-
-
-def _anchor_offsets(anchors: np.ndarray, parts: list[bytes]) -> np.ndarray:
-    """Where the anchor lies in each segment."""
-    first, _, powers, inverse, _ = _tables()
-    out = np.zeros(len(parts), np.int64)
-    for k, part in enumerate(parts):
-        sums = _prefixes(first[np.frombuffer(part, np.uint8)], powers)
-        grams = len(part) - GRAM + 1
-        gram = _mixed((sums[GRAM:] - sums[:grams]) * inverse[:grams]).view(np.int64)
-        # Every string of the segment holds it, so it lies in the last and in the first one.
-        lowest = max(0, len(part) - LENGTH)
-        out[k] = lowest + int(np.flatnonzero(gram[lowest : WINDOW] == anchors[k])[0])
-    return out
+        if len(part) - at - GRAM >= SIDE:
+            other = right.setdefault((anchor, part[at + GRAM : at + GRAM + SIDE]), k)
+            if other != k:
+                met[k] = met[other] = True
+    return [bucket[k] for k in np.flatnonzero(met).tolist()]
 
 
-def _earlier(bucket: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int]]:
+def _earlier(bucket: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int, int]]:
     """Spans of bytes whose strings lie earlier in another segment of the bucket."""
-    anchors = np.array([b[0] for b in bucket], np.int64)
-    parts = [b[3] for b in bucket]
-    keep = np.flatnonzero(_may_match(anchors, parts, _anchor_offsets(anchors, parts)))
-    if not len(keep):
+    chosen = _may_match(bucket)
+    if not chosen:
         return []
-    chosen = [bucket[k] for k in keep.tolist()]
-    owner, length, common = suffix_array([c[3] for c in chosen])
+    owner, length, common = suffix_array([c[4] for c in chosen])
     group = np.cumsum(common < LENGTH)
     sizes = np.bincount(group)
     many = sizes[group] > 1
     owner, length, group = owner[many], length[many], group[many]
     if not len(owner):
         return []
-    part_size = np.array([len(c[3]) for c in chosen])
+    part_size = np.array([len(c[4]) for c in chosen])
     doc = np.array([c[1] for c in chosen], np.int64)[owner]
     place = np.array([c[2] for c in chosen], np.int64)[owner] + part_size[owner] - length
     order = np.lexsort((place, doc, group))
@@ -273,7 +258,7 @@ def _span_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor, in buckets of whole anchors."""
-    bucket: list[tuple[int, int, int, bytes]] = []
+    bucket: list[tuple[int, int, int, int, bytes]] = []
     for batch in batches:
         for row in zip(*(column.to_pylist() for column in batch.columns)):
             if len(bucket) >= BUCKET and row[0] != bucket[-1][0]:
@@ -288,7 +273,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every string of the segments of hot anchors, by a 128-bit hash."""
     first, second, powers, inverse, index = _tables()
     for batch in batches:
-        for _, doc_id, start, part in zip(*(column.to_pylist() for column in batch.columns)):
+        for _, doc_id, start, _, part in zip(*(column.to_pylist() for column in batch.columns)):
             data = np.frombuffer(part, np.uint8)
             at = index[: len(data) - LENGTH + 1]
             hashes = [
@@ -315,7 +300,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "start")
     different = materialize(
         again.groupBy("anchor", "content").agg(
-            F.min(place).alias("at"), F.count("*").alias("times"), F.first("n").alias("n")
+            F.min(place).alias("at"), F.count("*").alias("times"), F.first("shape").alias("shape")
         ),
         "repeats_different",
     )
@@ -324,18 +309,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         (F.col("doc_id") != F.col("at.doc_id")) | (F.col("start") != F.col("at.start"))
     )
     whole = copied.select(
-        "doc_id", F.col("start").alias("first"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("past")
+        "doc_id", F.col("start").alias("first"), (F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)).alias("past")
     )
     counts = different.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1)
     open_segments = different.join(counts, "anchor").select(
         F.col("at.doc_id").alias("doc_id"),
-        F.struct("anchor", F.col("at.start").alias("start"), "n", (F.col("kinds") > HOT_SEGMENTS).alias("hot")).alias("one"),
+        F.struct("anchor", F.col("at.start").alias("start"), "shape").alias("one"),
     )
     wanted = open_segments.groupBy("doc_id").agg(F.collect_list("one").alias("wanted"))
     with_text = plain.join(wanted, "doc_id").select("doc_id", "text", "wanted")
     hot_anchors = materialize(counts.where(F.col("kinds") > HOT_SEGMENTS).select("anchor"), "repeats_hot")
     cut = materialize(
-        map_batches(with_text, _cut, "anchor bigint, doc_id bigint, start bigint, bytes binary"), "repeats_bytes"
+        map_batches(with_text, _cut, "anchor bigint, doc_id bigint, start bigint, at int, bytes binary"), "repeats_bytes"
     )
     usual = cut.join(hot_anchors, "anchor", "left_anti").repartition(shards, "anchor").sortWithinPartitions("anchor")
     compared = map_batches(usual, _compare, "doc_id bigint, first bigint, past bigint")

@@ -17,6 +17,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmix.llm.common import Memo, lowered, map_batches
+from corpusmix.llm.common import Memo, WordIds, map_batches, slices
 
 # (ids in a word, bits of each), by selector from 1.
 LAYOUTS = (
@@ -152,8 +153,9 @@ class LibraryEncoder:
     """Ids of a text by the ``tokenizers`` library, each distinct word encoded once.
 
     Only for tokenizers that drop white space and end words, as the one of the query
-    does: there a text's ids are those of its words, one after another. Words of letters
-    only are encoded many at a time, as one text, and told apart by their end tokens.
+    does: there a text's ids are those of its words, one after another, and a word's are
+    those of its parts. Parts of letters only are encoded many at a time, as one text, and told
+    apart by their end tokens.
     """
 
     def __init__(self, path: str):
@@ -166,13 +168,21 @@ class LibraryEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, token_id in vocabulary.items():
             self.ends[token_id] = token.endswith("</w>")
-        self.memo = Memo(self._make)
+        self.parts = Memo(self._encode_parts)
+        self.encode = WordIds(self._encode_words).encode
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4") for one in encoded]
 
-    def _make(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Stem and closing mark apart, as most words that are new have a known stem."""
+        stems = [w[:-1] if len(w) > 1 and w[-1] in ".,!?;:" and w[:-1].isalpha() else w for w in words]
+        marks = [w[-1] if len(stem) < len(w) else "" for w, stem in zip(words, stems)]
+        known = dict(zip(".,!?;:", self.parts.values(list(".,!?;:")))) | {"": b""}
+        return [ids + known[mark] for ids, mark in zip(self.parts.values(stems), marks)]
+
+    def _encode_parts(self, words: list[str]) -> list[bytes]:
         plain = [w for w in words if w.isalpha() and unicodedata.is_normalized("NFC", w)]
         made: dict[str, bytes] = {}
         if plain:
@@ -183,21 +193,15 @@ class LibraryEncoder:
                 ends = (cuts * 4).tolist()
                 made = {w: data[a:b] for w, a, b in zip(plain, [0, *ends], ends)}
         rest = [w for w in words if w not in made]
-        made.update(zip(rest, (one.tobytes() for one in self._ids(rest))))
+        if rest:
+            made.update(zip(rest, (one.tobytes() for one in self._ids(rest))))
         return [made[w] for w in words]
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        low = lowered(text)
-        safe = text if low is None else low
-        words = safe.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(self.memo.values(words))
-
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
 
 
-def library_encoder(path: str) -> Callable[[str], bytes]:
+def library_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """The encoder of a worker process, made once."""
     if path not in _ENCODERS:
         _ENCODERS[path] = LibraryEncoder(path)
@@ -208,14 +212,14 @@ def _blocks(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = library_encoder(tokenizer)
         shard = TaskContext.get().partitionId()
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
         doc_ids: list[int | None] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         size = block = offset = 0
 
         def closed() -> pa.RecordBatch:
             nonlocal size, block, offset
-            ids = np.frombuffer(b"".join(parts), dtype="<u4")
+            ids = np.concatenate(parts)
             words, starts = pack(ids)
             batch = pa.RecordBatch.from_pydict(
                 {
@@ -223,7 +227,7 @@ def _blocks(tokenizer: str, end_id: int):
                     "block": pa.array([block], pa.int64()),
                     "offset": pa.array([offset], pa.int64()),
                     "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
-                    "lengths": pa.array([[len(p) // 4 for p in parts]], pa.list_(pa.int64())),
+                    "lengths": pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
                     "words": pa.array([words.astype("<u8").tobytes()], pa.binary()),
                     "run_starts": pa.array([starts], pa.list_(pa.int32())),
                 }
@@ -234,11 +238,12 @@ def _blocks(tokenizer: str, end_id: int):
             return batch
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = encode(text.as_py()) + end
+            ids = chain.from_iterable(map(encode, slices(batch.column(1).to_pylist())))
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), ids):
+                part = np.concatenate([encoded, end])
                 doc_ids.append(doc_id)
                 parts.append(part)
-                size += len(part) // 4
+                size += len(part)
                 if size >= BLOCK_IDS:
                     yield closed()
         if parts:
