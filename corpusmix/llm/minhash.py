@@ -8,10 +8,10 @@ so a sketch costs little more than one hash per shingle, and each coordinate agr
 the probability of the sets' similarity.
 
 Bands of coordinates give buckets of candidates. Documents with equal sets are one class and
-one candidate. Within a bucket all classes are first compared with two of them; then
+one candidate. Within a bucket all classes are first compared with one of them; then
 components are formed, and only buckets that still hold several are looked at again:
-each class outside the bucket's largest component is compared with all classes of other
-components. So no link between candidates is lost, though a bucket of one large group costs
+each class outside the bucket's largest component is compared with one more class of that,
+and if it is still apart, with all classes of other components. So no link between candidates is lost, though a bucket of one large group costs
 no more than its size. All comparisons are of the full sets.
 """
 
@@ -188,55 +188,70 @@ def near_duplicates(
         "shingle_classes",
     )
     bucketed = classes.select(F.explode("bands").alias("bucket"), "class_id", "n")
-    # Two classes of each bucket, by a scrambled order, so that no one id is always met.
     order = F.struct(F.xxhash64("class_id"), F.col("class_id").alias("id"), F.col("n").alias("n"))
     shared = (
         bucketed.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min(order).alias("low"), F.max(order).alias("high"))
+        .agg(F.count("*").alias("size"), F.min(order).alias("pivot"))
         .where(F.col("size") > 1)
-        .select("bucket", F.explode(F.array("low", "high")).alias("pivot"))
+        .select("bucket", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b"))
     )
-    shared = materialize(shared.select("bucket", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b")), "buckets")
-    rows = materialize(
-        bucketed.join(shared.select("bucket").distinct(), "bucket", "left_semi"), "bucket_rows"
-    )
-    stars = (
-        rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a"))
-        .join(shared, "bucket")
-        .where((F.col("a") != F.col("b")) & _fit(min_percent))
-        .select("a", "b")
-        .distinct()
-    )
-    # Of a pair of two pivots only one order is needed.
-    stars = stars.groupBy(F.least("a", "b").alias("_l"), F.greatest("a", "b").alias("_g")).agg(
-        F.first(F.struct("a", "b")).alias("_p")
-    ).select("_p.*")
+    shared = materialize(shared, "buckets")
+    rows = materialize(bucketed.join(shared.select("bucket"), "bucket", "left_semi"), "bucket_rows")
     needed = rows.select(F.col("class_id").alias("doc_id")).distinct()
     texts = materialize(plain.join(needed, "doc_id", "left_semi"), "candidate_texts")
-    compared = _confirmed(stars, texts, words, min_percent)
-    links = compared.where("linked").select("a", "b")
-    roots = components(links)
+    compared = docs.sparkSession.createDataFrame([], "a bigint, b bigint, linked boolean")
+    roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
 
     def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
         named = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
         return frame.join(named, node, "left").withColumn(root, F.coalesce("_root", node)).drop("_root")
 
-    placed = rooted(rows, "class_id", "root")
-    mixed = (
-        placed.groupBy("bucket")
-        .agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        .where(F.col("_low") != F.col("_high"))
-        .select("bucket")
-    )
-    open_rows = materialize(placed.join(mixed, "bucket", "left_semi"), "open_rows")
-    counts = open_rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-    largest = counts.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("_most")).select(
-        "bucket", F.col("_most.root").alias("main")
-    )
-    marked = open_rows.join(largest, "bucket")
-    outside = marked.where(F.col("root") != F.col("main")).select(
-        "bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")
+    def settle(pairs: DataFrame) -> None:
+        """Compare the pairs that have not been yet, and join the components they link."""
+        nonlocal compared, roots
+        new = pairs.where((F.col("a") != F.col("b")) & _fit(min_percent)).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        )
+        fresh = new.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        now = _confirmed(fresh, texts, words, min_percent)
+        compared = compared.unionByName(now)
+        links = now.where("linked").select("a", "b")
+        if not links.isEmpty():
+            before = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(before.unionByName(links))
+
+    def open_buckets() -> DataFrame:
+        """Rows of buckets that hold several components, with the component that has most of them."""
+        placed = rooted(rows, "class_id", "root")
+        mixed = (
+            placed.groupBy("bucket")
+            .agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+            .where(F.col("_low") != F.col("_high"))
+            .select("bucket")
+        )
+        open_rows = materialize(placed.join(mixed, "bucket", "left_semi"), "open_rows")
+        sizes = open_rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+        main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("_most"))
+        return open_rows.join(main.select("bucket", F.col("_most.root").alias("main")), "bucket")
+
+    def outside(marked: DataFrame) -> DataFrame:
+        return marked.where(F.col("root") != F.col("main")).select(
+            "bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")
+        )
+
+    # First every class with one of its bucket, the same in most buckets of a group.
+    settle(rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a")).join(shared, "bucket"))
+    # Then what is left with another class of the largest component, a different one in each bucket.
+    marked = open_buckets()
+    salted = F.struct(F.xxhash64("class_id", "bucket"), F.col("class_id").alias("id"), F.col("n").alias("n"))
+    pivots = marked.where(F.col("root") == F.col("main")).groupBy("bucket").agg(F.min(salted).alias("pivot"))
+    settle(
+        outside(marked).join(
+            pivots.select("bucket", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b")), "bucket"
+        )
     )
+    # At last what is still apart with everything in its buckets that is in another component.
+    marked = open_buckets()
     others = marked.select(
         "bucket",
         F.col("class_id").alias("b"),
@@ -244,18 +259,8 @@ def near_duplicates(
         F.col("root").alias("root_b"),
         (F.col("root") == F.col("main")).alias("in_main"),
     )
-    rest = (
-        outside.join(others, "bucket")
-        .where((F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fit(min_percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    again = _confirmed(rest.join(done, ["a", "b"], "left_anti"), texts, words, min_percent)
-    more = again.where("linked").select("a", "b")
-    if not more.isEmpty():
-        stars_left = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(stars_left.unionByName(more))
+    apart = (F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("a") < F.col("b")))
+    settle(outside(marked).join(others, "bucket").where(apart))
     of_class = rooted(classes.select("set_key", "class_id"), "class_id", "component_id")
     found = keys.select("doc_id", "n_shingles", "set_key").join(
         of_class.select(F.col("set_key"), "component_id"), "set_key", "left"
