@@ -41,7 +41,7 @@ RECIPE = parse_recipe(
         },
         "instruction_data": {
             "chats": {"path": "chats", "language": "en", "id_columns": ["conv_id"]},
-            "web_pages": {"path": "pages", "language": "cy", "usage": 0.8, "id_columns": ["page_id"]},
+            "web_pages": {"path": "pages", "language": "cy", "usage": 1.0, "id_columns": ["page_id"]},
             "texts_en": {"path": "texts", "config": "en", "language": "en", "id_columns": ["doc_id"]},
             "texts_fr": {"path": "texts", "config": "fr", "language": "fr", "id_columns": ["doc_id"]},
             "texts_de": {"path": "texts", "config": "de", "language": "de", "id_columns": ["doc_id"]},

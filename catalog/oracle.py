@@ -146,7 +146,7 @@ FROM turns
 UNION ALL
 SELECT 'web_pages', 5, * EXCLUDE (rn, n) FROM (
   SELECT *, row_number() OVER (ORDER BY order_key) AS rn, count(*) OVER () AS n FROM pages_keyed
-) WHERE rn <= floor(n * 0.8::double)
+) WHERE rn <= floor(n * 1.0::double)
 UNION ALL
 SELECT 'texts_' || lang, 5 + list_position(['en', 'fr', 'de', 'es'], lang), {_key(42, "doc_id")},
        'instruction', {_strip("split_part(text, chr(10), 1)")}, {_strip("text")}, lang, lang, 0
@@ -171,7 +171,7 @@ VIEWS["usage_lines"] = """
   UNION ALL SELECT 3, 'dictionary', 'part_terms', 1.0, (SELECT count(*) FROM part)
   UNION ALL SELECT 4, 'instruction', 'chats', 1.0,
          (SELECT count(DISTINCT conv_id) FROM conversations)
-  UNION ALL SELECT 5, 'instruction', 'web_pages', 0.8, (SELECT count(*) FROM pages)
+  UNION ALL SELECT 5, 'instruction', 'web_pages', 1.0, (SELECT count(*) FROM pages)
   UNION ALL SELECT 6, 'instruction', 'texts_en', 1.0, (SELECT count(*) FROM documents WHERE lang = 'en')
   UNION ALL SELECT 7, 'instruction', 'texts_fr', 1.0, (SELECT count(*) FROM documents WHERE lang = 'fr')
   UNION ALL SELECT 8, 'instruction', 'texts_de', 1.0, (SELECT count(*) FROM documents WHERE lang = 'de')
@@ -382,15 +382,16 @@ FROM usage_lines
 """,
     "q02_strip_and_blank_filter": f"""
 SELECT * FROM (
-  SELECT doc_id, CASE WHEN lang = 'fr' THEN '' ELSE {_strip("text")} END AS source_text,
+  SELECT doc_id, {_strip("text")} AS source_text,
          {_strip("source")} AS target_text
   FROM documents
 ) WHERE source_text <> '' AND target_text <> ''
 """,
     "q03_bitext_column_mapping": f"""
-SELECT doc_id, CASE WHEN lang = 'en' THEN 'kept' ELSE {_strip("text")} END AS en_text,
-       {_strip("source")} AS cy_text
-FROM documents WHERE lang <> 'es' AND {_strip("text")} <> '' AND {_strip("source")} <> ''
+SELECT doc_id, {_strip("text")} AS en_text, {_strip("source")} AS cy_text
+FROM documents WHERE {_strip("text")} <> '' AND {_strip("source")} <> ''
+UNION ALL
+SELECT doc_id, 'kept', {_strip("source")} FROM documents WHERE lang = 'en' AND {_strip("source")} <> ''
 """,
     "q04_bitext_json_extract": f"""
 SELECT doc_id, {_strip("json_extract_string(translation, '$.en')")} AS en_text,
@@ -399,7 +400,7 @@ FROM (SELECT doc_id, json_object('en', text, 'cy', source) AS translation FROM d
 """,
     "q04b_bitext_struct_extract": f"""
 SELECT doc_id, {_strip("text")} AS en_text, {_strip("source")} AS cy_text
-FROM documents WHERE lang <> 'de' AND {_strip("text")} <> '' AND {_strip("source")} <> ''
+FROM documents WHERE {_strip("text")} <> '' AND {_strip("source")} <> ''
 """,
     "q05_direction_expansion": f"SELECT order_key, {FLAT} FROM both_directions",
     "q06_usage_slice_union": f"SELECT section, dataset_source, order_key, {FLAT} FROM sliced",

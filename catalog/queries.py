@@ -131,15 +131,27 @@ def strip_and_blank_filter(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def bitext_column_mapping(spark: SparkSession, tables: str) -> DataFrame:
-    """Alternative column names: empty and null ones are passed over, blank ones are taken."""
+    """Alternative column names: empty and null ones are passed over, blank ones are taken.
+
+    Every text is there under its second name; further rows have a first name that is taken.
+    """
     lang = F.col("lang")
-    candidates = bindings.table(spark, tables, "documents").select(
+    documents = bindings.table(spark, tables, "documents")
+    whole = documents.select(
         "doc_id",
-        F.when(lang == "de", F.lit("")).when(lang == "en", F.lit(" kept ")).alias("text_en"),
+        F.when(lang == "de", F.lit("")).alias("text_en"),
+        F.col("text").alias("english"),
+        F.lit("").alias("text_cy"),
+        F.col("source").alias("welsh"),
+    )
+    taken = documents.where(lang.isin("en", "es")).select(
+        "doc_id",
+        F.when(lang == "en", F.lit(" kept ")).alias("text_en"),
         F.col("text").alias("english"),
         F.when(lang == "es", F.lit(" \t ")).otherwise(F.lit("")).alias("text_cy"),
         F.col("source").alias("welsh"),
     )
+    candidates = whole.unionByName(taken)
     return drop_blank(map_bitext(candidates), "en_text", "cy_text").select(
         "doc_id", "en_text", "cy_text"
     )
@@ -153,9 +165,11 @@ def bitext_json_extract(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def bitext_struct_extract(spark: SparkSession, tables: str) -> DataFrame:
-    english = F.when(F.col("lang") != "de", F.col("text"))
-    sides = F.struct(english.alias("en"), F.col("source").alias("cy"))
+    """All texts, and rows with a null side, which are blank."""
     documents = bindings.table(spark, tables, "documents")
+    null = documents.where(F.col("lang") == "de").withColumn("text", F.lit(None).cast("string"))
+    documents = documents.unionByName(null)
+    sides = F.struct(F.col("text").alias("en"), F.col("source").alias("cy"))
     pairs = map_bitext(documents.select("doc_id", sides.alias("translation")))
     return drop_blank(pairs, "en_text", "cy_text").select("doc_id", "en_text", "cy_text")
 

@@ -89,4 +89,27 @@ def row_key(df: DataFrame, id_columns: Iterable[str] = ()) -> Column:
     if names:
         parts = [F.coalesce(column(name).cast("string"), F.lit("")) for name in names]
         return reduce(lambda left, right: F.concat(left, F.lit("\0"), right), parts)
-    return F.md5(F.to_json(F.struct(*[column(name) for name in df.columns])))
+    return row_digest(df)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """Hex digest of all columns, with every value in full.
+
+    JSON shortens time stamps and leaves nulls out, so a hash of the values themselves and
+    of which ones are null goes with it; hashes in turn pass over nulls inside of values.
+    """
+    names = df.columns
+    hashable = [name for name in names if not _has_map(df.schema[name].dataType)]
+    parts = [column(name).isNull() for name in names] + [column(name) for name in hashable]
+    return F.concat(
+        F.md5(F.to_json(F.struct(*[column(name) for name in names]))),
+        F.lpad(F.hex(F.xxhash64(*parts)), 16, "0"),
+    )
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)

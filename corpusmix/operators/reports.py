@@ -51,8 +51,8 @@ def source_report(pool: DataFrame) -> DataFrame:
 
 def recipe_report(usage: DataFrame, pool: DataFrame) -> DataFrame:
     """Per source: rows it has, rows taken of it, and rows these became in the pool."""
-    became = pool.groupBy("dataset_source").agg(F.count("*").alias("rows_used"))
-    return usage.join(became, "dataset_source", "left").select(
+    became = pool.groupBy("source_ord").agg(F.count("*").alias("rows_used"))
+    return usage.join(became, "source_ord", "left").select(
         "section",
         "dataset_source",
         F.coalesce("rows_used", F.lit(0).cast("bigint")).alias("rows_used"),

@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmix.functions.frames import compute_once, emit_copies
+from corpusmix.functions.text import row_digest
 from corpusmix.session import materialize, pin_small
 
 KEY_DIGITS = 3
 VALUE_BUCKETS = 65_536
-SMALL_PREFIX = 1_000
 GATHERED_ROWS = 1_000_000
 
 Quota = Callable[[DataFrame], DataFrame]
@@ -94,7 +94,8 @@ def thresholds(
     """The last key to take from each group: ``groups, k, value, before, at_value``.
 
     ``before`` counts the rows below that key, ``at_value`` those that have it.
-    Groups with a quota of zero have no line. One pass over the groups and keys
+    Groups with a quota of zero have no line; a quota above the rows of a group means
+    all of them. One pass over the groups and keys
     makes the histogram; buckets with more than ``gathered_rows`` rows are divided
     once more, which is enough for any table: one key in 16 million is left.
     """
@@ -103,13 +104,17 @@ def thresholds(
     present = df.select(*groups, F.col(order_key).alias("_key")).dropna(subset=groups)
     keyed = compute_once(present, value=F.col("_key")).drop("_key")
 
+    def clamped(counts: DataFrame) -> DataFrame:
+        return counts.withColumn("k", F.least("k", "available"))
+
     def by_quota(running: DataFrame) -> DataFrame:
         based = running.withColumn("base", F.lit(0).cast("bigint"))
         if not groups:
             everything = F.sum("n").over(Window.partitionBy())
-            return quota(based.withColumn("available", everything))
+            return clamped(quota(based.withColumn("available", everything)))
         sizes = running.groupBy(*groups).agg(F.sum("n").alias("available"))
-        return based.join(quota(sizes).select(*groups, "k"), groups)
+        wanted = quota(sizes).select(*groups, "k").join(sizes, groups)
+        return based.join(clamped(wanted).select(*groups, "k"), groups)
 
     digits = KEY_DIGITS
     cuts = _cuts(keyed, groups, digits, by_quota)
@@ -174,35 +179,52 @@ def mark_first(
 def take_exact(
     df: DataFrame, quota: Quota, order_key: str = "order_key", groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Exactly k rows of each group, lowest keys first.
+    """Exactly k rows of each group, lowest keys first, and none more often than it came in.
+
+    If a quota ends among rows of one key, these are ordered by a digest of the whole row
+    and selected in the same way. Rows that still tie are copies of each other; they are
+    counted and written out as often as needed, however many there are.
+    """
+    kept, tied = _split_at_limit(df, quota, order_key, groups)
+    if tied is None:
+        return kept
+    digested = compute_once(tied, _digest=row_digest(tied.drop("_room")))
+
+    def room_quota(counts: DataFrame) -> DataFrame:
+        rooms = pin_small(tied.groupBy(*groups).agg(F.first("_room").alias("k")))
+        if groups:
+            return counts.join(rooms, list(groups))
+        return counts.withColumn("k", F.lit(rooms.first()["k"]))
+
+    more, copies = _split_at_limit(digested.drop("_room"), room_quota, "_digest", groups)
+    taken = kept.unionByName(more.drop("_digest"))
+    if copies is None:
+        return taken
+    counted = copies.drop("_digest").groupBy(*df.columns).agg(F.first("_room").alias("_room"))
+    return taken.unionByName(emit_copies(counted, "_room"))
 
-    Rows with the same key must be copies of each other. If a quota ends among
-    copies, these are counted and then written out as often as needed, which
-    is exact and does not gather them, however many there are.
+
+def _split_at_limit(
+    df: DataFrame, quota: Quota, order_key: str, groups: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows that are in for sure, and those of a key within which a quota ends.
+
+    The latter have ``_room``, how many of them to take in their group; None if there are none.
     """
     limits = thresholds(df, quota, order_key, groups)
     compared = _with_threshold(df, limits, groups, "inner")
     room = F.col("_k") - F.col("_before")
-    whole = (F.col(order_key) < F.col("_last")) | (
-        (F.col(order_key) == F.col("_last")) & (room == F.col("_tied"))
-    )
+    at_limit = F.col(order_key) == F.col("_last")
+    whole = (F.col(order_key) < F.col("_last")) | (at_limit & (room == F.col("_tied")))
     kept = compared.where(whole).select(*df.columns)
-    split_ties = limits.where(F.col("k") - F.col("before") < F.col("at_value"))
-    if split_ties.isEmpty():
-        return kept
-    copies = compared.where((F.col(order_key) == F.col("_last")) & (room < F.col("_tied")))
-    counted = copies.groupBy(*df.columns).agg(F.first(room).alias("_room"))
-    return kept.unionByName(emit_copies(counted, "_room"))
+    if limits.where(F.col("k") - F.col("before") < F.col("at_value")).isEmpty():
+        return kept, None
+    tied = compared.where(at_limit & (room < F.col("_tied")))
+    return kept, tied.select(*df.columns, room.alias("_room"))
 
 
 def first_rows(df: DataFrame, rows: int, order_key: str = "order_key") -> DataFrame:
-    """The first ``rows`` rows in key order.
-
-    A short prefix is a top-k, which every task computes for itself. A longer
-    one is an exact selection, so that it never passes through a single task.
-    """
-    if rows <= SMALL_PREFIX:
-        return df.orderBy(order_key).limit(rows)
+    """The first ``rows`` rows in key order, by the same selection for every size."""
     return take_exact(df, fixed_quota(rows), order_key)
 
 
@@ -212,11 +234,15 @@ def exact_medians(
     """Exact median of a numeric column per group: ``groups, median``.
 
     The range that holds the middle is narrowed, one narrow pass at a time, until
-    it holds few enough rows or a single value. Then its values are counted and
-    ranked. Two middle values are averaged.
+    it holds few enough rows or a single value: first to values of one sign and power
+    of two, then by 16 bits a pass, so five passes are enough for any numbers. Then its
+    values are counted and ranked. Two middle values are averaged. NaN counts as larger than
+    all numbers, as Spark orders it. The values are written once, so no pass
+    computes the input again.
     """
-    present = df.where(F.col(value).isNotNull()).select(
-        *groups, F.col(value).cast("double").alias("v")
+    present = materialize(
+        df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("v")),
+        "median_values",
     )
     sizes = present.groupBy(*groups).agg(
         F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("rows")
@@ -240,9 +266,21 @@ def exact_medians(
             joined = present.select("*", F.inline(F.array(*pairs)))
         return joined.where((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
 
+    power = F.floor(F.log2(F.abs("v"))) + 1_500
+    by_power = (
+        F.when(F.isnan("v"), 10_000)
+        .when(F.col("v") == float("inf"), 9_000)
+        .when(F.col("v") == float("-inf"), -9_000)
+        .when(F.col("v") == 0, 0)
+        .otherwise(F.when(F.col("v") > 0, power).otherwise(-power))
+        .cast("bigint")
+    )
+    spread = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+    by_place = F.floor(spread * (VALUE_BUCKETS - 1))
+    first_pass = True
     while not lines.where(open_range).isEmpty():
-        spread = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
-        bucket = F.when(F.col("low") < F.col("high"), F.floor(spread * (VALUE_BUCKETS - 1)))
+        bucket = F.when(F.col("low") < F.col("high"), by_power if first_pass else by_place)
+        first_pass = False
         keys = [*groups, "low", "high"]
         histogram = (
             in_range(lines)

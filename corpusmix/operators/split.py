@@ -68,6 +68,42 @@ def proportional_quota(test_rows: int) -> Quota:
     return quota
 
 
+def capped_parts(sizes: dict[str, int], test_rows: int) -> dict[str, int]:
+    """Proportional parts that leave a training row in every stratum.
+
+    A part above its cap is set to it, and what is left is dealt out among the others
+    again, until no part is above. Parts are largest remainders, ties in the order of the keys.
+    """
+    caps = {key: rows - 1 for key, rows in sizes.items() if rows > 1}
+    if test_rows > sum(caps.values()):
+        raise ValueError(f"{test_rows} test rows would leave a stratum without training rows")
+    fixed_parts: dict[str, int] = {}
+    while True:
+        free = sorted(key for key in caps if key not in fixed_parts)
+        left = test_rows - sum(fixed_parts.values())
+        total = sum(sizes[key] for key in free)
+        parts = {key: sizes[key] * left // total for key in free}
+        by_rest = sorted(free, key=lambda key: (-(sizes[key] * left % total), key))
+        for key in by_rest[: left - sum(parts.values())]:
+            parts[key] += 1
+        above = {key: caps[key] for key in free if parts[key] > caps[key]}
+        if not above:
+            return fixed_parts | parts
+        fixed_parts |= above
+
+
+def given_quota(parts: dict[str, int]) -> Quota:
+    """The stated part of each stratum; others get none."""
+
+    def quota(counts: DataFrame) -> DataFrame:
+        lines = counts.sparkSession.createDataFrame(
+            list(parts.items()), "stratify_key string, k bigint"
+        )
+        return counts.join(lines, "stratify_key")
+
+    return quota
+
+
 def stratified_split(
     df: DataFrame,
     eval_size: int | float,
@@ -77,7 +113,9 @@ def stratified_split(
     """Add ``stratify_key`` and ``split`` (``train`` or ``test``) to rows with unique hashes.
 
     A stratum of a single row cannot be on both sides: it is an error, or stays
-    in training with ``on_small_stratum="train_only"``. Counting strata is one
+    in training with ``on_small_stratum="train_only"``; then every stratum keeps a training
+    row, others make up for what a small one cannot give, and a size that cannot be
+    reached is an error. Counting strata is one
     pass over two narrow columns; after it no row is moved at all.
     """
     if on_small_stratum not in ("error", "train_only"):
@@ -96,10 +134,12 @@ def stratified_split(
         if test_rows < totals["strata"] or totals["rows"] - test_rows < totals["strata"]:
             raise ValueError(f"{test_rows} test rows cannot cover {totals['strata']} strata")
 
-    proportional = proportional_quota(test_rows)
-
-    def quota(sizes: DataFrame) -> DataFrame:
-        return proportional(sizes.where(F.col("available") > 1))
+    if on_small_stratum == "error":
+        quota = proportional_quota(test_rows)
+    else:
+        # One line per pair of task and languages.
+        sizes = {row["stratify_key"]: row["available"] for row in counts.toLocalIterator()}
+        quota = given_quota(capped_parts(sizes, test_rows))
 
     drawn = keyed.withColumn("_draw", keyed_hash(seed, F.col("pair_hash")))
     marked = mark_first(drawn, quota, "_test", "_draw", ["stratify_key"])

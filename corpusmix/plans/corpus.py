@@ -100,7 +100,7 @@ def source_usage(spark: SparkSession, recipe: Recipe, loader: Loader = read_sour
         loader(spark, entry)
         .agg(F.count("*").alias("rows_available"))
         .select(
-            F.lit(entry.name).alias("dataset_source"),
+            F.lit(entry.source_ord).alias("source_ord"),
             "rows_available",
             F.floor(F.col("rows_available").cast("double") * entry.usage)
             .cast("bigint")
@@ -109,7 +109,7 @@ def source_usage(spark: SparkSession, recipe: Recipe, loader: Loader = read_sour
         for entry in recipe.active_entries
     ]
     counts = _union(parts)
-    return recipe.to_frame(spark).where(F.col("usage") > 0).join(counts, "dataset_source")
+    return recipe.to_frame(spark).where(F.col("usage") > 0).join(counts, "source_ord")
 
 
 @dataclass(frozen=True)

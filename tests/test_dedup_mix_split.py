@@ -178,6 +178,20 @@ def test_small_strata(spark):
         split.stratified_split(unique, 10, on_small_stratum="drop")
 
 
+def test_train_only_gives_the_exact_size_or_an_error(spark):
+    sizes = {("translation", "en", "cy"): 2, ("instruction", "l", "l"): 9}
+    sizes |= {("instruction", f"l{n}", "x"): 1 for n in range(8)}
+    unique = unique_rows(spark, sizes)
+    whole = split.stratified_split(unique, 5, on_small_stratum="train_only")
+    counts = Counter((r["stratify_key"], r["split"]) for r in whole.collect())
+    assert sum(n for (_, part), n in counts.items() if part == "test") == 5
+    assert {key for key, part in counts if part == "train"} == {key for key, _ in counts}
+    with pytest.raises(ValueError, match="without training rows"):
+        split.stratified_split(unique, 10, on_small_stratum="train_only")
+    assert split.capped_parts({"a": 2, "b": 2, "c": 96}, 90) == {"a": 1, "b": 1, "c": 88}
+    assert split.capped_parts({"a": 3, "b": 3}, 4) == {"a": 2, "b": 2}
+
+
 def test_stratum_codes_are_dense_and_sorted(spark):
     coded = split.with_stratum_code(split.with_stratify_key(unique_rows(spark, SIZES)))
     pairs = sorted({(r["stratum_code"], r["stratify_key"]) for r in coded.collect()})

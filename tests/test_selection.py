@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from corpusmix.functions.frames import emit_copies
-from corpusmix.functions.text import keyed_hash
+from corpusmix.functions.text import keyed_hash, row_key
 from corpusmix.operators import selection
 from corpusmix.session import pin_small
 
@@ -97,12 +97,57 @@ def test_many_groups_fall_back_to_a_shuffle_join(spark, monkeypatch):
     assert rows(found) == brute(df, lambda _, n: int(n * 0.4))
 
 
-def test_first_rows(spark, monkeypatch):
-    df = numbered(spark, 300)
-    expected = sorted((tuple(r) for r in df.orderBy("key").limit(40).collect()), key=repr)
-    assert rows(selection.first_rows(df, 40, "key")) == expected
-    monkeypatch.setattr(selection, "SMALL_PREFIX", 10)
-    assert rows(selection.first_rows(df, 40, "key")) == expected
+@pytest.mark.parametrize("k", [40, 1001])
+def test_first_rows(spark, k):
+    df = numbered(spark, 1500)
+    expected = sorted((tuple(r) for r in df.orderBy("key").limit(k).collect()), key=repr)
+    assert rows(selection.first_rows(df, k, "key")) == expected
+
+
+@pytest.mark.parametrize("k", [1, 500, 999, 1000, 1001, 2999])
+def test_ties_among_different_rows(spark, k):
+    """Two keys for 3,000 rows, a third of which are copies: k rows, none more often than it is there."""
+    data = [(f"{n % 2}", n if n % 3 else 0) for n in range(3000)]
+    df = spark.createDataFrame(data, "key string, v int").repartition(5)
+    found = Counter(tuple(r) for r in selection.first_rows(df, k, "key").collect())
+    assert sum(found.values()) == k
+    assert not found - Counter(data)
+    assert sum(n for (key, _), n in found.items() if key == "0") == min(k, 1500)
+
+
+def test_ties_in_groups_and_null_keys(spark):
+    data = [(n % 3, None if n % 5 == 0 else "x", n) for n in range(600)]
+    df = spark.createDataFrame(data, "g int, id string, v int").withColumn(
+        "key", keyed_hash(1, F.coalesce("id", F.lit("")))
+    )
+    found = selection.take_exact(df, selection.fraction_quota(0.5), "key", ["g"]).collect()
+    assert Counter(r["g"] for r in found) == {0: 100, 1: 100, 2: 100}
+    assert len({r["v"] for r in found}) == 300
+
+
+def test_rows_that_differ_by_microseconds_have_their_own_key(spark):
+    df = spark.range(1000).select(F.timestamp_micros("id").alias("ts"), F.lit(None).cast("string").alias("n"))
+    entry_key = keyed_hash(1, row_key(df))
+    assert df.select(entry_key.alias("key")).distinct().count() == 1000
+    taken = selection.take_exact(df.withColumn("key", entry_key), selection.fraction_quota(0.5), "key")
+    assert taken.select("ts").distinct().count() == taken.count() == 500
+
+
+def test_a_quota_above_the_rows_means_all(spark):
+    df = numbered(spark, 30)
+    over = selection.take_exact(df, lambda c: c.withColumn("k", F.lit(99).cast("bigint")), "key", ["g"])
+    assert over.count() == 30
+
+
+@pytest.mark.parametrize("odd", [float("inf"), float("-inf"), float("nan"), 1e300, 5e-324])
+def test_medians_end_for_any_number(spark, odd):
+    data = [float(v) for v in range(-100, 100)] + [odd] * 3 + [-1e-310, 2.5e-320]
+    df = spark.createDataFrame([(v,) for v in data], "v double")
+    ordered = sorted(data, key=lambda v: (v != v, v if v == v else 0.0))
+    middle = ordered[len(ordered) // 2] if len(ordered) % 2 else sum(ordered[len(ordered) // 2 - 1 :][:2]) / 2
+    assert selection.exact_medians(df, "v", gathered_rows=2).first()["median"] == middle
+    infinite = df.unionByName(spark.createDataFrame([(float("inf"),)] * 500, "v double"))
+    assert selection.exact_medians(infinite, "v", gathered_rows=2).first()["median"] == float("inf")
 
 
 def test_emit_copies(spark):
