@@ -119,12 +119,12 @@ def recipe_active_sources(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def strip_and_blank_filter(spark: SparkSession, tables: str) -> DataFrame:
-    """Texts wrapped in several kinds of white space; French ones are only that."""
+    """All texts wrapped in several kinds of white space, and rows that are only that."""
     documents = bindings.table(spark, tables, "documents")
-    text = F.when(F.col("lang") == "fr", F.lit("")).otherwise(F.col("text"))
-    wrapped = documents.select(
+    blank = documents.where(F.col("lang") == "fr").withColumn("text", F.lit(""))
+    wrapped = documents.unionByName(blank).select(
         "doc_id",
-        strip(F.concat(F.lit(" \t　"), text, F.lit("  \x1f\n"))).alias("source_text"),
+        strip(F.concat(F.lit(" \t　"), F.col("text"), F.lit("  \x1f\n"))).alias("source_text"),
         strip(F.concat(F.lit(" \x85"), F.col("source"))).alias("target_text"),
     )
     return drop_blank(wrapped)
