@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmix.llm import bpe, chat, decontaminate, language, minhash, pii, quality, repeats, token_files, url_rules
 from corpusmix.llm.common import table
+from corpusmix.llm.oracle import ORACLE  # noqa: F401
 from corpusmix.session import materialize, stage_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -95,4 +96,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {}
