@@ -10,9 +10,14 @@ the probability of the sets' similarity.
 Bands of coordinates give buckets of candidates. Documents with equal sets are one class and
 one candidate. Within a bucket all classes are first compared with one of them; then
 components are formed, and only buckets that still hold several are looked at again:
-each class outside the bucket's largest component is compared with one more class of that,
-and if it is still apart, with all classes of other components. So no link between candidates is lost, though a bucket of one large group costs
-no more than its size. All comparisons are of the full sets.
+each class outside the bucket's largest component is compared with one more class of that.
+What is still apart is compared with all classes of other components in small buckets. In larger
+ones a bound leaves out pairs that cannot be linked: every set is written as its difference
+from a centre, the shingles that most of a few members have. Two sets of ``a`` and ``b`` shingles
+that differ from the centre in ``d`` and ``e`` are linked if, and only if, their differences share
+at least ``(d + e - (a + b) * (100 - P) / (100 + P)) / 2`` shingles, so with the shingles of all
+differences in one order, the first ones of both must meet. A centre that fits badly
+costs time and no link. All comparisons are of the full sets, so no link between candidates is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmix.llm.common import map_batches
@@ -34,6 +39,8 @@ BAND_SIZE = 4
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 VALUE_BITS = 48
+SMALL_BUCKET = 16  # classes; all pairs of larger buckets go through the bound first
+CENTRE_MEMBERS = 64  # members that a centre is made from; it only decides how well the bound works
 KEY_SCHEMA = "doc_id bigint, n_shingles long, set_key binary, bands array<bigint>"
 _U = np.uint64
 
@@ -163,6 +170,129 @@ def _fit(min_percent: int):
     return 100 * small >= min_percent * large
 
 
+def _members(words: int):
+    """Shingles of each ``centre, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(text.as_py(), words).astype(np.int64) for text in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["centre", "shingles"]
+                )
+
+    return run
+
+
+def difference(shingles: np.ndarray, known: np.ndarray, counts: np.ndarray, members: int) -> np.ndarray:
+    """Shingles in which a set differs from the centre, rare differences first.
+
+    ``known`` are the shingles that any of ``members`` sets had, and ``counts`` how many had
+    each; the centre has those that more than half had.
+    """
+    central = 2 * counts > members
+    parts = np.setxor1d(shingles, known[central], assume_unique=True)
+    order = np.argsort(known)
+    at = order[np.minimum(np.searchsorted(known, parts, sorter=order), max(len(known) - 1, 0))] if len(known) else None
+    rarity = np.zeros(len(parts), np.int64)
+    if at is not None:
+        met = known[at] == parts
+        rarity[met] = np.minimum(counts[at], members - counts[at])[met]
+    return parts[np.lexsort((parts, rarity))]
+
+
+def _differences(words: int, min_percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centre, class_id, n, root, outside, text, members, known, counts = batch.columns
+            sizes, firsts = [], []
+            for k in range(batch.num_rows):
+                parts = difference(
+                    shingle_set(text[k].as_py(), words).astype(np.int64),
+                    known[k].values.to_numpy(),
+                    counts[k].values.to_numpy(),
+                    members[k].as_py(),
+                )
+                sizes.append(len(parts))
+                # A linked set has at most n * 100 / P shingles, so no pair needs more than these.
+                firsts.append(parts[: n[k].as_py() * (100 - min_percent) // min_percent + 1])
+            yield pa.RecordBatch.from_arrays(
+                [centre, class_id, n, root, outside, pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
+                ["centre", "class_id", "n", "root", "outside", "d", "firsts"],
+            )
+
+    return run
+
+
+def _bounded_pairs(placed: DataFrame, texts: DataFrame, words: int, min_percent: int) -> DataFrame:
+    """``a, b, n_a, n_b`` that may be linked, of ``placed`` (``centre, class_id, n, root, outside``).
+
+    Has all linked pairs of one centre with different roots, one of them outside, or
+    links each of both with the set that is nearest to the centre.
+    """
+    text_of = texts.select(F.col("doc_id").alias("class_id"), "text")
+    turn = F.row_number().over(Window.partitionBy("centre").orderBy(F.xxhash64("class_id"), "class_id"))
+    chosen = placed.select("centre", "class_id").withColumn("_turn", turn).where(F.col("_turn") <= CENTRE_MEMBERS)
+    sets = map_batches(
+        chosen.join(text_of, "class_id").select("centre", "text"), _members(words), "centre bigint, shingles array<bigint>"
+    )
+    sizes = placed.groupBy("centre").agg(F.least(F.count("*"), F.lit(CENTRE_MEMBERS)).alias("members"))
+    centres = materialize(
+        sets.select("centre", F.explode("shingles").alias("shingle"))
+        .groupBy("centre", "shingle")
+        .agg(F.count("*").cast("bigint").alias("count"))
+        .join(sizes, "centre")
+        .where((F.col("count") > 1) | (2 * F.col("count") > F.col("members")))
+        .groupBy("centre", "members")
+        .agg(F.collect_list(F.struct("shingle", "count")).alias("known")),
+        "centres",
+    )
+    about = sizes.join(centres.drop("members"), "centre", "left").select(
+        "centre",
+        "members",
+        F.coalesce("known.shingle", F.array().cast("array<bigint>")).alias("known"),
+        F.coalesce("known.count", F.array().cast("array<bigint>")).alias("counts"),
+    )
+    joined = placed.join(text_of, "class_id").join(about, "centre")
+    different = materialize(
+        map_batches(
+            joined.select("centre", "class_id", "n", "root", "outside", "text", "members", "known", "counts"),
+            _differences(words, min_percent),
+            "centre bigint, class_id bigint, n long, root bigint, outside boolean, d long, firsts array<bigint>",
+        ),
+        "differences",
+    )
+    more, less = 100 + min_percent, 100 - min_percent
+    spread = (more * F.col("d") - less * F.col("n")).alias("s")  # two sets are surely linked if their sum is 0 or less
+    nearest = different.groupBy("centre").agg(F.min(F.struct(spread, "class_id", "n", "root")).alias("near"))
+    sure = (
+        different.select("centre", F.col("class_id").alias("a"), F.col("n").alias("n_a"), "root", spread)
+        .join(nearest, "centre")
+        .where((F.col("s") + F.col("near.s") <= 0) & (F.col("root") != F.col("near.root")))
+        .select("a", F.col("near.class_id").alias("b"), "n_a", F.col("near.n").alias("n_b"))
+    )
+    first = different.select(
+        "centre", "class_id", "n", "root", "outside", "d", spread, F.posexplode("firsts").alias("at", "shingle")
+    )
+    one, other = (
+        first.select("centre", "shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "root", "outside", "d", "s", "at")))
+        for x in "ab"
+    )
+    needed = F.ceil((F.col("s_a") + F.col("s_b")) / (2 * more))
+    may = (
+        (F.col("root_a") != F.col("root_b"))
+        & (~F.col("outside_b") | (F.col("class_id_a") < F.col("class_id_b")))
+        & (needed > 0)  # the others are in one component with the nearest set
+        & (F.col("d_a") - F.col("at_a") >= needed)
+        & (F.col("d_b") - F.col("at_b") >= needed)
+    )
+    met = one.where("outside_a").join(other, ["centre", "shingle"]).where(may)
+    return sure.unionByName(
+        met.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"), "n_a", "n_b")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
 ) -> DataFrame:
@@ -193,7 +323,7 @@ def near_duplicates(
         bucketed.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(order).alias("pivot"))
         .where(F.col("size") > 1)
-        .select("bucket", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b"))
+        .select("bucket", "size", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b"))
     )
     shared = materialize(shared, "buckets")
     rows = materialize(bucketed.join(shared.select("bucket"), "bucket", "left_semi"), "bucket_rows")
@@ -240,7 +370,7 @@ def near_duplicates(
         )
 
     # First every class with one of its bucket, the same in most buckets of a group.
-    settle(rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a")).join(shared, "bucket"))
+    settle(rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a")).join(shared.drop("size"), "bucket"))
     # Then what is left with another class of the largest component, a different one in each bucket.
     marked = open_buckets()
     salted = F.struct(F.xxhash64("class_id", "bucket"), F.col("class_id").alias("id"), F.col("n").alias("n"))
@@ -251,16 +381,27 @@ def near_duplicates(
         )
     )
     # At last what is still apart with everything in its buckets that is in another component.
-    marked = open_buckets()
-    others = marked.select(
-        "bucket",
-        F.col("class_id").alias("b"),
-        F.col("n").alias("n_b"),
-        F.col("root").alias("root_b"),
-        (F.col("root") == F.col("main")).alias("in_main"),
+    marked = open_buckets().join(
+        shared.select("bucket", "size", F.col("b").alias("centre")), "bucket"
+    ).withColumn("outside", F.col("root") != F.col("main"))
+    marked = materialize(marked, "last_rows")
+    small = marked.where(F.col("size") <= SMALL_BUCKET)
+    one, other = (
+        small.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "root", "outside"))) for x in "ab"
+    )
+    apart = (F.col("root_a") != F.col("root_b")) & (
+        ~F.col("outside_b") | (F.col("class_id_a") < F.col("class_id_b"))
+    )
+    near = one.where("outside_a").join(other, "bucket").where(apart).select(
+        F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"), "n_a", "n_b"
+    )
+    placed = (
+        marked.where(F.col("size") > SMALL_BUCKET)
+        .groupBy("centre", "class_id")
+        .agg(F.first("n").alias("n"), F.first("root").alias("root"), F.max("outside").alias("outside"))
     )
-    apart = (F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("a") < F.col("b")))
-    settle(outside(marked).join(others, "bucket").where(apart))
+    placed = materialize(placed, "placed")
+    settle(near.unionByName(_bounded_pairs(placed, texts, words, min_percent)))
     of_class = rooted(classes.select("set_key", "class_id"), "class_id", "component_id")
     found = keys.select("doc_id", "n_shingles", "set_key").join(
         of_class.select(F.col("set_key"), "component_id"), "set_key", "left"

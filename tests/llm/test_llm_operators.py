@@ -148,6 +148,11 @@ def test_near_duplicates_equal_brute_force(spark, docs):
         for _ in range(rng.randint(0, 9)):
             words[rng.randrange(len(words))] = f"new{rng.random()}"
         near.append((200 + k, " ".join(words)))
+    for k in range(120):  # most of these are linked with few or none
+        words = BASE.split()
+        for at in rng.sample(range(len(words)), rng.randint(4, 14)):
+            words[at] = f"new{rng.randrange(3)}" if at % 3 else f"own{rng.random()}"
+        near.append((400 + k, " ".join(words)))
     table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id bigint, text string"))
     sets = {}
     for doc_id, text in pairs(table):
@@ -175,6 +180,24 @@ def test_near_duplicates_equal_brute_force(spark, docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_differences_bound_linked_sets():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 100)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(85, 101)], rng.integers(0, 1 << 62, 8)])) for _ in range(40)]
+    known, counts = np.unique(np.concatenate(sets[:9]), return_counts=True)
+    mixed = rng.permutation(len(known))
+    firsts = [minhash.difference(s, known[mixed], counts[mixed], 9).tolist() for s in sets]
+    for a, one in zip(sets, firsts):
+        for b, other in zip(sets, firsts):
+            assert len(np.setxor1d(a, b)) == len(one) + len(other) - 2 * len(set(one) & set(other))
+            need = -int(-(180 * (len(one) + len(other)) - 20 * (len(a) + len(b))) // 360)
+            shared = len(np.intersect1d(a, b))
+            if need > 0 and 100 * shared >= 80 * (len(a) + len(b) - shared):
+                assert set(one[: len(one) - need + 1]) & set(other[: len(other) - need + 1])
+            assert [x for x in one if x in set(other)] == [x for x in other if x in set(one)]
+    assert minhash.difference(base, known[:0], counts[:0], 0).tolist() == sorted(base.tolist())
+
+
 def test_sketches_fill_and_agree_like_the_sets():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
