@@ -11,8 +11,8 @@ Bands of coordinates give buckets of candidates. Documents with equal sets are o
 one candidate. Within a bucket all classes are first compared with one of them; then
 components are formed, and only buckets that still hold several are looked at again:
 each class outside the bucket's largest component is compared with one more class of that.
-What is still apart is compared with all classes of other components in small buckets. In larger
-ones a bound leaves out pairs that cannot be linked: every set is written as its difference
+What is still apart is compared with all classes of other components in buckets that are small or
+have few classes apart. In others a bound leaves out pairs that cannot be linked: every set is written as its difference
 from a centre, the shingles that most of a few members have. Two sets of ``a`` and ``b`` shingles
 that differ from the centre in ``d`` and ``e`` are linked if, and only if, their differences share
 at least ``(d + e - (a + b) * (100 - P) / (100 + P)) / 2`` shingles, so with the shingles of all
@@ -39,8 +39,9 @@ BAND_SIZE = 4
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 VALUE_BITS = 48
-SMALL_BUCKET = 16  # classes; all pairs of larger buckets go through the bound first
-CENTRE_MEMBERS = 64  # members that a centre is made from; it only decides how well the bound works
+SMALL_BUCKET = 16  # classes; and
+FEW_APART = 4  # classes outside the largest component: in buckets above both, pairs go through the bound first
+CENTRE_MEMBERS = 16  # members that a centre is made from; it only decides how well the bound works
 KEY_SCHEMA = "doc_id bigint, n_shingles long, set_key binary, bands array<bigint>"
 _U = np.uint64
 
@@ -323,7 +324,7 @@ def near_duplicates(
         bucketed.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min(order).alias("pivot"))
         .where(F.col("size") > 1)
-        .select("bucket", "size", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b"))
+        .select("bucket", F.col("pivot.id").alias("b"), F.col("pivot.n").alias("n_b"))
     )
     shared = materialize(shared, "buckets")
     rows = materialize(bucketed.join(shared.select("bucket"), "bucket", "left_semi"), "bucket_rows")
@@ -361,8 +362,11 @@ def near_duplicates(
         )
         open_rows = materialize(placed.join(mixed, "bucket", "left_semi"), "open_rows")
         sizes = open_rows.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("_most"))
-        return open_rows.join(main.select("bucket", F.col("_most.root").alias("main")), "bucket")
+        main = sizes.groupBy("bucket").agg(
+            F.max(F.struct("size", "root")).alias("_most"), F.sum("size").alias("_all")
+        )
+        few = (F.col("_all") <= SMALL_BUCKET) | (F.col("_all") - F.col("_most.size") <= FEW_APART)
+        return open_rows.join(main.select("bucket", F.col("_most.root").alias("main"), few.alias("few")), "bucket")
 
     def outside(marked: DataFrame) -> DataFrame:
         return marked.where(F.col("root") != F.col("main")).select(
@@ -370,7 +374,7 @@ def near_duplicates(
         )
 
     # First every class with one of its bucket, the same in most buckets of a group.
-    settle(rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a")).join(shared.drop("size"), "bucket"))
+    settle(rows.select("bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a")).join(shared, "bucket"))
     # Then what is left with another class of the largest component, a different one in each bucket.
     marked = open_buckets()
     salted = F.struct(F.xxhash64("class_id", "bucket"), F.col("class_id").alias("id"), F.col("n").alias("n"))
@@ -382,10 +386,10 @@ def near_duplicates(
     )
     # At last what is still apart with everything in its buckets that is in another component.
     marked = open_buckets().join(
-        shared.select("bucket", "size", F.col("b").alias("centre")), "bucket"
+        shared.select("bucket", F.col("b").alias("centre")), "bucket"
     ).withColumn("outside", F.col("root") != F.col("main"))
     marked = materialize(marked, "last_rows")
-    small = marked.where(F.col("size") <= SMALL_BUCKET)
+    small = marked.where("few")
     one, other = (
         small.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "root", "outside"))) for x in "ab"
     )
@@ -396,7 +400,7 @@ def near_duplicates(
         F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"), "n_a", "n_b"
     )
     placed = (
-        marked.where(F.col("size") > SMALL_BUCKET)
+        marked.where(~F.col("few"))
         .groupBy("centre", "class_id")
         .agg(F.first("n").alias("n"), F.first("root").alias("root"), F.max("outside").alias("outside"))
     )
