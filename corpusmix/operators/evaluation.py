@@ -57,11 +57,17 @@ def apply_in_batches(
     return df.mapInPandas(run, schema)
 
 
-def metric_input(predictions: DataFrame, reference_free: bool = False) -> DataFrame:
-    """What the metric reads; without references their column is empty."""
+def metric_input(
+    predictions: DataFrame, reference_free: bool = False, key: str | None = None
+) -> DataFrame:
+    """What the metric reads; without references their column is empty.
+
+    With ``key``, each row carries it, so that ``join_scores`` can match its score.
+    """
+    keys = [] if key is None else [key]
     reference = F.lit("") if reference_free else F.col("target_text")
     return predictions.select(
-        F.col("source_text").alias("source"), "hypothesis", reference.alias("reference")
+        *keys, F.col("source_text").alias("source"), "hypothesis", reference.alias("reference")
     )
 
 

@@ -14,13 +14,18 @@ MAX_SPLITS = 100
 
 
 def read_source(spark: SparkSession, entry: SourceEntry, schema: T.StructType | None = None) -> DataFrame:
-    """Scan one source. ``config`` names a folder below the source's path."""
+    """Scan one source. ``config`` names a folder below the source's path.
+
+    A ``schema``, given here or in the entry, saves a scan that only infers it. A csv file
+    is one task, as its fields may hold line breaks, unless its entry says ``multi_line: false``.
+    """
     path = f"{entry.path.rstrip('/')}/{entry.config}" if entry.config else entry.path
     reader = spark.read.format(entry.format)
-    if schema is not None:
-        reader = reader.schema(schema)
+    columns = entry.schema if schema is None else schema
+    if columns is not None:
+        reader = reader.schema(columns)
     if entry.format == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", entry.multi_line).option("escape", '"')
     return reader.load(path)
 
 

@@ -45,6 +45,8 @@ class SourceEntry:
     config: str | None = None
     format: str = "parquet"
     id_columns: tuple[str, ...] = ()
+    schema: str | None = None
+    multi_line: bool = True
 
     @property
     def active(self) -> bool:
@@ -129,6 +131,8 @@ def _entry(section: str, name: str, info: Mapping[str, Any], source_ord: int) ->
         config=info.get("config"),
         format=info.get("format", "parquet"),
         id_columns=tuple(info.get("id_columns", ())),
+        schema=info.get("schema"),
+        multi_line=bool(info.get("multi_line", True)),
     )
 
 

@@ -40,6 +40,9 @@ def test_metric_input(spark):
     df = spark.createDataFrame([("s", "t", "h")], "source_text string, target_text string, hypothesis string")
     assert rows(evaluation.metric_input(df)) == [("s", "h", "t")]
     assert rows(evaluation.metric_input(df, reference_free=True)) == [("s", "h", "")]
+    keyed = evaluation.metric_input(df.selectExpr("'k' AS row_id", "*"), key="row_id")
+    scores = keyed.selectExpr("row_id", "1.5D AS prediction")
+    assert evaluation.join_scores(keyed, scores).first()["prediction"] == 1.5
 
 
 def scored(spark, scores):

@@ -230,3 +230,16 @@ def test_read_source(spark, tmp_path, kind):
     writer.format(kind).save(f"{path}/part-a")
     entry = SourceEntry("translation", "x", path, 0, config="part-a", format=kind)
     assert rows(read_source(spark, entry, df.schema if kind == "json" else None), "en", "cy") == rows(df)
+
+
+def test_source_options_of_a_recipe(spark, tmp_path):
+    from corpusmix.sources.recipe import parse_recipe
+
+    path = str(tmp_path / "texts.csv")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write('en,n\n"two\nlines",1\nplain,2\n')
+    info = {"path": path, "format": "csv", "schema": "en string, n bigint", "multi_line": True}
+    entry = parse_recipe({"translation_data": {"texts": info}}).entries[0]
+    assert rows(read_source(spark, entry), "en", "n") == [("plain", 2), ("two\nlines", 1)]
+    split = parse_recipe({"translation_data": {"texts": info | {"multi_line": False}}}).entries[0]
+    assert read_source(spark, split).count() == 3
