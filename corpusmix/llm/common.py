@@ -72,29 +72,32 @@ class WordIds:
 
     ``make`` gives the little-endian 32-bit ids of new words. The words of many texts are
     told apart by a dictionary of Arrow first, so each different word is looked up once.
+    Marks at the end of a word become a word of their own, as tokenizers cut there
+    anyway; texts that may hold added tokens stay as they are.
     """
 
+    ENDING = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+) "
+
     def __init__(self, make: Callable[[list[str]], list[bytes]]):
         self.memo = Memo(make)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        ready = []
+        ready, plain = [], []
         for text in texts:
             low = lowered(text)
+            plain.append(low is not None)
             safe = text if low is None else low
             ready.append(safe.replace("\n", " ").replace("\t", " ").replace("\r", " "))
-        split = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        whole = pa.array(ready, pa.large_string())
+        apart = pc.replace_substring_regex(whole, self.ENDING, r"\1 \2 ")
+        split = pc.split_pattern(pc.if_else(pa.array(plain), apart, whole), " ")
         words = split.flatten().dictionary_encode()
-        known = self.memo.values(words.dictionary.to_pylist())
-        ids = np.frombuffer(b"".join(known), dtype="<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        starts = np.cumsum(sizes) - sizes
-        word = words.indices.to_numpy()
-        taken = sizes[word]
-        ends = np.cumsum(taken)
-        place = np.repeat(starts[word] - (ends - taken), taken) + np.arange(len(taken) and ends[-1])
-        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
-        return np.split(ids[place], bounds[1:-1])
+        known = pa.array(self.memo.values(words.dictionary.to_pylist()), pa.large_binary())
+        taken = known.take(words.indices)
+        ends, data = taken.buffers()[1:]
+        ids = np.frombuffer(data or b"", dtype="<u4")
+        bounds = np.frombuffer(ends, dtype=np.int64)[split.offsets.to_numpy()] // 4
+        return np.split(ids[: bounds[-1]], bounds[1:-1])
 
 
 def slices(texts: list[str], chars: int = 1_000_000) -> Iterator[list[str]]:

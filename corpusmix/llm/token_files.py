@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmix.llm.common import Memo, WordIds, map_batches, slices
+from corpusmix.llm.common import WordIds, map_batches, slices
 
 # (ids in a word, bits of each), by selector from 1.
 LAYOUTS = (
@@ -153,9 +153,9 @@ class LibraryEncoder:
     """Ids of a text by the ``tokenizers`` library, each distinct word encoded once.
 
     Only for tokenizers that drop white space and end words, as the one of the query
-    does: there a text's ids are those of its words, one after another, and a word's are
-    those of its parts. Parts of letters only are encoded many at a time, as one text, and told
-    apart by their end tokens.
+    does, and part words from marks: there a text's ids are those of its words, one after another.
+    Words of letters only are encoded many at a time, as one text, and told apart by
+    their end tokens.
     """
 
     def __init__(self, path: str):
@@ -168,7 +168,6 @@ class LibraryEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, token_id in vocabulary.items():
             self.ends[token_id] = token.endswith("</w>")
-        self.parts = Memo(self._encode_parts)
         self.encode = WordIds(self._encode_words).encode
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -176,13 +175,6 @@ class LibraryEncoder:
         return [np.array(one.ids, dtype="<u4") for one in encoded]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Stem and closing mark apart, as most words that are new have a known stem."""
-        stems = [w[:-1] if len(w) > 1 and w[-1] in ".,!?;:" and w[:-1].isalpha() else w for w in words]
-        marks = [w[-1] if len(stem) < len(w) else "" for w, stem in zip(words, stems)]
-        known = dict(zip(".,!?;:", self.parts.values(list(".,!?;:")))) | {"": b""}
-        return [ids + known[mark] for ids, mark in zip(self.parts.values(stems), marks)]
-
-    def _encode_parts(self, words: list[str]) -> list[bytes]:
         plain = [w for w in words if w.isalpha() and unicodedata.is_normalized("NFC", w)]
         made: dict[str, bytes] = {}
         if plain:
