@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from corpusmix.llm.common import Memo, WordIds, lowered, map_batches, slices
 
 WINDOW_STEP = 512
+SHORT = 32
+UNMERGED = 1 << 60
 MEMO_LENGTH = 64
 HELD_BACK = 4
 PIECE = 1 << 16
@@ -55,6 +57,9 @@ class Merges:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.added = {t["content"]: t["id"] for t in settings["added_tokens"]}
+        self.added_pattern = regex.compile("|".join(map(regex.escape, self.added)) or r"(?!)")
+        self.longest_added = max(map(len, self.added), default=1)
+        self.byte_of = {symbol: byte for byte, symbol in byte_symbols().items()}
         self.text_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self._check_order(pairs)
         self.lookahead = self._lookahead(pairs)
@@ -81,6 +86,24 @@ class Merges:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Tokens of a whole window: the lowest rank first, from the left."""
+        return self._merge_short(symbols) if len(symbols) <= SHORT else self._merge_long(symbols)
+
+    def _merge_short(self, symbols: list[str]) -> list[str]:
+        """Looks through the ranks of all pairs for each merge, which is quick while they are few."""
+        rank_of, parts = self.ranks.get, list(symbols)
+        ranks = [rank_of(pair, UNMERGED) for pair in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) != UNMERGED:
+            at = ranks.index(low)
+            parts[at] += parts.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((parts[at - 1], parts[at]), UNMERGED)
+            if at < len(ranks):
+                ranks[at] = rank_of((parts[at], parts[at + 1]), UNMERGED)
+        return parts
+
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """Keeps the pairs in a heap, for time in proportion to the window but for a logarithm."""
         ranks, size = self.ranks, len(symbols)
         parts: list[str | None] = list(symbols)
         after = list(range(1, size + 1))
@@ -132,8 +155,6 @@ class StreamEncoder:
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.added = regex.compile("|".join(map(regex.escape, merges.added)) or r"(?!)")
-        self.longest_added = max(map(len, merges.added), default=1)
         self.raw = ""  # not yet normalised
         self.text = ""  # normalised, not yet in parts
         self.run: str | None = None  # the kind of part that is open
@@ -142,11 +163,11 @@ class StreamEncoder:
     def feed(self, piece: str) -> list[int]:
         out: list[int] = []
         self.raw += piece
-        while found := self.added.search(self.raw):
+        while found := self.merges.added_pattern.search(self.raw):
             out += self._normalised(self.raw[: found.start()]) + self._cut_parts(True)
             out.append(self.merges.added[found.group()])
             self.raw = self.raw[found.end() :]
-        cut = _safe_cut(self.raw[: max(0, len(self.raw) - self.longest_added)])
+        cut = _safe_cut(self.raw[: max(0, len(self.raw) - self.merges.longest_added)])
         if cut:
             out += self._normalised(self.raw[:cut]) + self._cut_parts(False)
             self.raw = self.raw[cut:]
@@ -237,8 +258,8 @@ class StreamDecoder:
         self.first = True
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
         self.end = merges.end
-        self.added = set(merges.added.values())
-        self.byte_of = {symbol: byte for byte, symbol in byte_symbols().items()}
+        self.added = merges.added.values()
+        self.byte_of = merges.byte_of
 
     def feed(self, ids: Iterable[int]) -> str:
         if self.style == "tokens":
@@ -271,6 +292,7 @@ class TextEncoder:
 
     def __init__(self, merges: Merges):
         self.merges = merges
+        self.part_stream = StreamEncoder(merges)
         self.parts = Memo(self._encode_parts)
         self.encode_all = WordIds(self._encode_words).encode
 
@@ -291,8 +313,7 @@ class TextEncoder:
         ]
 
     def _part(self, part: str) -> list[int]:
-        stream = StreamEncoder(self.merges)
-        return stream._extend(part) + stream._close()
+        return self.part_stream._extend(part) + self.part_stream._close()
 
     def stream(self, text: str) -> list[int]:
         stream = StreamEncoder(self.merges)

@@ -66,6 +66,15 @@ def test_tokens_equal_the_library(spark, docs, library):
     assert bpe.decode(encoded, PATH).first()["text"].split() == BASE.lower().split()
 
 
+def test_both_ways_to_merge_agree():
+    merges = bpe.load_merges(PATH)
+    rng = random.Random(11)
+    for _ in range(400):
+        symbols = [rng.choice("aaeinorstth") for _ in range(rng.randint(1, 60))]
+        symbols[-1] += merges.end
+        assert merges._merge_short(symbols) == merges._merge_long(symbols) == merges.merge(symbols)
+
+
 def test_streaming_in_any_pieces(library):
     merges, rng = bpe.load_merges(PATH), random.Random(5)
     for text in [t for t in TEXTS if t and len(t) < 10_000]:
