@@ -420,6 +420,18 @@ SELECT dataset_source AS source, winner, pair_hash AS hash FROM ranked WHERE rn
 """,
     "q12c_duplicates_by_source": """
 SELECT dataset_source AS source, winner, count(*) AS dropped FROM ranked WHERE rn > 1 GROUP BY ALL
+""",
+    "q12d_dedup_pair_and_languages": """
+SELECT sha1(text_and_languages) AS pair_hash, dataset_source, source_lang_code, target_lang_code, order_key,
+       copies
+FROM (SELECT *, row_number() OVER (PARTITION BY text_and_languages
+                                   ORDER BY source_ord, over_limit, order_key, emit_ord) AS place,
+             count(*) OVER (PARTITION BY text_and_languages) AS copies
+      FROM (SELECT * EXCLUDE copies,
+                   concat_ws(chr(0), source_text, target_text, source_lang_code, target_lang_code)
+                       AS text_and_languages
+            FROM ranked))
+WHERE place = 1
 """,
     "q13_instruction_from_turns": "SELECT * FROM turns",
     "q13b_instruction_from_messages": _line_turns("line"),

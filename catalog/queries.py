@@ -301,6 +301,13 @@ def dedup_keep_first(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def dedup_pair_and_languages(spark: SparkSession, tables: str) -> DataFrame:
+    unique = dedup.keep_first(dedup.with_pair_hash(_pool(spark, tables), key="pair+lang"))
+    return unique.select(
+        "pair_hash", "dataset_source", "source_lang_code", "target_lang_code", "order_key", "copies"
+    )
+
+
 def dedup_losers(spark: SparkSession, tables: str) -> DataFrame:
     return dedup.duplicate_log(dedup.duplicate_groups(_hashed_pool(spark, tables)))
 
@@ -534,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "q12_dedup_keep_first": dedup_keep_first,
     "q12b_dedup_losers": dedup_losers,
     "q12c_duplicates_by_source": duplicates_by_source,
+    "q12d_dedup_pair_and_languages": dedup_pair_and_languages,
     "q13_instruction_from_turns": instruction_from_turns,
     "q13b_instruction_from_messages": instruction_from_messages,
     "q13c_instruction_from_message_parts": instruction_from_message_parts,

@@ -67,10 +67,10 @@ def fill(template: str, **slots: str) -> Column:
     return F.expr(fill_sql(template, **slots))
 
 
-def pair_hash(source: Column, target: Column) -> Column:
-    """Hex SHA-1 of the pair with a NUL between its sides; null counts as empty."""
-    blank = F.lit("")
-    return F.sha1(F.concat(F.coalesce(source, blank), F.lit("\0"), F.coalesce(target, blank)))
+def pair_hash(source: Column, target: Column, *more: Column) -> Column:
+    """Hex SHA-1 of the pair, and of what more is given, with a NUL between; null counts as empty."""
+    parts = [F.coalesce(part, F.lit("")) for part in (source, target, *more)]
+    return F.sha1(F.concat_ws("\0", *parts))
 
 
 def keyed_hash(seed: object, key: Column) -> Column:

@@ -11,10 +11,17 @@ from corpusmix.functions.text import pair_hash
 # The place of a row in the pool: source, then cut rows last, then the seeded
 # order of input rows, then the order of the records one input row gave.
 PLACE = ("source_ord", "over_limit", "order_key", "emit_ord")
+KEYS = {
+    "pair": ("source_text", "target_text"),
+    "pair+lang": ("source_text", "target_text", "source_lang_code", "target_lang_code"),
+}
 
 
-def with_pair_hash(pool: DataFrame) -> DataFrame:
-    return pool.withColumn("pair_hash", pair_hash(F.col("source_text"), F.col("target_text")))
+def with_pair_hash(pool: DataFrame, key: str = "pair") -> DataFrame:
+    """Add the key of duplicates: the texts (``pair``), or these with their languages (``pair+lang``)."""
+    if key not in KEYS:
+        raise ValueError(f"key must be one of {', '.join(KEYS)}, not {key!r}")
+    return pool.withColumn("pair_hash", pair_hash(*map(F.col, KEYS[key])))
 
 
 def keep_first(pool: DataFrame) -> DataFrame:

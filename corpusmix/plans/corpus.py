@@ -168,10 +168,11 @@ def build_corpus(
     template: str = TRANSLATION_TEMPLATE,
     even_directions: bool = False,
     on_small_stratum: str = "error",
+    dedup_key: str = "pair",
 ) -> Corpus:
     """Pool, deduplicate, mix to the target ratio, and hold out the test rows."""
     pool = materialize(
-        dedup.with_pair_hash(build_pool(spark, recipe, loader, tokenizer, template)), "pool"
+        dedup.with_pair_hash(build_pool(spark, recipe, loader, tokenizer, template), dedup_key), "pool"
     )
     unique = materialize(dedup.keep_first(pool), "unique")
     even = balance_directions(unique) if even_directions else unique

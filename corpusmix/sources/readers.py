@@ -10,8 +10,6 @@ from corpusmix.functions.fixed_values import SEED
 from corpusmix.functions.text import keyed_hash, row_key
 from corpusmix.sources.recipe import SourceEntry
 
-MAX_SPLITS = 100
-
 
 def read_source(spark: SparkSession, entry: SourceEntry, schema: T.StructType | None = None) -> DataFrame:
     """Scan one source. ``config`` names a folder below the source's path.
@@ -39,30 +37,32 @@ def with_order_key(df: DataFrame, entry: SourceEntry, seed: int = SEED) -> DataF
 
 
 def available_splits(df: DataFrame) -> list[str]:
-    """Names of the splits in a prepared table, from its partition folders."""
-    names = df.select("split").distinct().limit(MAX_SPLITS + 1).collect()
-    if len(names) > MAX_SPLITS:
-        raise ValueError(f"more than {MAX_SPLITS} split names: 'split' is not a split column")
-    return sorted(str(row["split"]) for row in names)
+    """Names of all splits in a prepared table. Reads every file's footer, so only for messages."""
+    return sorted(str(row["split"]) for row in df.select("split").distinct().collect())
+
+
+def _first_available(df: DataFrame, names: tuple[str, ...]) -> str | None:
+    """The first of ``names`` with rows. Each look is pruned to one folder and ends at a row."""
+    for name in names:
+        if not df.where(F.col("split") == name).select("split").isEmpty():
+            return name
+    return None
 
 
 def resolve_split(df: DataFrame, requested: str) -> str:
     """The requested split; ``test`` stands in for a missing ``validation``."""
-    names = available_splits(df)
-    if requested in names:
-        return requested
-    if requested == "validation" and "test" in names:
-        return "test"
-    raise ValueError(f"split {requested!r} is not available, only {', '.join(names)}")
+    found = _first_available(df, (requested, "test") if requested == "validation" else (requested,))
+    if found is None:
+        raise ValueError(f"split {requested!r} is not available, only {', '.join(available_splits(df))}")
+    return found
 
 
 def resolve_held_out_split(df: DataFrame) -> str:
     """``validation`` where there is one, else ``test``."""
-    names = available_splits(df)
-    for name in ("validation", "test"):
-        if name in names:
-            return name
-    raise ValueError(f"neither a validation nor a test split, only {', '.join(names)}")
+    found = _first_available(df, ("validation", "test"))
+    if found is None:
+        raise ValueError(f"neither a validation nor a test split, only {', '.join(available_splits(df))}")
+    return found
 
 
 def read_prepared(spark: SparkSession, path: str, split: str = "train") -> DataFrame:

@@ -22,6 +22,17 @@ def random_pool(count, seed, hot=0):
     return data
 
 
+def test_languages_can_be_part_of_the_key(spark):
+    line = ("translation", "a", "b", "en", "cy", "s", 0, False, "0", 0)
+    data = [line, line, (*line[:3], "cy", "en", *line[5:]), (*line[:4], None, *line[5:])]
+    pool = spark.createDataFrame(data, POOL)
+    for key, copies in (("pair", [4]), ("pair+lang", [1, 1, 2])):
+        unique = dedup.keep_first(dedup.with_pair_hash(pool, key))
+        assert sorted(row["copies"] for row in unique.collect()) == copies
+    with pytest.raises(ValueError, match="pair"):
+        dedup.with_pair_hash(pool, "texts")
+
+
 def test_keep_first_and_log_equal_one_pass_over_the_list(spark):
     data = random_pool(700, 1, hot=2)
     pool = dedup.with_pair_hash(spark.createDataFrame(data, POOL).repartition(5))

@@ -118,6 +118,10 @@ def test_split_choice(spark, tmp_path):
     assert readers.resolve_held_out_split(both) == "test"
     with pytest.raises(ValueError, match="dev"):
         readers.resolve_split(both, "dev")
+    many = spark.range(300).selectExpr("concat('s', id) AS split")
+    assert readers.resolve_split(many, "s299") == "s299"
+    with pytest.raises(ValueError, match="neither"):
+        readers.resolve_held_out_split(many)
     three = prepared(spark, str(tmp_path / "b"), ["train", "test", "validation"])
     assert readers.resolve_held_out_split(three) == "validation"
     train = prepared(spark, str(tmp_path / "c"), ["train"])
