@@ -5,7 +5,8 @@ permuted inside their own domain by a keyed Feistel network: a number of two par
 round adding a keyed function of one part to the other modulo its size. So equal
 values stay equal in all documents, different ones stay different, the result passes the
 same check, and whoever has the key can go back. Addresses and quoted secrets are no
-numbers; they get a keyed digest. All of it is Spark expressions.
+numbers; they get a keyed digest. All of it is Spark expressions. README lists the forms
+that are known and those that are not.
 """
 
 from __future__ import annotations
@@ -20,22 +21,40 @@ ROUNDS = 10
 KEY = "corpusmix"
 
 # Each alternative starts with a cheap test, as it is tried at every character of a text.
-_PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+# Country codes of two and of three digits, the latter by their zones; those of one are 1 and 7. No code begins another.
+_TWO = "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+_THREE = "(?:2[1-689]|3[578]|42|5[09]|6[789]|8[0578]|9[679])[0-9]"
+# A further digit of a number with a country code; brackets hold two digits or more, or a zero not dialled.
+_NEXT = r"(?:[ .-]?\((?=0\)|\d\d)|\)[ .-]?|[ .-])?\d"
+_BRACKETED = r"(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+_ABROAD = (
+    r"\+(?:1[ .-]?[2-9]\d{2}[ .-]?\d{3}[ .-]?\d{4}"
+    f"|7(?:{_NEXT}){{10}}|(?:{_TWO})(?:{_NEXT}){{7,13}}|{_THREE}(?:{_NEXT}){{6,12}})(?!\\d)"
+)
+_NATIONAL = r"(?<!\d[.-])(?:1[ .-])?[2-9]\d{2}[ .-]\d{3}[ .-]\d{4}(?![.-]?\d)"
+_PHONE = rf"(?<![\d+])(?:{_BRACKETED}|{_ABROAD}|{_NATIONAL})"
 _IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 _DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_CARD = r"(?<![\d-])\d{13,19}(?![\d-])|(?<![\d-])(?<!\d )\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?![ -]?\d)"
+_CARD = r"(?<![\d-])\d{13,19}(?![\d-])|(?<![\d-])(?<!\d )\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{6}\1\d{4,5})(?![ -]?\d)"
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9]"
-_SECRET = r"(?=[0-9a-f]{32})(?<=(?:token|secret|api_key|password) = \")[0-9a-f]{32,}(?=\")"
+# A key in either case, perhaps quoted itself, then = or : and a quote, with up to eight blanks between them.
+_SECRET = (
+    r"(?=[0-9A-Fa-f]{32})(?<=[\"'\s])"
+    r"(?<=(?i:token|secret|api[_-]?key|password)[\"']?\s{0,8}[=:]\s{0,8}[\"']\s{0,8})[0-9A-Fa-f]{32,}+(?=\s*[\"'])"
+)
 KINDS = ("email", "secret", "phone", "ip", "date", "ssn", "card")
 # The back reference counts groups in the whole pattern, of which this is the only one.
 PATTERN = f"(?=[0-9+(])(?:{'|'.join((_PHONE, _IP, _DATE, _SSN, _CARD))})|{_SECRET}|{_EMAIL}"
 # What every match has, so most texts are done with after one look for a single character.
-ANY = "[0-9@]|[a-f]{32}"
+ANY = "[0-9@]|[A-Fa-f]{32}"
 
 # A cycle of the calendar has 146,097 days, which are 189 times 773.
 FIRST_DAY, LAST_DAY = "1700-01-01", "2099-12-31"
 _DAYS = (189, 773)
+# Without the first twelve days of each of its 4,800 months it has 88,497, which are 9 times 9,833.
+_LATE_DAYS = (9, 9_833)
+_MONTHS = 4_800
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -88,10 +107,19 @@ def _with_digits(shape: str, digits: str) -> str:
 
 
 _DIGITS = "regexp_replace(v, '[^0-9]', '')"
-# The day of a date in either order, or null if there is none such or it lies outside the cycle.
-_ORDERED = "if(substring(v, 5, 1) = '-', v, concat_ws('-', substring(v, 7, 4), substring(v, 4, 2), substring(v, 1, 2)))"
-_DAY = f"cast(try_to_timestamp({_ORDERED}, 'yyyy-MM-dd') AS date)"
-_AS_DATE = _let("day", _DAY, f"if(day BETWEEN date'{FIRST_DAY}' AND date'{LAST_DAY}', day, null)")
+
+
+def _day(year_first: str) -> str:
+    """SQL for the day of a date, or null if there is none such or it lies outside the cycle."""
+    day = f"cast(try_to_timestamp({year_first}, 'yyyy-MM-dd') AS date)"
+    return _let("day", day, f"if(day BETWEEN date'{FIRST_DAY}' AND date'{LAST_DAY}', day, null)")
+
+
+_DAY_FIRST = "concat_ws('-', substring(v, 7, 4), substring(v, 4, 2), substring(v, 1, 2))"
+_MONTH_FIRST = "concat_ws('-', substring(v, 7, 4), substring(v, 1, 2), substring(v, 4, 2))"
+_AS_DATE = _day(f"if(substring(v, 5, 1) = '-', v, {_DAY_FIRST})")
+# Month/day is only read where day/month is no date, so it always has a day above 12.
+_AS_LATE_DATE = f"if(substring(v, 5, 1) = '-', null, {_day(_MONTH_FIRST)})"
 _PARTS = "transform(split(v, '[.-]'), x -> cast(x AS bigint))"
 
 
@@ -103,10 +131,27 @@ def _card(key: str, invert: bool) -> str:
     return _let("g", _DIGITS, whole)
 
 
+def _ten_digits(digits: str, key: str, invert: bool) -> str:
+    """Area codes from 200 on stay such; the others are only written in brackets or abroad."""
+    made = _let("z", "y - low", f"lpad(cast(low + {feistel('z', 'l', 100_000, key, 'phone', invert)} AS string), 10, '0')")
+    made = _let("low", "if(y < 2000000000, 0L, 2000000000L)", _let("l", "if(low = 0, 20000L, 80000L)", made))
+    return _let("y", f"cast({digits} AS bigint)", made)
+
+
 def _phone(key: str, invert: bool) -> str:
-    """The country code stays; the ten digits after it are permuted."""
-    number = permute_digits("right(g, 10)", key, "phone", invert)
-    return _let("g", _DIGITS, _let("w", f"concat(left(g, length(g) - 10), {number})", _with_digits("v", "w")))
+    """The country code and a zero in brackets stay; the digits after the code are permuted."""
+    code = f"""CASE
+      WHEN NOT startswith(v, '+') OR v RLIKE '^[+][0-9]{{1,3}}[ .-]?[(][0-9]{{3}}[)][ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}$'
+        THEN length(g) - 10
+      WHEN g RLIKE '^[17]' THEN 1
+      WHEN g RLIKE '^({_TWO})' THEN 2
+      ELSE 3
+    END"""
+    number = f"if(length(x) = 10, {_ten_digits('x', key, invert)}, {permute_digits('x', key, 'phone', invert)})"
+    whole = _let("w", f"concat(left(g, c), {number})", _with_digits("b", "w"))
+    whole = _let("c", code, _let("x", "substring(g, c + 1)", whole))
+    body = _let("b", "replace(v, '(0)', '(o)')", _let("g", "regexp_replace(b, '[^0-9]', '')", whole))
+    return f"replace({body}, '(o)', '(0)')"
 
 
 def _ip(key: str, invert: bool) -> str:
@@ -120,7 +165,28 @@ def _date(key: str, invert: bool) -> str:
     number = f"cast(datediff({_AS_DATE}, date'{FIRST_DAY}') AS bigint)"
     made = f"date_add(date'{FIRST_DAY}', cast({feistel('y', *_DAYS, key, 'date', invert)} AS int))"
     shape = "date_format(made, if(substring(v, 5, 1) = '-', 'yyyy-MM-dd', 'dd/MM/yyyy'))"
-    return _let("y", number, _let("made", made, shape))
+    usual = _let("y", number, _let("made", made, shape))
+    return f"if({_AS_DATE} IS NOT NULL, {usual}, {_late_date(key, invert)})"
+
+
+def _late_date(key: str, invert: bool) -> str:
+    """Dates with the month first and a day above 12, by their number among such days of the cycle."""
+
+    def month(m: str) -> str:
+        return f"add_months(date'{FIRST_DAY}', {m})"
+
+    def before(m: str) -> str:
+        return f"datediff({month(m)}, date'{FIRST_DAY}') - 12 * {m}"
+
+    months = f"cast(months_between(trunc(late, 'MM'), date'{FIRST_DAY}') AS int)"
+    number = _let("m", months, f"cast({before('m')} + day(late) - 13 AS bigint)")
+    # Months have 16 to 19 such days, so the month is next to where equal ones would put it.
+    guess = f"cast(q * {_MONTHS} div {_LATE_DAYS[0] * _LATE_DAYS[1]} AS int)"
+    found = f"element_at(filter(sequence(greatest(e - 2, 0), e + 2), m -> {before('m')} <= q), -1)"
+    day = _let("m", found, f"date_add({month('m')}, cast(12 + q - ({before('m')}) AS int))")
+    written = f"date_format({_let('e', guess, day)}, 'MM/dd/yyyy')"
+    made = _let("y", number, _let("q", feistel("y", *_LATE_DAYS, key, "late date", invert), written))
+    return _let("late", _AS_LATE_DATE, made)
 
 
 def _ssn(key: str, invert: bool) -> str:
@@ -139,11 +205,11 @@ def _ssn(key: str, invert: bool) -> str:
 # The kind of a match ``v`` that passes its check, else null.
 KIND = f"""CASE
   WHEN contains(v, '@') THEN 'email'
-  WHEN v RLIKE '^[0-9a-f]{{32,}}$' THEN 'secret'
-  WHEN contains(v, '(') THEN 'phone'
+  WHEN v RLIKE '^[0-9A-Fa-f]{{32,}}$' THEN 'secret'
+  WHEN v RLIKE '^([+(]|(1[ .-])?[0-9]{{3}}[ .-][0-9]{{3}}[ .-][0-9]{{4}}$)' THEN 'phone'
   WHEN contains(v, '.') THEN if(forall({_PARTS}, x -> x < 256), 'ip', null)
   WHEN v RLIKE '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}})$'
-    THEN if({_AS_DATE} IS NOT NULL, 'date', null)
+    THEN if(coalesce({_AS_DATE}, {_AS_LATE_DATE}) IS NOT NULL, 'date', null)
   WHEN v RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN {_let(
       'o', _PARTS, "if(o[0] > 0 AND o[0] <> 666 AND o[0] < 900 AND o[1] > 0 AND o[2] > 0, 'ssn', null)")}
   ELSE {_let('g', _DIGITS, f"if(length(g) BETWEEN 13 AND 19 AND {luhn_sum('g')} % 10 = 0, 'card', null)")}
@@ -155,6 +221,7 @@ def pseudonym(key: str = KEY, invert: bool = False) -> str:
     digest = f"sha2(concat({quoted(f'{key}/text/')}, lower(v)), 256)"
     mail = _let("h", digest, "concat('u', substring(h, 1, 12), '@m', substring(h, 13, 6), '.example')")
     secret = _let("h", digest, "substring(repeat(h, 1 + length(v) div 64), 1, length(v))")
+    secret = f"if(v <> lower(v) AND v = upper(v), upper({secret}), {secret})"
     return f"""CASE kind
       WHEN 'card' THEN {_card(key, invert)}
       WHEN 'phone' THEN {_phone(key, invert)}

@@ -320,6 +320,44 @@ def test_pseudonyms_stay_in_their_format(spark):
     assert numbers.select("p").distinct().count() == 189 * 773 and back.count() == 0
 
 
+def test_pseudonyms_of_more_forms(spark):
+    numbers = ["555-123-4567", "555.123.4567", "555 123 4567", "1-800-555-0199", "+1 555 123 4567", "+15551234567", "(555) 123-4567",
+               "+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 (30) 1234567", "+354 555 1234", "+7 495 123-45-67"]
+    others = ["12/31/1999", "02/29/2000", "3782 822463 10005", "3782-822463-10005", "3056 930902 5904"]
+    secrets = [f"{k}{gap}{q}{blank}%s{blank}{q}" for k, gap, q, blank in (("token", "=", '"', ""), ("API_KEY", " : ", "'", ""), ("Password", "  =  ", '"', " "), ('"secret"', ": ", '"', ""))]
+    values = numbers + others
+    left = ["02/30/2000", "13/13/1999", "12/31/1650", "3782 822463 10006", "155-123-4567", "555-123-45678", "12-555-123-4567", "+83 20 7946 0958",
+            "+1 055 123 4567", "+44 1234", "4.555.123.4567", 'tokens "%s"' % ("0A" * 20), 'token = "%s' % ("0a" * 20)]
+    rows = [(k, f"see {v}, and {v}.") for k, v in enumerate(values)] + [(50 + k, f"see {v}, x") for k, v in enumerate(left)]
+    rows += [(80 + k, v % ("0A" * 20)) for k, v in enumerate(secrets)]
+    found = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    made = []
+    for k, value in enumerate(values):
+        one, two = re.fullmatch(r"see (.+), and (.+)\.", found[k]).groups()
+        assert one == two != value and re.sub(r"\d", "9", one) == re.sub(r"\d", "9", value), value
+        made.append(one)
+    assert [found[50 + k] for k in range(len(left))] == [f"see {v}, x" for v in left]
+    digits = [re.sub(r"\D", "", v.replace("(0)", "")) for v in made]
+    assert len({v[-10:] for v in digits[:3] + digits[4:7]}) == 1 and len(set(digits[7:10])) == 1  # one number, one pseudonym
+    assert [v[:2] for v in digits[7:11]] == ["44", "44", "44", "49"] and "(0)" in made[9]
+    for k, value in enumerate(secrets):
+        assert re.fullmatch(re.escape(value).replace("%s", "[0-9A-F]{40}"), found[80 + k]) and "0A0A" not in found[80 + k]
+    kinds = ["phone"] * len(numbers) + ["date"] * 2 + ["card"] * 3
+    back = spark.createDataFrame(list(zip(kinds, made, values)), "kind string, v string, value string")
+    assert [r["b"] for r in back.select(F.expr(pii.pseudonym(invert=True)).alias("b")).collect()] == values
+    again = back.select("v", F.expr(pii.KIND).alias("found"), "kind").where("NOT found <=> kind")
+    assert again.count() == 0
+
+
+def test_month_first_dates_are_permuted_among_themselves(spark):
+    dates = spark.range(146_097).select(F.expr("date_format(date_add(date'1700-01-01', cast(id AS int)), 'MM/dd/yyyy')").alias("value"))
+    dates = dates.where("substring(value, 4, 2) > '12'").select("value", F.col("value").alias("v"), F.expr("'date'").alias("kind"))
+    made = dates.select("value", "kind", F.expr(pii.pseudonym()).alias("v"))
+    back = made.select("value", "v", F.expr(pii.pseudonym(invert=True)).alias("back"))
+    counted = back.agg(F.count("*"), F.count_distinct("v"), F.count_if(F.col("back") == F.col("value")), F.count_if(F.expr("substring(v, 4, 2) > '12'")))
+    assert set(counted.first()) == {88_497}
+
+
 def test_languages(spark, docs):
     other = [f"{a}{b}" for a in ("sch", "ge", "ver", "un") for b in ("keit", "ung", "lich", "ß")]
     rng = random.Random(6)
