@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusmix.llm.common import map_batches
 
 Q = 10
-WINDOW = 100
+WINDOWS = (100, 50)
 EDIT_SHARE = 0.06
 BLOCK_CHARS = 8_000_000
 FILTER_BITS = 22
@@ -61,14 +61,18 @@ def _grams(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def budget(length: int) -> tuple[int, int, int]:
-    """Window, edits allowed in it and q-grams then shared, for an item of some length.
+def budgets(length: int) -> list[tuple[int, int, int]]:
+    """Windows, edits allowed in each and q-grams then shared, for an item of some length.
 
-    Short items allow fewer edits, so that two q-grams at least must be shared.
+    Short items allow fewer edits, so that two q-grams at least must be shared. Items above
+    50 characters have two: a few edits may lie close together, so that each part of 50 characters
+    has too many while the whole has not, and the other way round an excerpt may hold only a part.
     """
-    window = min(length, WINDOW)
-    edits = max(0, min(int(window * EDIT_SHARE), (window - Q + 1 - 2) // Q))
-    return window, edits, max(1, window - Q + 1 - edits * Q)
+    out = []
+    for window in sorted({min(length, w) for w in WINDOWS}, reverse=True):
+        edits = max(0, min(int(window * EDIT_SHARE), (window - Q + 1 - 2) // Q))
+        out.append((window, edits, max(1, window - Q + 1 - edits * Q)))
+    return out
 
 
 @dataclass
@@ -102,7 +106,7 @@ class Index:
         at = np.concatenate(place)[order] if grams else np.zeros(0, np.int64)
         first = np.zeros(1 << FILTER_BITS, dtype=bool)
         first[Index.slot(everything)] = True
-        needed = np.array([budget(len(one))[2] for one in codes], np.int64)
+        needed = np.array([min(b[2] for b in budgets(len(one))) for one in codes], np.int64)
         return Index(ids, codes, everything[order], where, at, first, needed)
 
     @staticmethod
@@ -148,10 +152,10 @@ def aligned_edits(item: np.ndarray, doc: np.ndarray, low: int, high: int) -> int
 
 
 def _confirmed_window(
-    item: np.ndarray, doc: np.ndarray, places: np.ndarray, low: int, high: int
+    item: np.ndarray, doc: np.ndarray, places: np.ndarray, low: int, high: int, allowed: tuple[int, int, int]
 ) -> tuple[int, int, int] | None:
     """A part of the item that meets the budget, from the sorted places of its hits: start, end, edits."""
-    window, edits, needed = budget(len(item))
+    window, edits, needed = allowed
     start, end = int(places[0]), int(places[-1]) + Q
     if end - start >= window:
         found = aligned_edits(item[start:end], doc, low + start, high + start)
@@ -183,7 +187,7 @@ def leaks(index: Index, codes: np.ndarray) -> Iterator[tuple[int, int, int, int,
     """Confirmed regions of one document: item, its region, the item's part, q-grams, edits.
 
     Overlapping bands see a region twice, so the places with most hits are confirmed first
-    and others that overlap a confirmed one are left.
+    and others that overlap a confirmed one are left. Longer windows come before shorter ones.
     """
     item, place, at = index.hits(codes)
     if not len(item):
@@ -191,35 +195,51 @@ def leaks(index: Index, codes: np.ndarray) -> Iterator[tuple[int, int, int, int,
     diagonal = at - place
     counts = np.bincount(item, minlength=len(index.codes))
     for which in np.flatnonzero(counts >= index.needed).tolist():
-        window, edits, needed = budget(len(index.codes[which]))
         mine = item == which
-        width = 2 * edits + 1
-        d, p, a = diagonal[mine], place[mine], at[mine]
-        band = d // width
-        # Bands overlap by the edits: a hit near the lower end also counts for the band below.
-        near = (d - band * width) < edits
-        band = np.concatenate([band, band[near] - 1])
-        p, a = np.concatenate([p, p[near]]), np.concatenate([a, a[near]])
-        order = np.lexsort((a, band))
-        band, p, a = band[order], p[order], a[order]
-        cuts = [0, *(np.flatnonzero(np.diff(band)) + 1).tolist(), len(band)]
-        runs = []
-        for lo, hi in zip(cuts, cuts[1:]):
-            if hi - lo >= needed:
-                for run in _dense_runs(a[lo:hi], needed, window + edits - Q):
-                    runs.append((lo + run.start, lo + run.stop))
         taken: list[tuple[int, int]] = []
-        for lo, hi in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
-            region = (int(a[lo]), int(a[hi - 1]) + Q)
-            if any(region[0] < e and region[1] > s for s, e in taken):
-                continue
-            low = int(band[lo]) * width
-            sure = _confirmed_window(
-                index.codes[which], codes, np.unique(p[lo:hi]), low - edits, low + width + 2 * edits
-            )
-            if sure:
-                taken.append(region)
-                yield which, *region, sure[0], sure[1], hi - lo, sure[2]
+        for allowed in budgets(len(index.codes[which])):
+            found = _found(index.codes[which], codes, diagonal[mine], place[mine], at[mine], allowed, taken)
+            for region, sure, shared in found:
+                yield which, *region, sure[0], sure[1], shared, sure[2]
+
+
+def _found(
+    item: np.ndarray,
+    doc: np.ndarray,
+    d: np.ndarray,
+    p: np.ndarray,
+    a: np.ndarray,
+    allowed: tuple[int, int, int],
+    taken: list[tuple[int, int]],
+) -> Iterator[tuple[tuple[int, int], tuple[int, int, int], int]]:
+    """Regions that meet one budget and overlap none of ``taken``, which they are added to.
+
+    ``d, p, a`` are the hits of one item: diagonal, place in the item and in the document.
+    """
+    window, edits, needed = allowed
+    width = 2 * edits + 1
+    band = d // width
+    # Bands overlap by the edits: a hit near the lower end also counts for the band below.
+    near = (d - band * width) < edits
+    band = np.concatenate([band, band[near] - 1])
+    p, a = np.concatenate([p, p[near]]), np.concatenate([a, a[near]])
+    order = np.lexsort((a, band))
+    band, p, a = band[order], p[order], a[order]
+    cuts = [0, *(np.flatnonzero(np.diff(band)) + 1).tolist(), len(band)]
+    runs = []
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi - lo >= needed:
+            for run in _dense_runs(a[lo:hi], needed, window + edits - Q):
+                runs.append((lo + run.start, lo + run.stop))
+    for lo, hi in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
+        region = (int(a[lo]), int(a[hi - 1]) + Q)
+        if any(region[0] < e and region[1] > s for s, e in taken):
+            continue
+        low = int(band[lo]) * width
+        sure = _confirmed_window(item, doc, np.unique(p[lo:hi]), low - edits, low + width + 2 * edits, allowed)
+        if sure:
+            taken.append(region)
+            yield region, sure, hi - lo
 
 
 def _search(index):
@@ -241,8 +261,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per passage of a benchmark item in a document, with its place in both.
 
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``. Places count
-    characters of the texts in lower case with single blanks. A passage is a window of
-    100 characters (or the whole of a shorter item) with at most 6 % edits. Null and empty texts
+    characters of the texts in lower case with single blanks. A passage is a window of 100
+    characters or one of 50 (or the whole of a shorter item) with at most 6 % edits. Null and empty texts
     have none; items of fewer than ten characters have no q-gram and are never found.
     Repeated rows give repeated results.
 
@@ -265,6 +285,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no passage of the benchmark is found."""
-    hits = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaking")).distinct()
+    """The rows of ``docs`` in which no passage of the benchmark is found.
+
+    A whole item of fewer than 20 characters may be a common phrase, so such ones only count
+    if a document has two different ones at different places.
+    """
+    hits = find_leaks(docs, benchmark)
+    bare = F.col("item_end") - F.col("item_start") < 2 * Q
+    leaking = hits.groupBy(F.col("doc_id").alias("_leaking")).agg(
+        F.count_if(~bare).alias("_long"),
+        F.count_distinct(F.struct("item_id")).alias("_items"),
+        F.count_distinct("region_start").alias("_places"),
+    )
+    hits = leaking.where((F.col("_long") > 0) | ((F.col("_items") > 1) & (F.col("_places") > 1))).select("_leaking")
     return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_leaking")), "left_anti")

@@ -230,6 +230,21 @@ def test_decontamination(spark, docs):
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_excerpts_of_long_items_and_bare_phrases(spark):
+    item = prose(78, 60)[:300]
+    bench = spark.createDataFrame([(1, item), (2, "thank you a lot"), (3, "with kind regards"), (4, prose(79, 40)[:67])], "item_id bigint, text string")
+    spread = list(prose(79, 40)[:67])
+    for at in (18, 28, 38, 48):  # four edits that every part of 50 characters has
+        spread[at] = "#"
+    texts = {10 + size: prose(80 + size, 20) + " " + item[100 : 100 + size] + " " + prose(90 + size, 20) for size in (40, 60, 75, 90)}
+    texts |= {1: "so thank you a lot and thank you a lot", 2: "thank you a lot, with kind regards", 3: "".join(spread), 4: "x" * 400}
+    texts |= {5: prose(97, 20) + item[100:120] + "#" + item[121:135] + "#" + item[136:165] + prose(98, 20)}
+    table = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(table, bench).collect()}
+    assert found == {(70, 1), (85, 1), (100, 1), (1, 2), (2, 2), (2, 3), (3, 4), (5, 1)}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(table, bench).collect()} == {50, 1, 4}
+
+
 def test_alignment_is_edit_distance():
     rng = random.Random(4)
     for _ in range(60):
