@@ -79,7 +79,7 @@ def budgets(length: int) -> list[tuple[int, int, int]]:
 class Index:
     """The q-grams of a block of items, sorted, with where they lie."""
 
-    item_ids: list[int]
+    item_ids: list[int | None]
     codes: list[np.ndarray]
     grams: np.ndarray
     item: np.ndarray
@@ -88,9 +88,9 @@ class Index:
     needed: np.ndarray
 
     @staticmethod
-    def build(items: list[tuple[int, str]]) -> Index:
+    def build(items: list[tuple[int | None, str]]) -> Index:
         ids, codes, grams, owner, place = [], [], [], [], []
-        for item_id, text in sorted(items):
+        for item_id, text in sorted(items, key=lambda i: (i[0] is not None, i[0] or 0, i[1])):
             one = _codes(normal(text))
             found = _grams(one)
             if not len(found):
@@ -264,7 +264,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     characters of the texts in lower case with single blanks. A passage is a window of 100
     characters or one of 50 (or the whole of a shorter item) with at most 6 % edits. Null and empty texts
     have none; items of fewer than ten characters have no q-gram and are never found.
-    Repeated rows give repeated results.
+    Repeated rows give repeated results. Null ids of either side are kept in the result.
 
     The benchmark is the stated set of queries: it is cut into blocks of at most
     ``BLOCK_CHARS`` characters (or a longer single item), and the documents are read once per block.

@@ -245,6 +245,14 @@ def test_excerpts_of_long_items_and_bare_phrases(spark):
     assert {r["doc_id"] for r in decontaminate.without_leaks(table, bench).collect()} == {50, 1, 4}
 
 
+def test_benchmark_rows_without_ids(spark):
+    bench = spark.createDataFrame([(None, prose(70, 20)), (1, prose(71, 20)), (None, prose(72, 20)), (None, None)], "item_id bigint, text string")
+    table = spark.createDataFrame([(k, prose(70 + k, 20)) for k in range(4)] + [(None, prose(71, 20))], "doc_id bigint, text string")
+    found = [(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(table, bench).collect()]
+    assert sorted(found, key=str) == sorted([(0, None), (1, 1), (2, None), (None, 1)], key=str)
+    assert [r["doc_id"] for r in decontaminate.without_leaks(table, bench).collect()] == [3]
+
+
 def test_alignment_is_edit_distance():
     rng = random.Random(4)
     for _ in range(60):
