@@ -2,7 +2,8 @@
 
 Trust starts at hosts with allowed pages and follows links; distrust starts at hosts
 with blocked pages and follows links backwards: who links to a bad host is suspect. Both
-are personalised PageRanks over host edges, in a fixed number of rounds.
+are personalised PageRanks over host edges, repeated until every host that can be reached
+has a score and no score changes by more than a stated share of itself.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusmix.session import materialize
 
 DAMPING = 0.85
-ROUNDS = 10
+TOLERANCE = 1e-7  # the largest change of a score in the last round, as a share of the score
 MAX_DISTRUST = 0.75
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -72,10 +73,15 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def spread_trust(
-    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """``host, trust, distrust`` from ``seeds`` (``host, good, bad``) over ``edges``.
 
+    Rounds go on until none changes a score by more than ``tolerance`` of itself, so a first score
+    always brings another round: a share of distrust is as large far from the seeds as near them. There are
+    about as many rounds as links on the longest way from a seed that is the shortest to its end, and
+    then as many as cycles need for the damping to fall below the tolerance.
+
     Each round joins the hosts' scores with the edges and sums per host, and is written,
     so a lost executor costs only its own tasks. Sums combine before the shuffle.
     """
@@ -107,7 +113,7 @@ def spread_trust(
     )
     if weighted.isEmpty():
         return scores
-    for _ in range(rounds):
+    while True:
         forward = weighted.join(scores, F.col("src") == F.col("host")).select(
             F.col("dst").alias("host"),
             (F.col("forward") * F.col("trust")).alias("_t"),
@@ -126,12 +132,19 @@ def spread_trust(
             (share * F.col("good") + damping * F.coalesce("_t", F.lit(0.0))).alias("trust"),
             (share * F.col("bad") + damping * F.coalesce("_d", F.lit(0.0))).alias("distrust"),
         )
-        scores = materialize(new, "host_scores")
-    return scores
+        # The scores of the round before are carried along, so that one look finds the change.
+        old = scores.select("host", F.col("trust").alias("_trust"), F.col("distrust").alias("_distrust"))
+        both = materialize(new.join(old, "host"), "host_scores")
+        scores = both.select("host", "trust", "distrust")
+        moving = (F.abs(F.col("trust") - F.col("_trust")) > tolerance * F.col("trust")) | (
+            F.abs(F.col("distrust") - F.col("_distrust")) > tolerance * F.col("distrust")
+        )
+        if both.where(moving).isEmpty():
+            return scores
 
 
 def judge_pages(
-    pages: DataFrame, rules: Sequence[Rule], max_distrust: float = MAX_DISTRUST, rounds: int = ROUNDS
+    pages: DataFrame, rules: Sequence[Rule], max_distrust: float = MAX_DISTRUST, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, distrust_share``, one row per row of ``pages``.
 
@@ -155,7 +168,7 @@ def judge_pages(
             (F.count_if(F.col("_rule.verdict") == "block") / F.count("*")).alias("bad"),
         )
     )
-    scores = spread_trust(seeds, host_edges(pages), rounds=rounds)
+    scores = spread_trust(seeds, host_edges(pages), tolerance=tolerance)
     both = F.col("trust") + F.col("distrust")
     share = scores.select("host", F.when(both > 0, F.round(F.col("distrust") / both, 9)).alias("_share"))
     verdict = F.when(F.col("_share") >= max_distrust, F.lit("block")).otherwise(F.lit("allow"))

@@ -326,6 +326,29 @@ def test_url_rules(spark):
     assert url_rules.judge_pages(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    # Each host links to the one before it; the first is blocked. A ring of two links to both kinds.
+    links = {k: [f"h{k - 1}.net"] for k in range(1, 15)} | {20: ["h21.net", "a.org"], 21: ["h20.net", "b.com"]}
+    pages = [(k, f"http://h{k}.net/", "".join(f'<a href="http://{h}/">' for h in to)) for k, to in links.items()]
+    pages += [(100, "http://h0.net/", ""), (101, "http://a.org/", '<a href="http://h20.net/">'), (102, "http://b.com/de/1", "")]
+    rules = (*URL_RULES, url_rules.Rule("block", "h0.net", "/"))
+    made = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r for r in url_rules.judge_pages(made, rules).collect()}
+    assert {(found[k]["verdict"], found[k]["distrust_share"]) for k in range(1, 15)} == {("block", 1.0)}
+    # The ring against the linear equations it has to meet.
+    hosts = ["h20.net", "h21.net", "a.org", "b.com"]
+    edges = [(0, 1), (0, 2), (1, 0), (1, 3), (2, 0)]
+    count_out, count_in = Counter(e[0] for e in edges), Counter(e[1] for e in edges)
+    forward, backward = np.zeros((4, 4)), np.zeros((4, 4))
+    for a, b in edges:
+        forward[b, a], backward[a, b] = 1 / count_out[a], 1 / count_in[b]
+    trust = np.linalg.solve(np.eye(4) - 0.85 * forward, 0.15 * np.array([0, 0, 1, 0]))
+    distrust = np.linalg.solve(np.eye(4) - 0.85 * backward, 0.15 * np.array([0, 0, 0, 1]))
+    for k, host in enumerate(hosts):
+        shares = {r["distrust_share"] for r in found.values() if r["host"] == host}
+        assert shares and all(abs(v - distrust[k] / (trust[k] + distrust[k])) < 1e-6 for v in shares)
+
+
 def test_pseudonyms_stay_in_their_format(spark):
     values = ["4111111111111111", "4111 1111 1111 1111", "+1 (017) 555-7713", "97.51.17.173", "1999-12-31", "31/12/1999", "123-45-6789"]
     left = ["4111111111111112", "256.1.1.1", "1999-02-31", "000-12-1234", "1.2.3", "12345"]
