@@ -157,7 +157,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for one in wanted.as_py():
                 size = (one["shape"] & 255) + LENGTH - 1
                 part = data[one["start"] : one["start"] + size]
-                out.append((one["anchor"], doc_id, one["start"], one["shape"] >> 8, part))
+                if len(part) == size:  # else the segment lies in another row of this doc_id
+                    out.append((one["anchor"], doc_id, one["start"], one["shape"] >> 8, part))
         columns = list(zip(*out)) if out else [[], [], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -235,7 +236,10 @@ def _earlier(bucket: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int,
     place = np.array([c[2] for c in chosen], np.int64)[owner] + part_size[owner] - length
     order = np.lexsort((place, doc, group))
     doc, place, group = doc[order], place[order], group[order]
-    later = np.flatnonzero(np.concatenate([[False], group[1:] == group[:-1]]))
+    # The first of each group; rows of one doc_id may hold the same string at the same place.
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    head = np.repeat(heads, np.diff(np.append(heads, len(group))))
+    later = np.flatnonzero((doc != doc[head]) | (place != place[head]))
     return _spans(doc[later], place[later])
 
 
@@ -257,14 +261,20 @@ def _span_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor, in buckets of whole anchors."""
+    """Rows sorted by anchor, in buckets of whole anchors; of equal rows one."""
     bucket: list[tuple[int, int, int, int, bytes]] = []
+    seen: set[tuple[int, int, int, int, bytes]] = set()
+    last = None
     for batch in batches:
         for row in zip(*(column.to_pylist() for column in batch.columns)):
             if len(bucket) >= BUCKET and row[0] != bucket[-1][0]:
                 yield _span_batch(_earlier(bucket))
                 bucket = []
-            bucket.append(row)
+            if row[0] != last:
+                seen, last = set(), row[0]
+            if row not in seen:
+                seen.add(row)
+                bucket.append(row)
     if bucket:
         yield _span_batch(_earlier(bucket))
 

@@ -140,6 +140,30 @@ def test_repeats_equal_brute_force(spark, docs, monkeypatch):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeats_in_repeated_rows(spark, monkeypatch):
+    one, two, three = (prose(k, 30) for k in (61, 62, 63))
+    rows = [(1, one)] * 3 + [(2, one[:150] + two)] * 2 + [(3, two[:110] + three), (3, three + two), (3, one[:120]), (4, three[20:])]
+    first, gone = {}, {}
+    for doc_id, text in rows:
+        for at in range(len(text) - 99):
+            part = text[at : at + 100]
+            first[part] = min(first.get(part, (doc_id, at)), (doc_id, at))
+    for doc_id, text in rows:
+        for at in range(len(text) - 99):
+            if first[text[at : at + 100]] != (doc_id, at):
+                gone.setdefault(doc_id, set()).update(range(at, at + 100))
+    expected = []
+    for doc_id, text in rows:
+        kept = "".join(c for k, c in enumerate(text) if k not in gone.get(doc_id, ()))
+        expected.append((doc_id, len(text), len(text) - len(kept), hashlib.sha256(kept.encode()).hexdigest()))
+    assert 1 not in gone
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for hot in (repeats.HOT_SEGMENTS, 1):
+        monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+        made = repeats.remove_repeats(table).select("doc_id", "n_bytes", "n_removed", "kept_sha256")
+        assert sorted(map(tuple, made.collect())) == sorted(expected)
+
+
 def test_suffix_array():
     parts = [b"banana", b"ananas", b"", b"banana", bytes(range(256))]
     owner, length, common = repeats.suffix_array(parts)
