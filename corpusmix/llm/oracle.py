@@ -62,4 +62,96 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, shor
 FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source
 """
 
-ORACLE: dict[str, str] = {"op4_chat_formatting": OP4, "op6_quality_rules": OP6}
+# The checksum of a text, byte by byte: its table follows from the polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(range(1, octet_length(encode({0})) + 1),
+    lambda i: ('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::ubigint)),
+    lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255)::bigint + 1])), 4294967295::ubigint)"""
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::ubigint) ELSE c >> 1 END"
+
+OP12 = f"""
+WITH RECURSIVE bits(k, step, c) AS (
+  SELECT k, 0, k::ubigint FROM range(256) t(k)
+  UNION ALL SELECT k, step + 1, {_STEP} FROM bits WHERE step < 8
+), tables AS (
+  SELECT list(c ORDER BY k) AS crc_table FROM bits WHERE step = 8
+), runs AS (
+  SELECT coalesce(doc_id::varchar, '') AS d, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS r FROM documents)
+), counted AS (
+  SELECT d, r, count(*) AS n FROM runs WHERE length(r) >= 6 GROUP BY d, r
+), hashed AS (
+  SELECT r, n, {_CRC.format("(d || ':' || r)")} AS h FROM counted, tables
+), words AS (
+  SELECT word, sum(n)::bigint AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(r, 1, (h % length(r))::bigint) || substr(r, (h % length(r))::bigint + 2)
+                   ELSE r END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word
+), near AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS best, max(other_n) AS best_n
+  FROM pairs GROUP BY word
+), judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+         CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)
+), followed(word, place, steps) AS (
+  SELECT word, word, 0 FROM judged
+  UNION ALL SELECT f.word, j.form, f.steps + 1 FROM followed f JOIN judged j ON f.place = j.word WHERE j.form IS NOT NULL
+), roots AS (
+  SELECT word, first(place ORDER BY steps DESC) AS root FROM followed GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counts AS (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS m, unnest(w) AS phrase FROM listed
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM listed
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1),
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM listed)
+  GROUP BY ALL
+), sizes AS (
+  SELECT lang, sum(f)::bigint AS n FROM counts WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
+), scored AS (
+  SELECT c.*, l.f AS l, r.f AS r, ((1000000::hugeint * c.a * c.a) // (l.f::hugeint * r.f))::bigint AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head AND l.m = c.k
+              JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail AND r.m = c.m - c.k
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, m, phrase ORDER BY score, k) = 1
+), holders AS (
+  SELECT lang, part, max(a) AS held FROM (
+    SELECT lang, a, array_to_string(w[1:2], ' ') AS part FROM candidates WHERE m = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE m = 3) GROUP BY lang, part
+), kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN holders h ON h.lang = s.lang AND h.part = s.phrase AND s.m = 2
+  WHERE coalesce(100 * h.held, 0) < 50 * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_chat_formatting": OP4,
+    "op6_quality_rules": OP6,
+    "op12_spelling_variants": OP12,
+    "op13_collocations": OP13,
+}

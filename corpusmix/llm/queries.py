@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmix.llm import bpe, chat, decontaminate, language, minhash, pii, quality, repeats, token_files, url_rules
+from corpusmix.llm import (
+    bpe,
+    chat,
+    collocations,
+    decontaminate,
+    language,
+    licences,
+    minhash,
+    pii,
+    quality,
+    repeats,
+    spelling,
+    token_files,
+    url_rules,
+)
 from corpusmix.llm.common import table
 from corpusmix.llm.oracle import ORACLE  # noqa: F401
 from corpusmix.session import materialize, stage_path
@@ -84,6 +98,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_digest(licences.find_licences(table(spark, sf_dir, "documents")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
@@ -95,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op11_license_scans": op11_license_scans,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_collocations": op13_collocations,
 }
