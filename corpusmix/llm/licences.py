@@ -9,7 +9,6 @@ counts wherever all its words stand together.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -237,41 +236,49 @@ class Scanner:
     def chains(
         self, runs: list[tuple[int, int, int]], least_match: int, most_gap: int, least_share: float
     ) -> list[tuple[str, int, int, float]]:
-        """Spans ``label, first word, last word, share`` that runs (``first word, state, words``) make up."""
-        per_template: dict[int, list[list]] = {}
-        spans = []
-
-        def close(template: int, chain: list) -> None:
-            share = chain[3] / self.lengths[template]
-            if share >= least_share:
-                spans.append((self.labels[template], chain[0], chain[1], share))
+        """Spans ``label, first word, last word, share`` that runs (``first word, state, words``) make up.
 
+        Each run goes on the chain of its template that covers most, among those that end within reach before
+        it in the text and in the template, or begins a chain. What is within reach is bounded by the template's length.
+        """
+        ending: dict[int, list[tuple[int, int, int, int]]] = {}
+        taken: dict[int, list[tuple[int, int, int]]] = {}
         for start, state, length in runs:
             if length < 2:
                 continue
-            options: dict[int, list[int]] = {}
+            last = start + length - 1
             for template, end in self.automaton.places(state):
+                size = self.lengths[template]
                 # A short template counts as one run when it is whole.
-                if template >= self.phrases and length >= min(least_match, self.lengths[template]):
-                    options.setdefault(template, []).append(end)
-            for template, ends in options.items():
-                ends.sort()
-                chain = per_template.get(template)
-                if chain is not None:
-                    # The next part of the template within reach; what lies under the chain already is not new.
-                    at = bisect.bisect_right(ends, chain[2])
-                    if start - chain[1] - 1 <= most_gap and at < len(ends):
-                        end = ends[at]
-                        new = min(length, end - chain[2], start + length - 1 - chain[1])
-                        chain[1], chain[2], chain[3] = start + length - 1, end, chain[3] + new
-                        continue
-                    close(template, chain)
-                per_template[template] = [start, start + length - 1, ends[0], length]
-        for template, chain in per_template.items():
-            close(template, chain)
+                if template < self.phrases or length < min(least_match, size):
+                    continue
+                near = [chain for chain in ending.get(template, ()) if chain[1] >= start - most_gap - 1]
+                covered, first = length, start
+                for begun, stop, upto, words in near:
+                    longer = words + min(length, end - upto, last - stop)
+                    if upto < end and stop < last and longer > covered:
+                        covered, first = longer, begun
+                near.append((first, last, end, covered))
+                ending[template] = near
+                if covered >= least_share * size:
+                    _take(taken.setdefault(template, []), (first, last, covered))
+        spans = [
+            (self.labels[template], first, last, covered / self.lengths[template])
+            for template, chains in taken.items()
+            for first, last, covered in chains
+        ]
         return sorted(spans, key=lambda span: (span[1], span[2], span[0], span[3]))
 
 
+def _take(taken: list[tuple[int, int, int]], chain: tuple[int, int, int]) -> None:
+    """Adds a chain of a template; of chains on the same words the one that covers most stays."""
+    while taken and taken[-1][1] >= chain[0]:
+        if taken[-1][2] >= chain[2]:
+            return
+        taken.pop()
+    taken.append(chain)
+
+
 def scan_texts(
     scanner: Scanner, texts: list[str | None], least_match: int, most_gap: int, least_share: float
 ) -> Iterator[tuple[int, list, list]]:
