@@ -10,7 +10,7 @@ into the next relation. Relations are written tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -20,14 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import corpusmix
 from corpusmix.llm.common import map_batches
-from corpusmix.session import materialize
+from corpusmix.session import materialize, ship_packages
 
 # Marks between pieces and blanks between words, by the query's contract.
 PIECE_MARKS = r"[.,;:!?\n\x0b\x0c\r]"
 NO_LANG = "und"
 BREAK = " \n "  # between pieces; no word holds a line break
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 16_000_000  # in all languages of a task together
 CHUNKS = "chunk bigint, lang string, words array<string>, counts array<int>, codes binary"
 OCCURRENCES = "chunk bigint, codes binary, ids array<bigint>"
 PAIRS = "chunk bigint, `left` bigint, rest bigint, n bigint"
@@ -104,43 +105,59 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["chunk", "left", "rest", "n"])
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The places of frequent longer phrases in a chunk: those of its pairs that are frequent."""
-    for batch in batches:
-        for chunk, data, ids, left, rest, found in zip(*[batch.column(k) for k in range(6)]):
-            codes, number = _places(data.as_py()), ids.values.to_numpy()
-            order = np.argsort(number)
-            code = [order[np.searchsorted(number[order], part.values.to_numpy())] + 1 for part in (left, rest)]
-            wanted = (code[0].astype(np.uint64) << np.uint64(32)) | code[1].astype(np.uint64)
-            by_key = np.argsort(wanted)
-            pairs, at = adjacent_pairs(codes)
-            slot = np.minimum(np.searchsorted(wanted[by_key], pairs), len(wanted) - 1)
-            hit = wanted[by_key][slot] == pairs
-            longer = np.zeros(len(codes), np.uint32)
-            longer[at[hit]] = slot[hit] + 1
-            columns = [chunk.as_py()], [_packed(longer)], [found.values.to_numpy()[by_key]]
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "codes", "ids"])
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy()
 
 
-def _word_occurrences(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """The first relation, of frequent words: the numbers of all others become 0."""
-    local = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
-    known = local.join(words.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
-    ids = known.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("known"))
-    joined = chunks.select("chunk", "codes").join(ids, "chunk")
+def _occurrences(chunk: int, codes: np.ndarray, ids: np.ndarray) -> pa.Table:
+    kinds = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("ids", pa.list_(pa.int64()))])
+    return pa.table([pa.array(v, k) for v, k in zip(([chunk], [_packed(codes)], [ids]), kinds.types)], schema=kinds)
+
+
+def _renumbered(chunk: pa.Table, known: pa.Table) -> pa.Table:
+    """A chunk's places of frequent words (``at``, their number in the chunk, and ``id``)."""
+    codes, at, ids = _places(chunk["codes"][0].as_py()), _column(known, "at"), _column(known, "id")
+    number = np.zeros(max(int(codes.max()), int(at.max(initial=0)) + 1) + 1, np.uint32)
+    number[at + 1] = np.arange(1, len(at) + 1)
+    return _occurrences(chunk["chunk"][0].as_py(), number[codes], ids)
+
+
+def _extended(chunk: pa.Table, found: pa.Table) -> pa.Table:
+    """A chunk's places of frequent longer phrases: those of its adjacent pairs that are among the frequent ones."""
+    codes, ids = _places(chunk["codes"][0].as_py()), chunk["ids"][0].values.to_numpy()
+    order = np.argsort(ids)
+    sides = [order[np.searchsorted(ids[order], _column(found, name))].astype(np.uint64) + 1 for name in ("left", "rest")]
+    frequent = (sides[0] << np.uint64(32)) | sides[1]
+    by_pair = np.argsort(frequent)
+    pairs, at = adjacent_pairs(codes)
+    slot = np.searchsorted(frequent[by_pair], pairs)
+    slot[slot == len(frequent)] = 0
+    longer = np.zeros(len(codes), np.uint32)
+    if len(frequent):
+        hit = frequent[by_pair][slot] == pairs
+        longer[at[hit]] = slot[hit] + 1
+    return _occurrences(chunk["chunk"][0].as_py(), longer, _column(found, "id")[by_pair])
+
+
+def _with_each_chunk(
+    chunks: DataFrame, rows: DataFrame, function: Callable[[pa.Table, pa.Table], pa.Table]
+) -> DataFrame:
+    """``function`` of each chunk and its rows; a chunk without rows is left out, as it holds nothing frequent."""
+    ship_packages(chunks.sparkSession, corpusmix)
+
+    def run(chunk: pa.Table, own: pa.Table) -> pa.Table:
+        return function(chunk, own) if own.num_rows else _occurrences(0, np.zeros(0), np.zeros(0)).slice(1)
 
-    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, data, at, ids in zip(*[batch.column(k) for k in range(4)]):
-                codes, kept = _places(data.as_py()), at.values.to_numpy()
-                number = np.zeros(max(int(codes.max()), int(kept.max()) + 1) + 1, np.uint32)
-                number[kept + 1] = np.arange(1, len(kept) + 1)
-                columns = [chunk.as_py()], [_packed(number[codes])], [ids.values.to_numpy()]
-                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "codes", "ids"])
+    # Both come from one table, so the key of the second gets another name.
+    own = rows.withColumnRenamed("chunk", "of_chunk").groupBy("of_chunk")
+    return chunks.groupBy("chunk").cogroup(own).applyInArrow(run, OCCURRENCES)
 
-    return map_batches(joined.select("chunk", "codes", "known.at", "known.id"), thinned, OCCURRENCES)
+
+def _word_occurrences(chunks: DataFrame, words: DataFrame) -> DataFrame:
+    """The first relation, of frequent words; all others become 0."""
+    local = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "phrase"))
+    known = local.join(words.select("lang", "phrase", "id"), ["lang", "phrase"]).select("chunk", "at", "id")
+    return _with_each_chunk(chunks.select("chunk", "codes"), known, _renumbered)
 
 
 def _thinned(places: DataFrame, least: int) -> DataFrame:
@@ -181,9 +198,8 @@ def frequent_phrases(docs: DataFrame, most_words: int = 3, least: int = 10) -> t
             frequent = totals.where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id())
         else:
             kept = materialize(_thinned(places, least), f"occurrences_{length}")
-            lists = kept.groupBy("chunk").agg(F.collect_list(F.struct("left", "rest", "id")).alias("f"))
-            both = places.join(lists, "chunk").select("chunk", "codes", "ids", "f.left", "f.rest", "f.id")
-            places = materialize(map_batches(both, _extended, OCCURRENCES), f"places_{length}")
+            found = kept.select("chunk", "left", "rest", "id")
+            places = materialize(_with_each_chunk(places, found, _extended), f"places_{length}")
             frequent = kept.groupBy("left", "rest").agg(F.min("a").alias("a"), F.min("id").alias("id"))
         levels.append(materialize(_spelt(frequent, levels[-1]), f"phrases_{length}"))
     return levels, sizes
@@ -219,6 +235,19 @@ def _lowest_cut(words: int) -> Column:
     return F.expr(cuts[0] if len(cuts) == 1 else f"least({', '.join(cuts)})")
 
 
+def _within_reach(scored: DataFrame, keys: list[str], top: int) -> DataFrame:
+    """The rows of each language that can be among its first ``top`` by ``keys``, the largest first.
+
+    Rows are counted per key first, so no task ranks all phrases of a language: there are a million
+    scores, and counts are looked at only among the rows of the score at which the list ends.
+    """
+    counts = scored.groupBy("lang", *keys).agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("lang").orderBy(*[F.desc(key) for key in keys])
+    reached = counts.withColumn("before", F.sum("rows").over(order) - F.col("rows")).where(F.col("before") < top)
+    least = reached.groupBy("lang").agg(F.min(F.struct(*keys)).alias("least"))
+    return scored.join(least, "lang").where(F.struct(*keys) >= F.col("least")).drop("least")
+
+
 def collocations(
     docs: DataFrame, most_words: int = 3, least: int = 10, covering: int = 50, top: int = 2000
 ) -> DataFrame:
@@ -245,6 +274,9 @@ def collocations(
             level = level.join(most, "id", "left").where(~covered)
         parts.append(level.select("lang", "phrase", "a", _lowest_cut(words).alias("cut")))
     scored = reduce(DataFrame.unionByName, parts).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    scored = materialize(scored, "phrase_scores")
+    for keys in (["score"], ["score", "a"]):
+        scored = _within_reach(scored, keys, top)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select(
