@@ -189,7 +189,7 @@ PROMPT = f"""CASE task WHEN 'translation' THEN {
 COMPLETION = f"{_strip('target_text')} || {_text(fixed.END_OF_TURN)}"
 
 
-def _budget(view: str) -> str:
+def _budget(view: str, limit: int = 2048, total: bool = False) -> str:
     special = _text("^" + SPACE + "*" + SPECIAL + "$")
     kept = f"[t FOR t IN ({_tokens('target_text')})[1:allowed] IF NOT regexp_matches(t, {special})]"
     return f"""
@@ -197,8 +197,8 @@ SELECT * EXCLUDE (src_len, tgt_len, allowed, target_text),
        CASE WHEN over_limit AND tgt_len > allowed THEN {_strip(f"array_to_string({kept}, '')")}
             ELSE target_text END AS target_text
 FROM (
-  SELECT *, src_len > 2048 OR tgt_len > 2048 AS over_limit,
-         greatest(0, 2047 - {_count(PROMPT)} - {_count(_text(fixed.END_OF_TURN))}) AS allowed
+  SELECT *, greatest(0, {limit - 1} - {_count(PROMPT)} - {_count(_text(fixed.END_OF_TURN))}) AS allowed,
+         {"tgt_len > allowed" if total else f"src_len > {limit} OR tgt_len > {limit}"} AS over_limit
   FROM (
     SELECT *, {_count("source_text")} AS src_len, {_count("target_text")} AS tgt_len FROM {view}
   ) WHERE src_len <= 1266
@@ -207,6 +207,7 @@ FROM (
 
 
 VIEWS["budgeted"] = _budget("sliced")
+VIEWS["budgeted_whole"] = _budget("sliced", 600, total=True)
 VIEWS["pool"] = f"""
 SELECT *, sha1(source_text || chr(0) || target_text) AS pair_hash FROM budgeted
 WHERE NOT over_limit OR target_text <> ''
@@ -296,6 +297,19 @@ FROM (
   FROM deduped
 )
 """
+VIEWS["gaps"] = """
+SELECT source_lang_code || '->' || target_lang_code AS direction,
+       abs(length(source_text) - length(target_text))::double AS prediction
+FROM split_rows WHERE split = 'test' AND task = 'translation'
+"""
+VIEWS["some_codes_missing"] = """
+SELECT pair_hash, target_lang_code, CASE WHEN dataset_source <> 'document_pairs_again' THEN source_lang_code END
+         AS source_lang_code, CASE WHEN dataset_source <> 'chats' THEN task END AS task
+FROM deduped
+"""
+VIEWS["rendered_lengths"] = f"""
+SELECT split, task, {_count(f"({PROMPT} || {COMPLETION})")} AS total_tokens FROM split_rows
+"""
 VIEWS["lengths"] = f"""
 SELECT split, task,
        {_count(_fill(fixed.MEASURED_TEXT, source="source_text", target="target_text"))} AS total_tokens
@@ -332,7 +346,7 @@ FROM (SELECT *, {_count("source_text")} AS src_len, {_count("target_text")} AS t
 """
 
 
-def _length_statistics(condition: str) -> str:
+def _length_statistics(condition: str, view: str = "lengths") -> str:
     points = [
         ("median_tokens", 0.5),
         ("p95_tokens", 0.95),
@@ -346,7 +360,7 @@ def _length_statistics(condition: str) -> str:
     return f"""
 SELECT coalesce(task, 'all') AS segment, count(*) AS samples,
        round(avg(total_tokens), 6) AS mean_tokens, max(total_tokens) AS max_tokens, {columns}
-FROM lengths WHERE {condition} GROUP BY GROUPING SETS ((), (task))
+FROM {view} WHERE {condition} GROUP BY GROUPING SETS ((), (task))
 """
 
 
@@ -372,6 +386,17 @@ FROM documents d LEFT JOIN firsts f ON f.doc_id = d.doc_id
 """
 
 
+def _score_document(split: str, view: str, direction: str) -> str:
+    """The overall scores beside those of each direction."""
+    figures = "count(*) AS samples, round(avg(prediction), 6) AS average_score, round(median(prediction), 6) AS median_score"
+    return f"""
+SELECT '{split}' AS split, 'validation' AS requested_split, 'translation' AS evaluated_task, 'reference' AS mode, o.*,
+       d.direction, d.samples AS direction_samples, d.average_score AS direction_average_score,
+       d.median_score AS direction_median_score
+FROM (SELECT {figures} FROM {view}) o, (SELECT {direction} AS direction, {figures} FROM {view} GROUP BY 1) d
+"""
+
+
 _SPLIT_LINES = "SELECT pair_hash, stratify_key, split FROM split_rows"
 
 STATEMENTS: dict[str, str] = {
@@ -379,6 +404,9 @@ STATEMENTS: dict[str, str] = {
 SELECT source_ord::bigint AS source_ord, section, dataset_source, usage::double AS usage,
        n::bigint AS rows_available, floor(n * usage::double)::bigint AS source_rows_used
 FROM usage_lines
+""",
+    "q01b_sources_of_each_format": """
+SELECT format, doc_id, text, lang, source FROM documents, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)
 """,
     "q02_strip_and_blank_filter": f"""
 SELECT * FROM (
@@ -412,6 +440,9 @@ SELECT task, source_lang_code, target_lang_code, count(*) AS rows FROM dictionar
     "q10_token_lengths_and_buckets": _bucketed(),
     "q10b_batch_tokenizer_lengths": _bucketed(),
     "q11_budget_truncation": f"SELECT dataset_source, over_limit, order_key, {FLAT} FROM pool",
+    "q11b_budget_of_whole_rows": f"""
+SELECT dataset_source, over_limit, order_key, {FLAT} FROM budgeted_whole WHERE NOT over_limit OR target_text <> ''
+""",
     "q12_dedup_keep_first": """
 SELECT pair_hash, dataset_source, task, source_lang_code, over_limit, order_key, copies FROM deduped
 """,
@@ -450,6 +481,15 @@ SELECT pair_hash, task, source_lang_code, target_lang_code FROM (
 ) WHERE task <> 'translation' OR drawn <= (
   SELECT min(n) FROM (SELECT count(*) AS n FROM deduped WHERE task = 'translation'
                       GROUP BY source_lang_code, target_lang_code))
+""",
+    "q16c_balance_directions_missing_codes": f"""
+SELECT pair_hash, task, source_lang_code, target_lang_code FROM (
+  SELECT *, row_number() OVER (PARTITION BY task, source_lang_code, target_lang_code
+                               ORDER BY {_key("42/direction", "pair_hash")}) AS drawn
+  FROM some_codes_missing
+) WHERE task IS DISTINCT FROM 'translation' OR drawn <= (
+  SELECT min(n) FROM (SELECT count(*) AS n FROM some_codes_missing WHERE task = 'translation'
+                      GROUP BY source_lang_code, target_lang_code))
 """,
     "q17_stratified_split_counts": """
 SELECT stratify_key, split, count(*) AS rows FROM split_rows GROUP BY ALL
@@ -494,6 +534,12 @@ FROM (SELECT (SELECT count(*) FROM pool) AS p, (SELECT count(*) FROM deduped) AS
 """,
     "q21_length_statistics": _length_statistics("true"),
     "q21b_length_statistics_train": _length_statistics("split = 'train'"),
+    "q21c_length_statistics_rendered": _length_statistics("true", "rendered_lengths"),
+    "q21d_length_sketches": """
+SELECT coalesce(task, 'all') AS segment, count(*) AS samples, round(avg(total_tokens), 6) AS mean_tokens,
+       max(total_tokens) AS max_tokens, true AS within
+FROM lengths GROUP BY GROUPING SETS ((), (task))
+""",
     "q22_fraction_prefix": """
 SELECT pair_hash, row_order AS order_key FROM (
   SELECT *, row_number() OVER (ORDER BY row_order) AS rn2, count(*) OVER () AS n
@@ -507,6 +553,10 @@ SELECT {PROMPT} AS prompt, {COMPLETION} AS completion FROM split_rows WHERE spli
 SELECT count(*) FILTER (NOT ends_with({PROMPT}, {_text(fixed.MODEL_TURN)})) AS violations,
        count(*) AS rows
 FROM pool
+""",
+    "q23c_prompt_row_cap": f"""
+SELECT {PROMPT} AS prompt, {COMPLETION} AS completion FROM split_rows
+WHERE split = 'train' ORDER BY row_order LIMIT 1200
 """,
     "q24_eval_rows": f"""
 SELECT pair_hash AS row_id, {FLAT} FROM split_rows
@@ -537,6 +587,8 @@ SELECT 'test' AS split, 'validation' AS requested_split, 'translation' AS evalua
        round(median(prediction), 6) AS median_score, true AS lower_is_better
 FROM scored
 """,
+    "q28b_score_summary": _score_document("test", "scored", "source_lang_code || '->' || target_lang_code"),
+    "q28c_whole_evaluation": _score_document("test", "gaps", "direction"),
     "q29_packing_plan": """
 SELECT pair_hash, total_tokens, start_token, start_token // 2048 AS first_block,
        (start_token + total_tokens - 1) // 2048 AS last_block
@@ -555,6 +607,10 @@ FROM (
     "q30_json_lines_round_trip": f"SELECT {FLAT} FROM both_directions",
     "q31_prepared_round_trip": """
 SELECT pair_hash, dataset_source, stratify_key, split FROM split_rows
+""",
+    "q31b_shuffled_write": f"""
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY {_key("42/shuffle", "pair_hash")}) - 1 AS row_at, pair_hash
+FROM split_rows
 """,
     "q32_batch_scorer": """
 SELECT row_id, abs(length(source_text) - length(hypothesis)) AS prediction FROM predictions

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import catalog
@@ -26,16 +27,22 @@ from corpusmix.operators import (
     rebalance,
     reports,
     selection,
+    sketches,
     split,
 )
 from corpusmix.operators.bitext import drop_blank, map_bitext, translation_records
 from corpusmix.plans import corpus, prepared
+from corpusmix.plans.evaluation import evaluate
 from corpusmix.session import materialize, ship_packages, stage_path
-from corpusmix.sources.readers import read_json_lines, read_prepared, with_order_key
-from corpusmix.sources.sinks import write_json_lines, write_prepared
+from corpusmix.sources.published import current_version, read_in_order
+from corpusmix.sources.readers import read_json_lines, read_prepared, read_source, with_order_key
+from corpusmix.sources.recipe import parse_recipe
+from corpusmix.sources.sinks import write_json_lines, write_prepared, write_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOTAL_BUDGET = 600
+CAPPED_ROWS = 1_200
 ENTRIES = {entry.name: entry for entry in bindings.RECIPE.entries}
 
 
@@ -51,8 +58,9 @@ def _pool(spark: SparkSession, tables: str) -> DataFrame:
     return corpus.build_pool(spark, bindings.RECIPE, bindings.load(tables))
 
 
-def _hashed_pool(spark: SparkSession, tables: str) -> DataFrame:
-    return dedup.with_pair_hash(_pool(spark, tables))
+def _hashed_pool(spark: SparkSession, tables: str, key: str = "pair") -> DataFrame:
+    """The pool with its hashes as a written table, as deduplication looks at it more than once."""
+    return materialize(dedup.with_pair_hash(_pool(spark, tables), key), "pool")
 
 
 def _unique(spark: SparkSession, tables: str) -> DataFrame:
@@ -82,7 +90,7 @@ def _predictions(spark: SparkSession, tables: str) -> DataFrame:
         _source(spark, tables, "document_pairs"), fixed.DIRECTIONS, PatternTokenizer()
     )
     fitted = dedup.with_pair_hash(budget.enforce_budget(records).withColumn("source_ord", F.lit(0)))
-    return dedup.keep_first(fitted).select(
+    return dedup.keep_first(materialize(fitted, "fitted")).select(
         F.col("pair_hash").alias("row_id"),
         *fixed.FLAT_COLUMNS,
         F.reverse("target_text").alias("hypothesis"),
@@ -118,6 +126,20 @@ def recipe_active_sources(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def sources_of_each_format(spark: SparkSession, tables: str) -> DataFrame:
+    """All documents, written in every format a recipe can name and read through its entries."""
+    documents = bindings.table(spark, tables, "documents").select("doc_id", "text", "lang", "source")
+    top = stage_path(spark, "formats")
+    kinds = ", ".join(f"{name} {kind}" for name, kind in documents.dtypes)
+    entries = {}
+    for name in ("parquet", "json", "csv"):
+        documents.write.option("header", True).option("escape", '"').format(name).save(f"{top}/{name}")
+        entries[name] = {"path": top, "config": name, "format": name, "schema": kinds}
+    recipe = parse_recipe({"translation_data": entries})
+    read = [read_source(spark, entry).withColumn("format", F.lit(entry.name)) for entry in recipe.entries]
+    return reduce(DataFrame.unionByName, read)
+
+
 def strip_and_blank_filter(spark: SparkSession, tables: str) -> DataFrame:
     """All texts wrapped in several kinds of white space, and rows that are only that."""
     documents = bindings.table(spark, tables, "documents")
@@ -294,6 +316,13 @@ def budget_truncation(spark: SparkSession, tables: str) -> DataFrame:
 # --- duplicates ----------------------------------------------------------------------
 
 
+def budget_of_whole_rows(spark: SparkSession, tables: str) -> DataFrame:
+    """The budget for prompt, target and closing together."""
+    pool = corpus.build_pool(spark, bindings.RECIPE, bindings.load(tables), tokenizer=None).drop("over_limit")
+    fitted = budget.enforce_budget(pool, max_tokens=TOTAL_BUDGET, budget="total")
+    return _flat(fitted, "dataset_source", "over_limit", "order_key")
+
+
 def dedup_keep_first(spark: SparkSession, tables: str) -> DataFrame:
     unique = dedup.keep_first(_hashed_pool(spark, tables))
     return unique.select(
@@ -302,7 +331,7 @@ def dedup_keep_first(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def dedup_pair_and_languages(spark: SparkSession, tables: str) -> DataFrame:
-    unique = dedup.keep_first(dedup.with_pair_hash(_pool(spark, tables), key="pair+lang"))
+    unique = dedup.keep_first(_hashed_pool(spark, tables, "pair+lang"))
     return unique.select(
         "pair_hash", "dataset_source", "source_lang_code", "target_lang_code", "order_key", "copies"
     )
@@ -336,6 +365,16 @@ def balance_directions(spark: SparkSession, tables: str) -> DataFrame:
     return even.select("pair_hash", "task", "source_lang_code", "target_lang_code")
 
 
+def balance_directions_missing_codes(spark: SparkSession, tables: str) -> DataFrame:
+    """One source without language codes, and one without a task: codes that are missing are a direction too."""
+    unique = _unique(spark, tables)
+    again = F.col("dataset_source") == "document_pairs_again"
+    code = F.when(~again, F.col("source_lang_code"))
+    task = F.when(F.col("dataset_source") != "chats", F.col("task"))
+    balanced = rebalance.balance_directions(unique.withColumn("source_lang_code", code).withColumn("task", task))
+    return balanced.select("pair_hash", "task", "source_lang_code", "target_lang_code")
+
+
 def stratified_split_counts(spark: SparkSession, tables: str) -> DataFrame:
     rows = _split(spark, tables)
     return rows.groupBy("stratify_key", "split").agg(F.count("*").alias("rows"))
@@ -401,6 +440,41 @@ def length_statistics_train(spark: SparkSession, tables: str) -> DataFrame:
     return _rounded(prepared.analyse_lengths(spark, _prepared(spark, tables), "train"))
 
 
+def length_statistics_rendered(spark: SparkSession, tables: str) -> DataFrame:
+    """Lengths of prompts with their completions."""
+    return _rounded(prepared.analyse_lengths(spark, _prepared(spark, tables), "all", rendered=True))
+
+
+def length_sketches(spark: SparkSession, tables: str) -> DataFrame:
+    """Stored sketches per split, source and task, merged, with their quantiles' ranks among the exact lengths.
+
+    ``within`` says that every quantile has a rank within the stated error, and ``exact`` columns need no sketch.
+    """
+    path, folder = _prepared(spark, tables), stage_path(spark, "length_sketches")
+    prepared.write_length_sketches(spark, path, folder)
+    stored = spark.read.parquet(folder)
+    both = sketches.sketched_statistics(stored, ["task"]).unionByName(
+        sketches.sketched_statistics(stored, []).withColumn("task", F.lit("all"))
+    )
+    points = dict(zip(("median_tokens", "p95_tokens", "p99_tokens", "p99_9_tokens"), fixed.PERCENTILES))
+    found = both.select(
+        F.col("task").alias("segment"), "samples", F.round("mean_tokens", 6).alias("mean_tokens"), "max_tokens", *points
+    )
+    lengths = budget.total_lengths(read_prepared(spark, path, "all"))
+    tallies = lengths.select(F.explode(F.array("task", F.lit("all"))).alias("segment"), "total_tokens")
+    counted = tallies.groupBy("segment", "total_tokens").agg(F.count("*").alias("n"))
+    keys = [name for name in found.columns if name not in points]
+    below = [F.sum(F.when(F.col("total_tokens") < F.col(p), F.col("n")).otherwise(0)).alias(f"below_{p}") for p in points]
+    upto = [F.sum(F.when(F.col("total_tokens") <= F.col(p), F.col("n")).otherwise(0)).alias(f"upto_{p}") for p in points]
+    ranked = found.join(counted, "segment").groupBy(*keys).agg(*below, *upto)
+    error = sketches.rank_error()
+    is_near = [
+        (F.col(f"below_{name}") / F.col("samples") - error <= point) & (F.col(f"upto_{name}") / F.col("samples") + error >= point)
+        for name, point in points.items()
+    ]
+    return ranked.select(*keys, reduce(Column.__and__, is_near).alias("within"))
+
+
 # --- training rows -----------------------------------------------------------------------
 
 
@@ -413,6 +487,11 @@ def prompt_completion(spark: SparkSession, tables: str) -> DataFrame:
     return prepared.training_rows(spark, _prepared(spark, tables))
 
 
+def prompt_row_cap(spark: SparkSession, tables: str) -> DataFrame:
+    """The feature is a row cap: the first rows of the training split."""
+    return prepared.training_rows(spark, _prepared(spark, tables), max_rows=CAPPED_ROWS)
+
+
 def prompt_boundary_check(spark: SparkSession, tables: str) -> DataFrame:
     return prompts.boundary_violations(prompts.render(_pool(spark, tables)))
 
@@ -481,6 +560,44 @@ def overall_scores(spark: SparkSession, tables: str) -> DataFrame:
     return _rounded(evaluation.overall_scores(_scored(spark, tables), "test", "validation"))
 
 
+def _exploded(summary: DataFrame) -> DataFrame:
+    """A summary document as one line per direction, each with the overall figures."""
+    names = ("samples", "average_score", "median_score")
+    nested = summary.select("*", F.explode("direction_summaries").alias("of")).drop("direction_summaries")
+    return _rounded(
+        nested.select(
+            "split", "requested_split", "evaluated_task", "mode", *names, "of.direction",
+            *[F.col(f"of.{name}").alias(f"direction_{name}") for name in names],
+        )
+    )
+
+
+def score_summary(spark: SparkSession, tables: str) -> DataFrame:
+    """The document of all scores, written and read back."""
+    summary = evaluation.score_summary(_scored(spark, tables), "test", "validation")
+    path = stage_path(spark, "score_summary")
+    write_summary(summary, path)
+    return _exploded(spark.read.schema(summary.schema).json(path))
+
+
+def whole_evaluation(spark: SparkSession, tables: str) -> DataFrame:
+    """From the prepared table to the summary of its held-out translations, in blocks of at most 500 rows."""
+    ship_packages(spark, corpusmix, catalog)
+
+    def score(rows: DataFrame) -> DataFrame:
+        return evaluation.apply_in_batches(rows, LengthGap, _score_batch, "row_id string, prediction bigint")
+
+    summary = evaluate(
+        spark,
+        _prepared(spark, tables),
+        stage_path(spark, "evaluation"),
+        lambda rows: rows.withColumn("hypothesis", F.reverse("target_text")),
+        score,
+        block_rows=500,
+    )
+    return _exploded(summary)
+
+
 class LengthGap:
     """A stand-in for a scoring model."""
 
@@ -514,6 +631,14 @@ def json_lines_round_trip(spark: SparkSession, tables: str) -> DataFrame:
     return read_json_lines(spark, path, rows.schema)
 
 
+def shuffled_write(spark: SparkSession, tables: str) -> DataFrame:
+    """The prepared table written in seeded random order: the place of every row, from the list of files."""
+    path = stage_path(spark, "shuffled")
+    write_prepared(corpus.prepared_rows(_split(spark, tables)), path, shuffled=True, rows_per_file=1_000)
+    both = [read_in_order(spark, path, name) for name in current_version(spark, path).splits]
+    return reduce(DataFrame.unionByName, both).select("split", "row_at", "pair_hash")
+
+
 def _source_records(spark: SparkSession, tables: str) -> DataFrame:
     return translation_records(_source(spark, tables, "document_pairs"), fixed.DIRECTIONS)
 
@@ -526,6 +651,7 @@ def prepared_round_trip(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "q01_recipe_active_sources": recipe_active_sources,
+    "q01b_sources_of_each_format": sources_of_each_format,
     "q02_strip_and_blank_filter": strip_and_blank_filter,
     "q03_bitext_column_mapping": bitext_column_mapping,
     "q04_bitext_json_extract": bitext_json_extract,
@@ -538,6 +664,7 @@ QUERIES: dict[str, Query] = {
     "q10_token_lengths_and_buckets": token_lengths_and_buckets,
     "q10b_batch_tokenizer_lengths": batch_tokenizer_lengths,
     "q11_budget_truncation": budget_truncation,
+    "q11b_budget_of_whole_rows": budget_of_whole_rows,
     "q12_dedup_keep_first": dedup_keep_first,
     "q12b_dedup_losers": dedup_losers,
     "q12c_duplicates_by_source": duplicates_by_source,
@@ -550,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "q15_rebalance_quotas": rebalance_quotas,
     "q16_rebalance_sample": rebalance_sample,
     "q16b_balance_directions": balance_directions,
+    "q16c_balance_directions_missing_codes": balance_directions_missing_codes,
     "q17_stratified_split_counts": stratified_split_counts,
     "q17b_stratified_split_rows": stratified_split_rows,
     "q17c_stratum_codes": stratum_codes,
@@ -560,9 +688,12 @@ QUERIES: dict[str, Query] = {
     "q20b_removed_counts": removed_counts,
     "q21_length_statistics": length_statistics,
     "q21b_length_statistics_train": length_statistics_train,
+    "q21c_length_statistics_rendered": length_statistics_rendered,
+    "q21d_length_sketches": length_sketches,
     "q22_fraction_prefix": fraction_prefix,
     "q23_prompt_completion": prompt_completion,
     "q23b_prompt_boundary_check": prompt_boundary_check,
+    "q23c_prompt_row_cap": prompt_row_cap,
     "q24_eval_rows": eval_rows,
     "q25_metric_input": metric_input,
     "q25b_metric_input_reference_free": metric_input_reference_free,
@@ -570,10 +701,13 @@ QUERIES: dict[str, Query] = {
     "q26b_score_join_unmatched": score_join_unmatched,
     "q27_direction_scores": direction_scores,
     "q28_overall_scores": overall_scores,
+    "q28b_score_summary": score_summary,
+    "q28c_whole_evaluation": whole_evaluation,
     "q29_packing_plan": packing_plan,
     "q29b_packing_fill": packing_fill,
     "q30_json_lines_round_trip": json_lines_round_trip,
     "q31_prepared_round_trip": prepared_round_trip,
+    "q31b_shuffled_write": shuffled_write,
     "q32_batch_scorer": batch_scorer,
     "q33_checked_tasks": checked_pool,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,14 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in kept], F.inline(F.array(F.struct(*values))))
 
 
+def join_groups(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, with null as a value like any other."""
+    keys = {name: f"_of_{name}" for name in names}
+    renamed = right.select(*[F.col(name).alias(keys.get(name, name)) for name in right.columns])
+    equal = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()])
+    return left.join(renamed, equal, how).drop(*keys.values())
+
+
 def emit_copies(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as its column ``times`` says; the column is dropped.
 

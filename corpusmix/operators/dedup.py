@@ -11,6 +11,7 @@ from corpusmix.functions.text import pair_hash
 # The place of a row in the pool: source, then cut rows last, then the seeded
 # order of input rows, then the order of the records one input row gave.
 PLACE = ("source_ord", "over_limit", "order_key", "emit_ord")
+REPEAT_BITS = 2**27
 KEYS = {
     "pair": ("source_text", "target_text"),
     "pair+lang": ("source_text", "target_text", "source_lang_code", "target_lang_code"),
@@ -24,20 +25,48 @@ def with_pair_hash(pool: DataFrame, key: str = "pair") -> DataFrame:
     return pool.withColumn("pair_hash", pair_hash(*map(F.col, KEYS[key])))
 
 
+def may_repeat(pool: DataFrame) -> DataFrame:
+    """Add ``_again``: false only for rows whose pair is surely there once.
+
+    Pairs are counted by their hash alone, which sorts nothing. Those that are there twice or more set
+    one of 2 ** 27 bits each, kept as at most 2 ** 21 words of 64 bits, which is what is sent to every task whatever
+    the size of the pool. A pair that shares its bit with another one just goes the longer way.
+    """
+    counts = pool.groupBy("pair_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    bit = F.pmod(F.xxhash64("pair_hash"), F.lit(REPEAT_BITS).cast("bigint"))
+    one = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    words = (
+        counts.select(bit.alias("_bit"))
+        .select(F.expr("shiftright(_bit, 6)").alias("_word"), one.alias("_one"))
+        .groupBy("_word")
+        .agg(F.bit_or("_one").alias("_bits"))
+    )
+    placed = pool.withColumn("_bit", bit).withColumn("_at", F.expr("shiftright(_bit, 6)"))
+    joined = placed.join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    again = F.coalesce(F.col("_bits").bitwiseAND(one) != 0, F.lit(False))
+    return joined.withColumn("_again", again).drop("_bit", "_at", "_word", "_bits")
+
+
 def keep_first(pool: DataFrame) -> DataFrame:
     """One row per pair, the one that comes first in the pool, with ``copies``.
 
-    A single shuffle. The minimum carries the row itself, so there is no join
-    back, and copies meet before the shuffle, so a pair that makes up a large
-    part of the pool sends one row per task.
+    Rows whose pair is there once, most of them, stay where they are. The others take a
+    minimum that carries the row itself, so there is no join back, and copies meet before the
+    shuffle, so a pair that makes up a large part of the pool sends one row per task.
     """
+    flagged = may_repeat(pool)
     carried = [name for name in pool.columns if name not in (*PLACE, "pair_hash")]
+    single = flagged.where(~F.col("_again")).select(
+        "pair_hash", *PLACE, *carried, F.lit(1).cast("bigint").alias("copies")
+    )
     first = F.min(F.struct(*PLACE, *carried)).alias("first")
-    return (
-        pool.groupBy("pair_hash")
+    chosen = (
+        flagged.where("_again")
+        .groupBy("pair_hash")
         .agg(first, F.count("*").alias("copies"))
         .select("pair_hash", "first.*", "copies")
     )
+    return single.unionByName(chosen)
 
 
 def duplicate_groups(pool: DataFrame) -> DataFrame:

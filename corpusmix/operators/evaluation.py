@@ -134,14 +134,18 @@ def overall_scores(
 
 
 def score_summary(
-    scored: DataFrame, split: str, requested_split: str, reference_free: bool = False
+    scored: DataFrame, split: str, requested_split: str, reference_free: bool = False, metric: str = "score"
 ) -> DataFrame:
-    """The overall scores with those of each direction nested in them, as one document."""
+    """The overall scores with those of each direction nested in them, as one document.
+
+    ``metric`` is what averages and medians are called after, such as ``average_score``.
+    """
     names = ("samples", "average_score", "median_score", "lower_is_better")
-    entry = F.struct("direction", *names)
+    own = [F.col(name).alias(name.replace("_score", f"_{metric}")) for name in names]
+    entry = F.struct("direction", *own)
     directions = direction_scores(scored).agg(
         F.sort_array(F.collect_list(entry)).alias("direction_summaries")
     )
     overall = overall_scores(scored, split, requested_split, reference_free)
     both = overall.unionByName(directions, allowMissingColumns=True)
-    return both.agg(*[F.max(name).alias(name) for name in both.columns])
+    return both.agg(*[F.max(name).alias(name.replace("_score", f"_{metric}")) for name in both.columns])

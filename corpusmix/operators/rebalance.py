@@ -66,7 +66,7 @@ def rebalance(
 ) -> DataFrame:
     """A seeded sample of each task without replacement, in the target ratio.
 
-    ``unique`` holds each ``pair_hash`` once.
+    ``unique`` holds each ``pair_hash`` once. A row of neither task belongs to no part of the ratio and is left out.
     """
     drawn = unique.withColumn("_draw", keyed_hash(seed, F.col("pair_hash")))
     quota = ratio_quota(translation_share, instruction_share)
@@ -79,12 +79,15 @@ def smallest_quota(counts: DataFrame) -> DataFrame:
 
 
 def balance_directions(unique: DataFrame, seed: object = DIRECTION_SEED) -> DataFrame:
-    """Equally many rows of each translation direction; other rows all stay."""
+    """Equally many rows of each translation direction; other rows, also those without a task, all stay.
+
+    A missing language code is a code of its own.
+    """
     is_translation = F.col("task") == fixed.TASK_TRANSLATION
     directions = ["source_lang_code", "target_lang_code"]
     drawn = unique.where(is_translation).withColumn("_draw", keyed_hash(seed, F.col("pair_hash")))
     balanced = take_exact(drawn, smallest_quota, "_draw", directions).drop("_draw")
-    return balanced.unionByName(unique.where(~is_translation))
+    return balanced.unionByName(unique.where(~F.coalesce(is_translation, F.lit(False))))
 
 
 def shuffled(df: DataFrame, seed: object, key: str = "pair_hash") -> DataFrame:

@@ -61,13 +61,16 @@ def recipe_report(usage: DataFrame, pool: DataFrame) -> DataFrame:
     )
 
 
-def task_totals(df: DataFrame) -> DataFrame:
-    """One line: rows per task, all rows, and the shares of the tasks in percent."""
-    totals = df.agg(
-        _rows_of(fixed.TASK_TRANSLATION).alias("translation_rows"),
-        _rows_of(fixed.TASK_INSTRUCTION).alias("instruction_rows"),
-        F.count("*").alias("total_rows"),
-    )
+def task_counters() -> dict[str, Column]:
+    return {
+        "translation_rows": _rows_of(fixed.TASK_TRANSLATION),
+        "instruction_rows": _rows_of(fixed.TASK_INSTRUCTION),
+        "total_rows": F.count("*"),
+    }
+
+
+def with_shares(totals: DataFrame) -> DataFrame:
+    """Add the shares of both tasks in percent to a line of counts."""
     return totals.select(
         "*",
         percent(F.col("translation_rows"), F.col("total_rows")).alias("translation_percent"),
@@ -75,6 +78,11 @@ def task_totals(df: DataFrame) -> DataFrame:
     )
 
 
+def task_totals(df: DataFrame) -> DataFrame:
+    """One line: rows per task, all rows, and the shares of the tasks in percent."""
+    return with_shares(df.agg(*[value.alias(name) for name, value in task_counters().items()]))
+
+
 def direction() -> Column:
     return F.concat(F.col("source_lang_code"), F.lit("->"), F.col("target_lang_code"))
 

@@ -12,11 +12,12 @@ Order keys are hex hashes, so their first digits make even buckets.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmix.functions.frames import compute_once, emit_copies
+from corpusmix.functions.frames import compute_once, emit_copies, join_groups
 from corpusmix.functions.text import row_digest
 from corpusmix.session import materialize, pin_small
 
@@ -81,7 +82,7 @@ def _cuts(
 def _inside(keyed: DataFrame, cuts: DataFrame, groups: Sequence[str], digits: int) -> DataFrame:
     """The rows in the cut buckets only."""
     bucketed = keyed.withColumn("bucket", key_bucket("value", digits))
-    return bucketed.join(cuts.select(*groups, "bucket"), [*groups, "bucket"], "left_semi")
+    return join_groups(bucketed, cuts.select(*groups, "bucket"), [*groups, "bucket"], "left_semi")
 
 
 def thresholds(
@@ -95,13 +96,13 @@ def thresholds(
 
     ``before`` counts the rows below that key, ``at_value`` those that have it.
     Groups with a quota of zero have no line; a quota above the rows of a group means
-    all of them. One pass over the groups and keys
+    all of them; null is a group like any other. One pass over the groups and keys
     makes the histogram; buckets with more than ``gathered_rows`` rows are divided
     once more, which is enough for any table: one key in 16 million is left.
     """
     groups = list(groups)
     # The key is often a hash still to be computed: filters must not compute it again.
-    present = df.select(*groups, F.col(order_key).alias("_key")).dropna(subset=groups)
+    present = df.select(*groups, F.col(order_key).alias("_key"))
     keyed = compute_once(present, value=F.col("_key")).drop("_key")
 
     def clamped(counts: DataFrame) -> DataFrame:
@@ -113,8 +114,8 @@ def thresholds(
             everything = F.sum("n").over(Window.partitionBy())
             return clamped(quota(based.withColumn("available", everything)))
         sizes = running.groupBy(*groups).agg(F.sum("n").alias("available"))
-        wanted = quota(sizes).select(*groups, "k").join(sizes, groups)
-        return based.join(clamped(wanted).select(*groups, "k"), groups)
+        wanted = join_groups(quota(sizes).select(*groups, "k"), sizes, groups)
+        return join_groups(based, clamped(wanted).select(*groups, "k"), groups)
 
     digits = KEY_DIGITS
     cuts = _cuts(keyed, groups, digits, by_quota)
@@ -125,7 +126,7 @@ def thresholds(
 
         def by_rank(running: DataFrame) -> DataFrame:
             outer = ranks.withColumnRenamed("bucket", "outer")
-            return running.join(outer, [*groups, "outer"])
+            return join_groups(running, outer, [*groups, "outer"])
 
         cuts = _cuts(inside, [*groups, "outer"], digits, by_rank).drop("outer")
 
@@ -134,9 +135,8 @@ def thresholds(
         .groupBy(*groups, "bucket", "value")
         .agg(F.count("*").alias("n"))
     )
-    values = _running(tallies, [*groups, "bucket"], "value").join(
-        cuts.drop("n"), [*groups, "bucket"]
-    )
+    summed = _running(tallies, [*groups, "bucket"], "value")
+    values = join_groups(summed, cuts.drop("n"), [*groups, "bucket"])
     rank = F.col("k") - F.col("skipped")
     found = values.where((F.col("before") < rank) & (rank <= F.col("upto")))
     return pin_small(
@@ -155,7 +155,7 @@ def _with_threshold(df: DataFrame, limits: DataFrame, groups: Sequence[str], how
     names = {"_last": "value", "_k": "k", "_before": "before", "_tied": "at_value"}
     if groups:
         renamed = limits.select(*groups, *[F.col(old).alias(new) for new, old in names.items()])
-        return df.join(renamed, list(groups), how)
+        return join_groups(df, renamed, groups, how)
     line = limits.first()
     kinds = {new: limits.schema[old].dataType for new, old in names.items()}
     return df.select(
@@ -193,7 +193,7 @@ def take_exact(
     def room_quota(counts: DataFrame) -> DataFrame:
         rooms = pin_small(tied.groupBy(*groups).agg(F.first("_room").alias("k")))
         if groups:
-            return counts.join(rooms, list(groups))
+            return join_groups(counts, rooms, groups)
         return counts.withColumn("k", F.lit(rooms.first()["k"]))
 
     more, copies = _split_at_limit(digested.drop("_room"), room_quota, "_digest", groups)
@@ -223,6 +223,71 @@ def _split_at_limit(
     return kept, tied.select(*df.columns, room.alias("_room"))
 
 
+def take_shares(frames: Sequence[tuple[DataFrame, float]], order_key: str = "order_key") -> list[DataFrame]:
+    """Of each frame the whole number of rows that does not exceed its share, lowest keys first.
+
+    The frames may have any columns: only their keys are put into one table, with a group for
+    each frame, so the number of jobs does not grow with the number of frames. Rows that tie at
+    the last key are chosen as ``take_exact`` does, again for all frames at once.
+    """
+    if not frames:
+        return []
+    shares = dict(enumerate(share for _, share in frames))
+
+    def share_quota(counts: DataFrame) -> DataFrame:
+        wanted = F.create_map(*[F.lit(x) for at, share in shares.items() for x in (at, float(share))])
+        share = wanted[F.col("_frame")]
+        return counts.withColumn("k", F.floor(F.col("available").cast("double") * share).cast("bigint"))
+
+    whole: list[DataFrame] = []
+    open_frames: dict[int, tuple[DataFrame, int]] = {}
+    for at, (kept, tied, room) in _at_limits(dict(enumerate(f for f, _ in frames)), share_quota, order_key).items():
+        whole.append(kept)
+        if tied is not None:
+            open_frames[at] = (compute_once(tied, _digest=row_digest(tied)), room)
+    if open_frames:
+        rooms = {at: room for at, (_, room) in open_frames.items()}
+
+        def room_quota(counts: DataFrame) -> DataFrame:
+            room = F.create_map(*[F.lit(x) for pair in rooms.items() for x in pair])[F.col("_frame")]
+            return counts.withColumn("k", room.cast("bigint"))
+
+        chosen = _at_limits({at: df for at, (df, _) in open_frames.items()}, room_quota, "_digest")
+        for at, (more, copies, room) in chosen.items():
+            columns = frames[at][0].columns
+            taken = whole[at].unionByName(more.select(*columns))
+            if copies is not None:
+                # Rows of one digest are copies of each other: as many as there is room for.
+                counted = copies.select(*columns).groupBy(*columns).agg(F.lit(room).cast("bigint").alias("_room"))
+                taken = taken.unionByName(emit_copies(counted, "_room"))
+            whole[at] = taken
+    return whole
+
+
+def _at_limits(
+    frames: dict[int, DataFrame], quota: Quota, order_key: str
+) -> dict[int, tuple[DataFrame, DataFrame | None, int]]:
+    """Per frame the rows that are in for sure, those of a key within which its quota ends, and the room for these."""
+    keyed = reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(at).alias("_frame"), F.col(order_key).alias("_key")) for at, df in frames.items()],
+    )
+    # One line per frame.
+    limits = {line["_frame"]: line for line in thresholds(keyed, quota, "_key", ["_frame"]).collect()}
+    found: dict[int, tuple[DataFrame, DataFrame | None, int]] = {}
+    for at, df in frames.items():
+        line = limits.get(at)
+        if line is None:
+            found[at] = df.where(F.lit(False)), None, 0
+            continue
+        key, room = F.col(order_key), line["k"] - line["before"]
+        if room == line["at_value"]:
+            found[at] = df.where(key <= line["value"]), None, 0
+        else:
+            found[at] = df.where(key < line["value"]), df.where(key == line["value"]), room
+    return found
+
+
 def first_rows(df: DataFrame, rows: int, order_key: str = "order_key") -> DataFrame:
     """The first ``rows`` rows in key order, by the same selection for every size."""
     return take_exact(df, fixed_quota(rows), order_key)

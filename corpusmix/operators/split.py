@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmix.functions import fixed_values as fixed
+from corpusmix.functions.frames import join_groups
 from corpusmix.functions.text import keyed_hash
 from corpusmix.operators.selection import Quota, mark_first
 from corpusmix.session import pin_small
@@ -68,7 +69,12 @@ def proportional_quota(test_rows: int) -> Quota:
     return quota
 
 
-def capped_parts(sizes: dict[str, int], test_rows: int) -> dict[str, int]:
+def _place(key: str | None) -> tuple[bool, str]:
+    """The order of the keys, with that of rows that lack a part of it first, as Spark sorts."""
+    return key is not None, key or ""
+
+
+def capped_parts(sizes: dict[str | None, int], test_rows: int) -> dict[str | None, int]:
     """Proportional parts that leave a training row in every stratum.
 
     A part above its cap is set to it, and what is left is dealt out among the others
@@ -77,13 +83,13 @@ def capped_parts(sizes: dict[str, int], test_rows: int) -> dict[str, int]:
     caps = {key: rows - 1 for key, rows in sizes.items() if rows > 1}
     if test_rows > sum(caps.values()):
         raise ValueError(f"{test_rows} test rows would leave a stratum without training rows")
-    fixed_parts: dict[str, int] = {}
+    fixed_parts: dict[str | None, int] = {}
     while True:
-        free = sorted(key for key in caps if key not in fixed_parts)
+        free = sorted((key for key in caps if key not in fixed_parts), key=_place)
         left = test_rows - sum(fixed_parts.values())
         total = sum(sizes[key] for key in free)
         parts = {key: sizes[key] * left // total for key in free}
-        by_rest = sorted(free, key=lambda key: (-(sizes[key] * left % total), key))
+        by_rest = sorted(free, key=lambda key: (-(sizes[key] * left % total), _place(key)))
         for key in by_rest[: left - sum(parts.values())]:
             parts[key] += 1
         above = {key: caps[key] for key in free if parts[key] > caps[key]}
@@ -92,14 +98,14 @@ def capped_parts(sizes: dict[str, int], test_rows: int) -> dict[str, int]:
         fixed_parts |= above
 
 
-def given_quota(parts: dict[str, int]) -> Quota:
+def given_quota(parts: dict[str | None, int]) -> Quota:
     """The stated part of each stratum; others get none."""
 
     def quota(counts: DataFrame) -> DataFrame:
         lines = counts.sparkSession.createDataFrame(
             list(parts.items()), "stratify_key string, k bigint"
         )
-        return counts.join(lines, "stratify_key")
+        return join_groups(counts, lines, ["stratify_key"])
 
     return quota
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmix.functions import fixed_values as fixed
@@ -24,10 +24,11 @@ from corpusmix.operators.conversations import instruction_records
 from corpusmix.operators.dictionary import dictionary_records
 from corpusmix.operators.prompts import TRANSLATION_TEMPLATE
 from corpusmix.operators.rebalance import balance_directions, rebalance
-from corpusmix.operators.reports import task_totals
-from corpusmix.operators.selection import fraction_quota, take_exact
+from corpusmix.operators.reports import task_counters, with_shares
+from corpusmix.operators.selection import take_shares
 from corpusmix.operators.split import stratified_split
-from corpusmix.session import materialize
+from corpusmix.session import StageLedger, materialize_counted
+from corpusmix.sources.published import ROWS_PER_FILE, Version
 from corpusmix.sources.readers import read_source, with_order_key
 from corpusmix.sources.recipe import Recipe, SourceEntry
 from corpusmix.sources.sinks import write_json_lines, write_prepared, write_summary
@@ -35,10 +36,21 @@ from corpusmix.sources.sinks import write_json_lines, write_prepared, write_summ
 Loader = Callable[[SparkSession, SourceEntry], DataFrame]
 
 
-def usage_slice(df: DataFrame, entry: SourceEntry) -> DataFrame:
-    """The share of a source that the recipe asks for, drawn by its seeded order."""
-    keyed = with_order_key(df, entry)
-    return keyed if entry.usage >= 1 else take_exact(keyed, fraction_quota(entry.usage))
+def split_counters() -> dict[str, Column]:
+    return {
+        **task_counters(),
+        "training_split_rows": F.count_if(F.col("split") == "train"),
+        "eval_split_rows": F.count_if(F.col("split") == "test"),
+    }
+
+
+def usage_slices(frames: list[DataFrame], entries: tuple[SourceEntry, ...]) -> list[DataFrame]:
+    """The share of each source that the recipe asks for, drawn by its seeded order, all in one selection."""
+    keyed = [with_order_key(df, entry) for df, entry in zip(frames, entries)]
+    cut = [at for at, entry in enumerate(entries) if entry.usage < 1]
+    for at, taken in zip(cut, take_shares([(keyed[at], entries[at].usage) for at in cut])):
+        keyed[at] = taken
+    return keyed
 
 
 def source_records(df: DataFrame, entry: SourceEntry, tokenizer: Tokenizer | None = None) -> DataFrame:
@@ -76,8 +88,9 @@ def build_pool(
     """
     measured: list[DataFrame] = []
     unmeasured: list[DataFrame] = []
-    for entry in recipe.active_entries:
-        records = source_records(usage_slice(loader(spark, entry), entry), entry, tokenizer)
+    entries = recipe.active_entries
+    for entry, rows in zip(entries, usage_slices([loader(spark, entry) for entry in entries], entries)):
+        records = source_records(rows, entry, tokenizer)
         has_counts = tokenizer is not None and entry.section == "translation"
         (measured if has_counts else unmeasured).append(tagged(records, entry))
     if not measured and not unmeasured:
@@ -114,25 +127,45 @@ def source_usage(spark: SparkSession, recipe: Recipe, loader: Loader = read_sour
 
 @dataclass(frozen=True)
 class Corpus:
-    """The stages of a build. ``pool`` and ``unique`` are written tables."""
+    """The stages of a build. ``pool`` and ``unique`` are written tables.
+
+    ``counts`` has what was counted while tables were written, so that no report needs to read them again.
+    Used as a context, the stages are removed at its end; else they are left for the cluster's clean-up.
+    """
 
     pool: DataFrame
     unique: DataFrame
     mixed: DataFrame
     split: DataFrame
+    ledger: StageLedger
+    counts: dict[str, int]
+
+    def __enter__(self) -> Corpus:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.ledger.release()
 
     def duplicates(self) -> DataFrame:
         return dedup.duplicate_groups(self.pool)
 
+    def _counted(self, names: tuple[str, ...]) -> DataFrame | None:
+        """One line of counts that are known already; None if one is not."""
+        if not set(names) <= set(self.counts):
+            return None
+        kinds = ", ".join(f"{name} bigint" for name in names)
+        return self.split.sparkSession.createDataFrame([tuple(self.counts[name] for name in names)], kinds)
+
     def removed_counts(self) -> DataFrame:
         """One line: rows before and after deduplication and mixing, and what these removed."""
-        before = self.unique.agg(
-            F.sum("copies").alias("pool_rows"), F.count("*").alias("unique_rows")
-        )
-        after = self.mixed.agg(F.count("*").alias("total_rows"))
-        line = before.unionByName(after, allowMissingColumns=True).agg(
-            *[F.max(name).alias(name) for name in ("pool_rows", "unique_rows", "total_rows")]
-        )
+        names = ("pool_rows", "unique_rows", "total_rows")
+        line = self._counted(names)
+        if line is None:
+            written = self._counted(names[:2])
+            line = self.mixed.agg(F.count("*").alias("total_rows")).select(
+                *[F.lit(value).cast("bigint").alias(name) for name, value in written.first().asDict().items()],
+                "total_rows",
+            )
         return line.select(
             "*",
             (F.col("pool_rows") - F.col("unique_rows")).alias("duplicates_removed"),
@@ -140,24 +173,25 @@ class Corpus:
         )
 
     def summary(self) -> DataFrame:
-        """One line: sizes, shares, both splits, and what each stage removed."""
-        parts = self.split.agg(
-            F.count("*").alias("total_rows"),
-            F.count_if(F.col("split") == "train").alias("training_split_rows"),
-            F.count_if(F.col("split") == "test").alias("eval_split_rows"),
-        )
-        totals, removed = task_totals(self.split), self.removed_counts()
-        return totals.join(parts, "total_rows").join(removed, "total_rows")
+        """One line: sizes, shares, both splits, and what each stage removed. Reads no table once this was written."""
+        sizes = self._counted(tuple(split_counters()))
+        if sizes is None:
+            sizes = self.split.agg(*[value.alias(name) for name, value in split_counters().items()])
+        return with_shares(sizes).join(self.removed_counts(), "total_rows")
 
     def stratum_counts(self, split: str = "test") -> DataFrame:
         rows = self.split.where(F.col("split") == split)
         return rows.groupBy("stratify_key").agg(F.count("*").alias("rows"))
 
-    def write(self, path: str, test_files: int | None = 1) -> None:
+    def write(self, path: str, shuffled: bool = False, rows_per_file: int = ROWS_PER_FILE) -> Version:
         """The prepared table, the duplicate log and the summary, below ``path``."""
-        write_prepared(prepared_rows(self.split), f"{path}/prepared", test_files)
-        write_json_lines(dedup.duplicate_log(self.duplicates()), f"{path}/dropped_duplicates")
-        write_summary(self.summary(), f"{path}/summary")
+        with self.ledger.writing():
+            rows = prepared_rows(self.split)
+            version = write_prepared(rows, f"{path}/prepared", shuffled, rows_per_file, split_counters())
+            self.counts.update(version.counts)
+            write_json_lines(dedup.duplicate_log(self.duplicates()), f"{path}/dropped_duplicates")
+            write_summary(self.summary(), f"{path}/summary")
+        return version
 
 
 def build_corpus(
@@ -171,14 +205,16 @@ def build_corpus(
     dedup_key: str = "pair",
 ) -> Corpus:
     """Pool, deduplicate, mix to the target ratio, and hold out the test rows."""
-    pool = materialize(
-        dedup.with_pair_hash(build_pool(spark, recipe, loader, tokenizer, template), dedup_key), "pool"
-    )
-    unique = materialize(dedup.keep_first(pool), "unique")
-    even = balance_directions(unique) if even_directions else unique
-    mixed = rebalance(even, recipe.translation_share, recipe.instruction_share)
-    split = stratified_split(mixed, recipe.eval_size, on_small_stratum)
-    return Corpus(pool, unique, mixed, split)
+    rows = F.count("*")
+    ledger = StageLedger(spark)
+    with ledger.writing():
+        pooled = dedup.with_pair_hash(build_pool(spark, recipe, loader, tokenizer, template), dedup_key)
+        pool, in_pool = materialize_counted(pooled, "pool", pool_rows=rows)
+        unique, in_unique = materialize_counted(dedup.keep_first(pool), "unique", unique_rows=rows)
+        even = balance_directions(unique) if even_directions else unique
+        mixed = rebalance(even, recipe.translation_share, recipe.instruction_share)
+        split = stratified_split(mixed, recipe.eval_size, on_small_stratum)
+    return Corpus(pool, unique, mixed, split, ledger, {**in_pool, **in_unique})
 
 
 def prepared_rows(split: DataFrame) -> DataFrame:

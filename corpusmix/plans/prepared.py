@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmix.functions import fixed_values as fixed
 from corpusmix.functions.text import keyed_hash
 from corpusmix.functions.tokens import PatternTokenizer, Tokenizer
-from corpusmix.operators.budget import measured_text, total_lengths
+from corpusmix.operators.budget import measured_text, rendered_text, total_lengths
 from corpusmix.operators.evaluation import require_columns, translation_rows
 from corpusmix.operators.packing import packing_plan
 from corpusmix.operators.prompts import TRANSLATION_TEMPLATE, render
 from corpusmix.operators.reports import length_statistics
 from corpusmix.operators.selection import first_rows, fraction_quota, take_exact
+from corpusmix.operators.sketches import length_sketches
 from corpusmix.session import materialize
 from corpusmix.sources.readers import read_prepared, resolve_held_out_split, resolve_split
 
@@ -36,11 +37,23 @@ def analyse_lengths(
     split: str = "train",
     fraction: float = 1.0,
     tokenizer: Tokenizer = PatternTokenizer(),
+    rendered: bool = False,
 ) -> DataFrame:
+    """Length statistics of a split or of its first part: of both texts, or ``rendered`` as training reads them."""
     rows = read_prepared(spark, path, split)
     if fraction < 1:
         rows = prefix(rows, fraction)
-    return length_statistics(total_lengths(rows, tokenizer))
+    return length_statistics(total_lengths(rows, tokenizer, rendered_text() if rendered else None))
+
+
+def write_length_sketches(
+    spark: SparkSession, path: str, folder: str, tokenizer: Tokenizer = PatternTokenizer()
+) -> None:
+    """Sketches of the lengths of a prepared table, per split, source and task, in ``folder``."""
+    rows = read_prepared(spark, path, "all")
+    total = tokenizer.count(measured_text()).alias("total_tokens")
+    lengths = rows.select("split", "dataset_source", "task", total)
+    length_sketches(lengths, ["split", "dataset_source", "task"]).write.mode("overwrite").parquet(folder)
 
 
 def row_lengths(df: DataFrame, tokenizer: Tokenizer = PatternTokenizer()) -> DataFrame:
@@ -72,7 +85,7 @@ def training_rows(
     """``prompt`` and ``completion`` of the training split, after checking the table."""
     train = read_prepared(spark, path, "train")
     require_columns(train)
-    resolve_held_out_split(spark.read.parquet(path))
+    resolve_held_out_split(read_prepared(spark, path, "all"))
     return render(prefix(train, fraction), template, bos, max_rows)
 
 
@@ -80,7 +93,7 @@ def evaluation_rows(
     spark: SparkSession, path: str, split: str = "validation", max_rows: int | None = None
 ) -> DataFrame:
     """The translation rows of the held-out split, with ``row_id`` as their key."""
-    name = resolve_split(spark.read.parquet(path), split)
+    name = resolve_split(read_prepared(spark, path, "all"), split)
     rows = in_row_order(translation_rows(read_prepared(spark, path, name)))
     if max_rows is not None:
         rows = first_rows(rows, max_rows)

@@ -6,9 +6,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -50,8 +53,93 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+class StageLedger:
+    """A folder for written stages that goes away when nobody holds it any more.
+
+    Whoever opens a ledger holds it once. Further readers hold it for as long as they need its
+    stages; the last one to let go removes the folder, in whatever store it is.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/corpusmix/{uuid.uuid4().hex}"
+        self.holders = 1
+
+    @property
+    def is_open(self) -> bool:
+        return self.holders > 0
+
+    def release(self) -> None:
+        if not self.is_open:
+            raise ValueError("the stages have been released already")
+        self.holders -= 1
+        if not self.holders:
+            remove_folder(self.spark, self.folder)
+
+    @contextmanager
+    def hold(self) -> Iterator[StageLedger]:
+        """The stages stay at least until the end of the block."""
+        if not self.is_open:
+            raise ValueError("the stages have been released already")
+        self.holders += 1
+        try:
+            yield self
+        finally:
+            self.release()
+
+    @contextmanager
+    def writing(self) -> Iterator[StageLedger]:
+        """Stages written in the block belong to this ledger."""
+        with self.hold():
+            before = _LEDGER.set(self)
+            try:
+                yield self
+            finally:
+                _LEDGER.reset(before)
+
+
+_LEDGER: ContextVar[StageLedger | None] = ContextVar("corpusmix_ledger", default=None)
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[StageLedger]:
+    """All stages written in the block, removed at its end unless someone else holds the ledger."""
+    ledger = StageLedger(spark)
+    try:
+        with ledger.writing():
+            yield ledger
+    finally:
+        ledger.release()
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/corpusmix/{uuid.uuid4().hex}/{name}"
+    """A new folder in the open ledger, or one that is left for the cluster's clean-up."""
+    ledger = _LEDGER.get()
+    top = f"{shared_folder(spark)}/corpusmix" if ledger is None else ledger.folder
+    return f"{top}/{uuid.uuid4().hex}/{name}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if there is no such path."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(where) if entry.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,6 +153,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and the values of aggregates over the rows, taken while these are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    watched = df.observe(seen, *[value.alias(counter) for counter, value in counters.items()])
+    return materialize(watched, name), dict(seen.get)
+
+
 def pin_small(df: DataFrame, limit: int = 10_000) -> DataFrame:
     """Fetch a result of at most ``limit`` rows so that the planner knows its size.
 

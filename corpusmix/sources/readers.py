@@ -8,22 +8,32 @@ from pyspark.sql import types as T
 
 from corpusmix.functions.fixed_values import SEED
 from corpusmix.functions.text import keyed_hash, row_key
+from corpusmix.sources.csv_records import read_csv
+from corpusmix.sources.published import current_version, is_published, read_version
 from corpusmix.sources.recipe import SourceEntry
 
 
 def read_source(spark: SparkSession, entry: SourceEntry, schema: T.StructType | None = None) -> DataFrame:
     """Scan one source. ``config`` names a folder below the source's path.
 
-    A ``schema``, given here or in the entry, saves a scan that only infers it. A csv file
-    is one task, as its fields may hold line breaks, unless its entry says ``multi_line: false``.
+    A ``schema``, given here or in the entry, saves a scan that only infers it. The fields of a csv file may hold
+    line breaks; where they never do, ``multi_line: false`` in the entry saves the pass that looks for them. What does not
+    fit the schema goes into the entry's ``corrupt_column``, if it names one.
     """
     path = f"{entry.path.rstrip('/')}/{entry.config}" if entry.config else entry.path
-    reader = spark.read.format(entry.format)
     columns = entry.schema if schema is None else schema
+    if isinstance(columns, str):
+        columns = T.StructType.fromDDL(columns)
+    if entry.format == "csv" and entry.multi_line:
+        return read_csv(spark, path, columns, entry.corrupt_column)
+    reader = spark.read.format(entry.format)
     if columns is not None:
+        if entry.corrupt_column and entry.format != "parquet":
+            columns = T.StructType(columns.fields).add(entry.corrupt_column, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", entry.corrupt_column)
         reader = reader.schema(columns)
     if entry.format == "csv":
-        reader = reader.option("header", True).option("multiLine", entry.multi_line).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"')
     return reader.load(path)
 
 
@@ -66,7 +76,12 @@ def resolve_held_out_split(df: DataFrame) -> str:
 
 
 def read_prepared(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
-    """A prepared table: ``train``, ``test`` or ``all`` (no partition filter)."""
+    """A prepared table: ``train``, ``test`` or ``all`` splits of its current version.
+
+    A folder that was never published is read as it is, by its ``split`` folders.
+    """
+    if is_published(spark, path):
+        return read_version(spark, path, current_version(spark, path), split)
     df = spark.read.parquet(path)
     return df if split == "all" else df.where(F.col("split") == split)
 

@@ -47,6 +47,7 @@ class SourceEntry:
     id_columns: tuple[str, ...] = ()
     schema: str | None = None
     multi_line: bool = True
+    corrupt_column: str | None = None
 
     @property
     def active(self) -> bool:
@@ -133,6 +134,7 @@ def _entry(section: str, name: str, info: Mapping[str, Any], source_ord: int) ->
         id_columns=tuple(info.get("id_columns", ())),
         schema=info.get("schema"),
         multi_line=bool(info.get("multi_line", True)),
+        corrupt_column=info.get("corrupt_column"),
     )
 
 

@@ -2,32 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from corpusmix.session import materialize
+from corpusmix.sources.published import ROWS_PER_FILE, Version, publish, shuffle_key
 
 
 def write_prepared(
-    df: DataFrame, path: str, test_files: int | None = 1, rows_per_file: int | None = None
-) -> None:
-    """Write ``split=train`` and ``split=test`` folders below ``path``.
-
-    The table is read and written once, where its partitions already are, with no
-    shuffle. That leaves the test rows in many tiny files, one per task that met
-    any, so this small part is then rewritten into ``test_files`` files. Pass
-    None where the test part is large and its files are fine as they are.
+    df: DataFrame,
+    path: str,
+    shuffled: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+    counters: dict[str, Column] | None = None,
+) -> Version:
+    """The next version of the prepared table at ``path``; readers see it when it is complete.
+
+    ``shuffled`` gives the files and their rows the seeded random order of ``pair_hash``. Without it rows stay in the
+    files of the tasks that made them, which a deduplicated pool leaves in the order of its hashes.
     """
-    writer = df.write.mode("overwrite").partitionBy("split")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
-    if test_files is None:
-        return
-    spark, folder = df.sparkSession, f"{path}/split=test"
-    scattered = spark.read.schema(df.drop("split").schema).parquet(folder)
-    # A folder cannot be overwritten while it is read, so the rows wait elsewhere.
-    gathered = materialize(scattered.repartition(test_files), "test_part")
-    gathered.write.mode("overwrite").parquet(folder)
+    return publish(df, path, shuffle_key() if shuffled else None, rows_per_file, counters)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

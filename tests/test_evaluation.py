@@ -149,25 +149,3 @@ def test_json_lines_keep_text_as_it_is(spark, tmp_path):
     )
     assert "ŵy" in text and "日本" in text
     assert [json.loads(line)["w"] for line in sorted(text.splitlines())] == ["日本", None]
-
-
-def test_prepared_table_files(spark, tmp_path):
-    df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "test").otherwise("train").alias("split"))
-    path = str(tmp_path / "out")
-    sinks.write_prepared(df.repartition(4), path, test_files=2, rows_per_file=100)
-
-    def files(split):
-        return [n for n in os.listdir(f"{path}/split={split}") if n.endswith(".parquet")]
-
-    assert len(files("test")) == 2
-    assert len(files("train")) >= 9
-    assert rows(spark.read.parquet(path)) == rows(df)
-    sinks.write_prepared(df.repartition(4), path, test_files=None)
-    assert len(files("test")) == 4
-    assert rows(spark.read.parquet(path)) == rows(df)
-
-
-def test_a_table_without_test_rows_is_written(spark, tmp_path):
-    df = spark.range(10).withColumn("split", F.lit("train"))
-    sinks.write_prepared(df, str(tmp_path / "out"), test_files=None)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 10

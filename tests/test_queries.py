@@ -7,7 +7,7 @@ from catalog.oracle import ORACLE
 from catalog.queries import QUERIES
 from oracle_check import connect, differences
 
-PYTHON_SLOTS = {"q10b_batch_tokenizer_lengths", "q32_batch_scorer"}
+PYTHON_SLOTS = {"q01b_sources_of_each_format", "q10b_batch_tokenizer_lengths", "q28c_whole_evaluation", "q32_batch_scorer"}
 
 
 @pytest.fixture(scope="module")
