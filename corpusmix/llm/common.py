@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 import corpusmix
 from corpusmix.session import ship_packages
@@ -23,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` with this package at hand in the Python workers."""
     ship_packages(df.sparkSession, corpusmix)

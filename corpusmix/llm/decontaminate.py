@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmix.llm.common import map_batches
@@ -257,6 +257,35 @@ def _search(index):
     return run
 
 
+def _mark(index, at: int):
+    """Each row with what a block of items has in its text, added to the list in its last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = index.value
+        kind = pa.list_(pa.struct([("bare", pa.bool_()), ("item", pa.int64()), ("place", pa.int64())]))
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1).to_pylist()
+            for found, text in zip(lists, batch.column(at)):
+                for which, start, _, first, last, *_ in leaks(block, _codes(normal(text.as_py()))):
+                    found.append({"bare": last - first < 2 * Q, "item": block.item_ids[which], "place": start})
+            columns = [*batch.columns[:-1], pa.array(lists, kind)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return run
+
+
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator:
+    """The benchmark in blocks of at most ``BLOCK_CHARS`` characters (or a longer single item), for all tasks."""
+    items = benchmark.where(F.length("text") >= Q).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = int(size // BLOCK_CHARS) + 1
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield spark.sparkContext.broadcast(
+            Index.build([(row["item_id"], row["text"]) for row in part.toLocalIterator()])
+        )
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per passage of a benchmark item in a document, with its place in both.
 
@@ -266,19 +295,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     have none; items of fewer than ten characters have no q-gram and are never found.
     Repeated rows give repeated results. Null ids of either side are kept in the result.
 
-    The benchmark is the stated set of queries: it is cut into blocks of at most
-    ``BLOCK_CHARS`` characters (or a longer single item), and the documents are read once per block.
+    The benchmark is the stated set of queries: it is cut into blocks, and the documents are read once per block.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    items = benchmark.where(F.length("text") >= Q).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = int(size // BLOCK_CHARS) + 1
     found = None
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        index = docs.sparkSession.sparkContext.broadcast(
-            Index.build([(row["item_id"], row["text"]) for row in part.toLocalIterator()])
-        )
+    for index in _indexes(docs.sparkSession, benchmark):
         hits = map_batches(plain, _search(index), HIT_SCHEMA)
         found = hits if found is None else found.unionByName(hits)
     return found
@@ -288,14 +309,18 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no passage of the benchmark is found.
 
     A whole item of fewer than 20 characters may be a common phrase, so such ones only count
-    if a document has two different ones at different places.
+    if a text has two different ones at different places. Every row is judged by its own text
+    where it is, so repeated or null ids do not matter, nothing is shuffled, and columns of any names are kept. Null
+    and empty texts stay; an empty table or benchmark changes nothing.
     """
-    hits = find_leaks(docs, benchmark)
-    bare = F.col("item_end") - F.col("item_start") < 2 * Q
-    leaking = hits.groupBy(F.col("doc_id").alias("_leaking")).agg(
-        F.count_if(~bare).alias("_long"),
-        F.count_distinct(F.struct("item_id")).alias("_items"),
-        F.count_distinct("region_start").alias("_places"),
-    )
-    hits = leaking.where((F.col("_long") > 0) | ((F.col("_items") > 1) & (F.col("_places") > 1))).select("_leaking")
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_leaking")), "left_anti")
+    name = "_leaks"
+    while name in docs.columns:
+        name = f"_{name}"
+    none = F.array().cast("array<struct<bare: boolean, item: bigint, place: bigint>>")
+    marked = docs.withColumn(name, none)
+    for index in _indexes(docs.sparkSession, benchmark):
+        marked = map_batches(marked, _mark(index, docs.columns.index("text")), marked.schema)
+    items = F.size(F.array_distinct(F.col(name)["item"]))
+    places = F.size(F.array_distinct(F.col(name)["place"]))
+    leaking = F.exists(name, lambda found: ~found["bare"]) | ((items > 1) & (places > 1))
+    return marked.where(~leaking).drop(name)

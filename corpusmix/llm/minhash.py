@@ -16,7 +16,8 @@ have few classes apart. In others a bound leaves out pairs that cannot be linked
 from a centre, the shingles that most of a few members have. Two sets of ``a`` and ``b`` shingles
 that differ from the centre in ``d`` and ``e`` are linked if, and only if, their differences share
 at least ``(d + e - (a + b) * (100 - P) / (100 + P)) / 2`` shingles, so with the shingles of all
-differences in one order, the first ones of both must meet. A centre that fits badly
+differences in one order, the first ones of both must meet. In that order those come first that are in fewest
+differences of the centre, so edits that many copies share come last and few sets meet. A centre that fits badly
 costs time and no link. All comparisons are of the full sets, so no link between candidates is lost.
 """
 
@@ -42,7 +43,7 @@ VALUE_BITS = 48
 SMALL_BUCKET = 16  # classes; and
 FEW_APART = 4  # classes outside the largest component: in buckets above both, pairs go through the bound first
 CENTRE_MEMBERS = 16  # members that a centre is made from; it only decides how well the bound works
-KEY_SCHEMA = "doc_id bigint, n_shingles long, set_key binary, bands array<bigint>"
+KEY_SCHEMA = "doc_id bigint, text_key string, n_shingles long, set_key binary, bands array<bigint>"
 _U = np.uint64
 
 
@@ -118,11 +119,12 @@ def _keys(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.array([b if len(s) else None for s, b in zip(sets, bands)], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "text_key", "n_shingles", "set_key", "bands"],
                 )
 
     return run
@@ -203,11 +205,11 @@ def difference(shingles: np.ndarray, known: np.ndarray, counts: np.ndarray, memb
     return parts[np.lexsort((parts, rarity))]
 
 
-def _differences(words: int, min_percent: int):
+def _differences(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             centre, class_id, n, root, outside, text, members, known, counts = batch.columns
-            sizes, firsts = [], []
+            sizes, all_parts = [], []
             for k in range(batch.num_rows):
                 parts = difference(
                     shingle_set(text[k].as_py(), words).astype(np.int64),
@@ -216,11 +218,10 @@ def _differences(words: int, min_percent: int):
                     members[k].as_py(),
                 )
                 sizes.append(len(parts))
-                # A linked set has at most n * 100 / P shingles, so no pair needs more than these.
-                firsts.append(parts[: n[k].as_py() * (100 - min_percent) // min_percent + 1])
+                all_parts.append(parts)
             yield pa.RecordBatch.from_arrays(
-                [centre, class_id, n, root, outside, pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
-                ["centre", "class_id", "n", "root", "outside", "d", "firsts"],
+                [centre, class_id, n, root, outside, pa.array(sizes, pa.int64()), pa.array(all_parts, pa.list_(pa.int64()))],
+                ["centre", "class_id", "n", "root", "outside", "d", "parts"],
             )
 
     return run
@@ -259,8 +260,8 @@ def _bounded_pairs(placed: DataFrame, texts: DataFrame, words: int, min_percent:
     different = materialize(
         map_batches(
             joined.select("centre", "class_id", "n", "root", "outside", "text", "members", "known", "counts"),
-            _differences(words, min_percent),
-            "centre bigint, class_id bigint, n long, root bigint, outside boolean, d long, firsts array<bigint>",
+            _differences(words),
+            "centre bigint, class_id bigint, n long, root bigint, outside boolean, d long, parts array<bigint>",
         ),
         "differences",
     )
@@ -273,9 +274,20 @@ def _bounded_pairs(placed: DataFrame, texts: DataFrame, words: int, min_percent:
         .where((F.col("s") + F.col("near.s") <= 0) & (F.col("root") != F.col("near.root")))
         .select("a", F.col("near.class_id").alias("b"), "n_a", F.col("near.n").alias("n_b"))
     )
-    first = different.select(
-        "centre", "class_id", "n", "root", "outside", "d", spread, F.posexplode("firsts").alias("at", "shingle")
+    # Parts that no other difference has come first and meet nothing; then the rest by how many have them.
+    listed = different.select("centre", "class_id", F.explode("parts").alias("shingle"))
+    times = listed.groupBy("centre", "shingle").agg(F.count("*").alias("times")).where(F.col("times") > 1)
+    met = (
+        listed.join(times, ["centre", "shingle"])
+        .groupBy("centre", "class_id")
+        .agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("met"))
     )
+    placed_parts = different.drop("parts").join(met, ["centre", "class_id"])
+    first = placed_parts.select(
+        "centre", "class_id", "n", "root", "outside", "d", spread, F.size("met").alias("of"), F.posexplode("met.shingle").alias("pos", "shingle")
+    ).withColumn("at", F.col("d") - F.col("of") + F.col("pos"))
+    # A linked set has at most n * 100 / P shingles, so no pair needs more than these.
+    first = materialize(first.where(F.col("at") <= F.expr(f"n * {less} div {min_percent}")), "first_parts")
     one, other = (
         first.select("centre", "shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "root", "outside", "d", "s", "at")))
         for x in "ab"
@@ -294,29 +306,29 @@ def _bounded_pairs(placed: DataFrame, texts: DataFrame, words: int, min_percent:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs`` (``doc_id, text``).
+def _classes(keys: DataFrame) -> DataFrame:
+    """One line per different set: ``set_key, class_id, n, bands`` and a row that has it."""
+    who = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    grouped = keys.groupBy("set_key").agg(
+        F.min(who).alias("who"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+    return materialize(grouped.withColumn("class_id", F.monotonically_increasing_id()), "shingle_classes")
 
-    Two documents are linked if their sets share ``min_percent`` of their union or more;
-    ``component_id`` is the least doc_id that can be reached. A null or empty text has no
-    shingles and is linked with nothing. Rows of one doc_id are one node. A null doc_id
-    is linked with nothing and kept. An empty table gives an empty one.
 
-    With bands of 4 out of 128 coordinates, a pair of 80 % is missed as a candidate once in
-    20 million pairs, a closer one less often.
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, text_key``; the key is a digest of the whole text."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+
+
+def _roots_of_rows(plain: DataFrame, keys: DataFrame, words: int, min_percent: int, by_id: bool) -> DataFrame:
+    """``doc_id, text_key, root`` of each row of ``keys``: rows of linked sets have one root.
+
+    With ``by_id`` rows of one doc_id have one root as well.
     """
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    keys = materialize(map_batches(plain, _keys(words), KEY_SCHEMA), "shingle_keys")
-    usable = keys.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = materialize(
-        usable.groupBy("set_key").agg(
-            F.min("doc_id").alias("class_id"),
-            F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"),
-        ),
-        "shingle_classes",
+    classes = _classes(keys)
+    numbered = materialize(
+        keys.select("doc_id", "text_key", "set_key").join(classes.select("set_key", "class_id"), "set_key").drop("set_key"),
+        "rows_of_classes",
     )
     bucketed = classes.select(F.explode("bands").alias("bucket"), "class_id", "n")
     order = F.struct(F.xxhash64("class_id"), F.col("class_id").alias("id"), F.col("n").alias("n"))
@@ -328,10 +340,20 @@ def near_duplicates(
     )
     shared = materialize(shared, "buckets")
     rows = materialize(bucketed.join(shared.select("bucket"), "bucket", "left_semi"), "bucket_rows")
-    needed = rows.select(F.col("class_id").alias("doc_id")).distinct()
-    texts = materialize(plain.join(needed, "doc_id", "left_semi"), "candidate_texts")
-    compared = docs.sparkSession.createDataFrame([], "a bigint, b bigint, linked boolean")
-    roots = docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+    needed = rows.select("class_id").distinct()
+    shown = classes.join(needed, "class_id", "left_semi").select(
+        F.col("class_id").alias("_class"), F.col("who.doc_id").alias("_id"), F.col("who.text_key").alias("_key")
+    )
+    is_shown = (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = plain.join(shown, is_shown).select(F.col("_class").alias("doc_id"), "text")
+    texts = materialize(found.dropDuplicates(["doc_id"]), "candidate_texts")
+    compared = plain.sparkSession.createDataFrame([], "a bigint, b bigint, linked boolean")
+    roots = plain.sparkSession.createDataFrame([], "node bigint, root bigint")
+    if by_id:
+        several = numbered.groupBy("doc_id").agg(F.min("class_id").alias("b"), F.max("class_id").alias("_most"))
+        several = materialize(several.where(F.col("b") != F.col("_most")).drop("_most"), "ids_of_several")
+        if not several.isEmpty():
+            roots = components(numbered.join(several, "doc_id").select(F.col("class_id").alias("a"), "b"))
 
     def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
         named = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
@@ -406,10 +428,70 @@ def near_duplicates(
     )
     placed = materialize(placed, "placed")
     settle(near.unionByName(_bounded_pairs(placed, texts, words, min_percent)))
-    of_class = rooted(classes.select("set_key", "class_id"), "class_id", "component_id")
-    found = keys.select("doc_id", "n_shingles", "set_key").join(
-        of_class.select(F.col("set_key"), "component_id"), "set_key", "left"
-    )
+    return rooted(numbered, "class_id", "root").select("doc_id", "text_key", "root")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs`` (``doc_id, text``).
+
+    Two documents are linked if their sets share ``min_percent`` of their union or more;
+    ``component_id`` is the least doc_id that can be reached. A null or empty text has no
+    shingles and is linked with nothing. Rows of one doc_id are one node. A null doc_id
+    is linked with nothing and kept. An empty table gives an empty one.
+
+    With bands of 4 out of 128 coordinates, a pair of 80 % is missed as a candidate once in
+    20 million pairs, a closer one less often.
+    """
+    plain = _rows(docs)
+    keys = materialize(map_batches(plain, _keys(words), KEY_SCHEMA), "shingle_keys")
+    usable = keys.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    placed = materialize(_roots_of_rows(plain, usable, words, min_percent, by_id=True), "roots_of_rows")
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_id = placed.select("doc_id", "root").distinct().join(least, "root").drop("root")
+    found = keys.select("doc_id", "n_shingles").join(of_id, "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
+
+
+def drop_near_duplicates(
+    docs: DataFrame, words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each group of linked rows: that of the least doc_id, then of the least digest of its text.
+
+    Here every row is judged by its own text, so no text goes without a linked one that stays, whatever the
+    doc_ids: rows of one doc_id with different texts are not linked by it, a null doc_id comes after all
+    others, and of rows with the same doc_id and text one stays, the least in all columns. Rows without
+    words all stay. Columns of any names are kept.
+    """
+    plain = _rows(docs)
+    keys = materialize(map_batches(plain, _keys(words), KEY_SCHEMA), "shingle_keys")
+    usable = keys.where(F.col("set_key").isNotNull())
+    placed = materialize(_roots_of_rows(plain, usable, words, min_percent, by_id=False), "roots_of_rows")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    # Copies of a row meet before the shuffle, so a group of many is one line per task.
+    different = placed.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    first = different.groupBy("root").agg(F.min(order).alias("first"))
+    judged = materialize(
+        different.join(first, "root").select("doc_id", "text_key", "times", (order != F.col("first")).alias("goes")), "judged_rows"
+    )
+    names = {"doc_id": "_id", "text_key": "_key"}
+    while set(names.values()) & set(docs.columns):
+        names = {old: f"_{new}" for old, new in names.items()}
+    of_id, of_key = names["doc_id"], names["text_key"]
+    own = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(of_id)) & (own == F.col(of_key))
+
+    def lines(which: DataFrame) -> DataFrame:
+        return which.select(*[F.col(old).alias(new) for old, new in names.items()])
+
+    kept = docs.join(lines(judged.where("goes")), same, "left_anti")
+    several = judged.where(~F.col("goes") & (F.col("times") > 1))
+    if several.isEmpty():
+        return kept
+    kept = materialize(kept, "kept_rows")
+    again = kept.join(lines(several), same, "left_semi")
+    one = again.groupBy(F.col("doc_id").alias(of_id), own.alias(of_key)).agg(F.min(F.struct(*kept.columns)).alias("row"))
+    return kept.join(lines(several), same, "left_anti").unionByName(one.select("row.*"))

@@ -52,8 +52,15 @@ WITH base AS (
          n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM ruled
 ), hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM failed GROUP BY source
+), sums AS (
+  SELECT count(*) AS hosts, sum(n) AS n, sum(f) / sum(n) AS mean, sum(n * n::double) AS squares, sum(f * f::double / n) AS weighted
+  FROM hosts
+), fitted AS (
+  SELECT mean, mean * (1 - mean) AS chance, weighted - n * mean * mean - mean * (1 - mean) * (hosts - 1) AS spread,
+         n - squares / n - (hosts - 1) + 100 AS freedom
+  FROM sums
 ), prior AS (
-  SELECT avg(f / n) AS mean, greatest(avg(f / n) * (1 - avg(f / n)) / nullif(var_pop(f / n), 0) - 1, 0) AS weight FROM hosts
+  SELECT mean, CASE WHEN chance > 0 AND spread > 0 THEN greatest(chance * freedom / spread - 1, 0) END AS weight FROM fitted
 ), rates AS (
   SELECT source, round(coalesce((f + mean * weight) / (n + weight), mean), 9) AS host_rate FROM hosts, prior
 )

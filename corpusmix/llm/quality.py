@@ -19,6 +19,7 @@ WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 MAX_HOST_RATE = 0.5
+EVEN_EVIDENCE = 100
 SYMBOLS = "[#*$%&|<>]"
 RULES = ("short", "repetitive")
 
@@ -90,9 +91,8 @@ def host_verdicts(
 ) -> DataFrame:
     """``host, documents, failed, rate, host_kept`` per host; a null host is one of its own.
 
-    The prior's mean is the mean of the hosts' failure rates and its weight makes its
-    variance theirs. Hosts that all have one rate leave the variance at zero: then the
-    mean stands for each. A host goes if its shrunk rate is above ``max_rate``.
+    Rates are shrunk with a beta prior that is fitted to all hosts, see ``host_prior``. A host goes
+    if its shrunk rate is above ``max_rate``.
     """
     failed = F.col(rules)["base_failed"]
     hosts = ruled.groupBy(F.col(host).alias("host")).agg(
@@ -100,17 +100,45 @@ def host_verdicts(
         F.count_if(failed).alias("failed"),
         *[F.count_if(F.col(rules)[name]).alias(name) for name in RULES],
     )
-    rate = F.col("failed") / F.col("documents")
-    prior = hosts.agg(F.avg(rate).alias("mean"), F.var_pop(rate).alias("spread"))
-    weight = F.col("mean") * (1 - F.col("mean")) / F.nullif(F.col("spread"), F.lit(0.0)) - 1
-    # One line of three numbers, so this is a bounded broadcast and no product of rows.
-    line = prior.select("mean", F.greatest(weight, F.lit(0.0)).alias("weight")).first()
-    mean, strength = F.lit(line["mean"]).cast("double"), F.lit(line["weight"]).cast("double")
-    shrunk = (F.col("failed") + mean * strength) / (F.col("documents") + strength)
-    judged = hosts.withColumn("rate", F.round(F.coalesce(shrunk, mean), 9))
+    mean, weight = host_prior(hosts)
+    if weight is None:
+        rate = F.lit(mean).cast("double")
+    else:
+        rate = (F.col("failed") + F.lit(mean * weight)) / (F.col("documents") + F.lit(weight))
+    judged = hosts.withColumn("rate", F.round(rate, 9))
     return judged.withColumn("host_kept", F.col("rate") <= max_rate)
 
 
+def host_prior(hosts: DataFrame) -> tuple[float | None, float | None]:
+    """Mean and weight of the beta prior of the hosts' failure rates, from ``documents, failed`` per host.
+
+    The mean is that of all documents. What the rates of hosts differ by is partly chance, the more so the smaller the
+    hosts: the size-weighted spread that chance alone gives is subtracted, and what is left over gives the
+    share rho of the variance that lies between hosts, and the weight 1 / rho - 1. Few or small hosts say little
+    about rho, so it is estimated as if ``EVEN_EVIDENCE`` further degrees of freedom had shown no difference. The
+    weight is None, so that the mean stands for every host, where there is no more spread than by chance.
+    """
+    n, f = F.col("documents"), F.col("failed")
+    # One line of five numbers.
+    line = hosts.agg(
+        F.count("*").alias("hosts"),
+        F.sum(n).alias("n"),
+        F.sum(f).alias("f"),
+        F.sum(n * n.cast("double")).alias("squares"),
+        F.sum(f * f.cast("double") / n).alias("weighted"),
+    ).first()
+    if not line["n"]:
+        return None, None
+    mean = line["f"] / line["n"]
+    chance = mean * (1 - mean)
+    spread = line["weighted"] - line["n"] * mean * mean - chance * (line["hosts"] - 1)
+    freedom = line["n"] - line["squares"] / line["n"] - (line["hosts"] - 1) + EVEN_EVIDENCE
+    if chance <= 0 or spread <= 0:
+        return mean, None
+    rho = spread / (chance * freedom)
+    return mean, max(1 / rho - 1, 0.0)
+
+
 def judge_ruled(rows: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """Rows that have ``_rules`` with a struct ``_verdict``: counts, failures, host rate, ``kept``.
 

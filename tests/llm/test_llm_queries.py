@@ -8,7 +8,8 @@ from corpusmix.llm.queries import QUERIES
 from oracle_check import connect, differences
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+# Those of test_llm_mining.py have numbers that may be null, and are compared there.
+@pytest.mark.parametrize("name", ["op4_chat_formatting", "op6_quality_rules"])
 def test_query_equals_its_sql(spark, tables, name):
     expected = connect(tables).execute(ORACLE[name]).df()
     assert differences(QUERIES[name](spark, tables).toPandas(), expected) is None
