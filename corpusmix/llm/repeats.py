@@ -5,21 +5,26 @@ substrings by hash, the leftmost of equal ones. Equal strings have equal anchors
 so only strings of one anchor need comparing. Neighbouring strings of one anchor are one
 segment; segments whose anchor occurs nowhere else are left after one shuffle of narrow rows.
 
-Equal segments are settled by their first occurrence. Different segments of one anchor meet in
-buckets of bounded size, and a suffix array with common prefixes is built over each bucket
-column by column: every round puts one more symbol in front of one suffix of each segment, and the
+A string holds half of its other bytes on the left of its anchor or on the right, so a segment
+is two pieces, each keyed by the bytes that all its strings share: the anchor and one side. These bytes
+are the piece's core. Equal pieces are settled by their first occurrence. Pieces of a core that is still in
+too many different ones are split by the next bytes in the same way, until
+groups are bounded; a core of ``LENGTH`` bytes is one string, so that ends after seven rounds.
+Keys and contents of pieces are compared as 128-bit digests of their bytes.
+
+Different pieces of one core meet in buckets of bounded size, and a suffix array with common prefixes is built over
+each bucket column by column: every round puts one more symbol in front of one suffix of each piece, and the
 order and the common prefixes of all suffixes follow from those of the round before
 and the symbols in front of them (the Burrows-Wheeler transform of the bucket). A round
-reads and writes whole arrays in sequence; a segment has fewer than 200 symbols, so there are as
-few rounds, however long the documents are. An anchor with very many different
-segments is taken apart into strings instead, which are grouped by a 128-bit hash.
+reads and writes whole arrays in sequence; a piece has fewer than 200 symbols, so there are as
+few rounds, however long the documents are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from hashlib import sha256
+from functools import lru_cache, partial
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +37,14 @@ from corpusmix.session import materialize
 LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1  # substrings in a string
-SIDE = (LENGTH - GRAM) // 2  # one side of the anchor has as many bytes or more
 CHUNK = 1 << 20
-BUCKET = 2_000
-HOT_SEGMENTS = 2_000
+BUCKET = 2_000  # different pieces that are compared at once
+SPREAD = 1 << 16
 NO_ID = -(1 << 63)
-SEGMENT_SCHEMA = "anchor bigint, content bigint, doc_id bigint, start bigint, shape int"
+ROW = "doc_id bigint, digest bigint"  # a row is known by its doc_id and its text
+SEGMENT_SCHEMA = f"anchor bigint, content bigint, {ROW}, start bigint, shape int"
+PIECE_SCHEMA = f"core binary, content binary, {ROW}, start bigint, at int, bytes binary"
+SPAN_SCHEMA = f"{ROW}, first bigint, past bigint"
 _U = np.uint64
 
 
@@ -100,31 +107,37 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _find_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns: list[list[np.ndarray]] = [[], [], [], [], []]
+        columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
         size = 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc_id, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             data = np.frombuffer((text.as_py() or "").encode("utf-8"), np.uint8)
             for at in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
                 anchor, content, start, shape = segments(data[at : at + CHUNK + LENGTH - 1])
-                for column, values in zip(
-                    columns, (anchor, content, np.full(len(start), doc_id), start + at, shape.astype(np.int32))
-                ):
+                ids = (np.full(len(start), one) for one in (doc_id, digest))
+                for column, values in zip(columns, (anchor, content, *ids, start + at, shape.astype(np.int32))):
                     column.append(values)
                 size += len(start)
             if size >= 50_000:
                 yield _segment_batch(columns)
-                columns, size = [[], [], [], [], []], 0
+                columns, size = [[], [], [], [], [], []], 0
         if size:
             yield _segment_batch(columns)
 
 
 def _segment_batch(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    names = ["anchor", "content", "doc_id", "start", "shape"]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names)
+    """Segments with ``met``: 0 for an anchor that is here once; of others -1 for one, which stands for
+    them where anchors meet, and numbers above 0 for the rest, by which they are spread."""
+    joined = [np.concatenate(column) for column in columns]
+    _, first, back, times = np.unique(joined[0], return_index=True, return_inverse=True, return_counts=True)
+    met = 1 + np.arange(len(back)) % SPREAD
+    met[first] = -1
+    met[times[back] == 1] = 0
+    names = ["anchor", "content", "doc_id", "digest", "start", "shape", "met"]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*joined, met.astype(np.int32))], names)
 
 
 def _met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by anchor, those whose anchor the row before or after has."""
+    """Of rows sorted by anchor, those that are marked or whose anchor the row before or after has."""
     held: pa.RecordBatch | None = None  # the last row seen
     held_met = False
     for batch in batches:
@@ -132,7 +145,8 @@ def _met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         anchor = batch.column(0).to_numpy()
         same = anchor[1:] == anchor[:-1]
-        met = np.zeros(len(anchor), bool)
+        met = batch.column(6).to_numpy() != 0
+        batch = batch.select(range(6))
         met[1:] |= same
         met[:-1] |= same
         if held is not None:
@@ -148,22 +162,56 @@ def _met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
+def _pieces(part: bytes, at: int, core: int) -> Iterator[tuple[int, int, int]]:
+    """First byte, past byte and place of the core of the two pieces of ``part``, whose core is at ``at``.
+
+    The core grows by half of what a string has beside it: to the left in strings that have as much
+    there, else to the right.
+    """
+    half = (LENGTH - core + 1) // 2
+    count = len(part) - LENGTH + 1
+    if at >= half:
+        yield 0, min(at - half, count - 1) + LENGTH, at - half
+    low = max(0, at - half + 1)
+    if low < count:
+        yield low, len(part), at
+
+
+def _piece_batch(found: Iterator[tuple[int, int, int, int, bytes]], core: int) -> pa.RecordBatch:
+    """Pieces of parts given as doc_id, digest, start, place of the core, bytes."""
+    grown = core + (LENGTH - core + 1) // 2
+    out = []
+    for doc_id, digest, start, at, part in found:
+        for low, past, place in _pieces(part, at, core):
+            piece = part[low:past]
+            key = blake2b(part[place : place + grown], digest_size=16).digest()
+            content = blake2b(piece, digest_size=16).digest()
+            out.append((key, content, doc_id, digest, start + low, place - low, piece))
+    columns = list(zip(*out)) if out else [[]] * 7
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)],
+        ["core", "content", "doc_id", "digest", "start", "at", "bytes"],
+    )
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of wanted segments: rows of ``anchor, doc_id, start, at, bytes``."""
+    """The pieces of wanted segments."""
     for batch in batches:
-        out: list[tuple[int, int, int, int, bytes]] = []
-        for doc_id, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+        ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        for (doc_id, digest), text, wanted in zip(ids, batch.column(2), batch.column(3)):
             data = (text.as_py() or "").encode("utf-8")
-            for one in wanted.as_py():
-                size = (one["shape"] & 255) + LENGTH - 1
-                part = data[one["start"] : one["start"] + size]
-                if len(part) == size:  # else the segment lies in another row of this doc_id
-                    out.append((one["anchor"], doc_id, one["start"], one["shape"] >> 8, part))
-        columns = list(zip(*out)) if out else [[], [], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "doc_id", "start", "at", "bytes"]
-        )
+            found = (
+                (doc_id, digest, one["start"], one["shape"] >> 8, data[one["start"] : one["start"] + (one["shape"] & 255) + LENGTH - 1])
+                for one in wanted.as_py()
+            )
+            yield _piece_batch(found, GRAM)
+
+
+def _split(batches: Iterator[pa.RecordBatch], core: int) -> Iterator[pa.RecordBatch]:
+    """Pieces, given as doc_id, digest, start, at, bytes, with the core that is next."""
+    for batch in batches:
+        yield _piece_batch(zip(*(column.to_pylist() for column in batch.columns)), core)
 
 
 def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,155 +250,128 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return place // stride, place % stride, common
 
 
-def _may_match(bucket: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int, int, int, bytes]]:
-    """Segments that share one whole side of the anchor with another one of the same anchor."""
-    met = np.zeros(len(bucket), bool)
-    left: dict[tuple[int, bytes], int] = {}
-    right: dict[tuple[int, bytes], int] = {}
-    for k, (anchor, _, _, at, part) in enumerate(bucket):
-        if at >= SIDE:
-            other = left.setdefault((anchor, part[at - SIDE : at]), k)
-            if other != k:
-                met[k] = met[other] = True
-        if len(part) - at - GRAM >= SIDE:
-            other = right.setdefault((anchor, part[at + GRAM : at + GRAM + SIDE]), k)
-            if other != k:
-                met[k] = met[other] = True
-    return [bucket[k] for k in np.flatnonzero(met).tolist()]
-
-
-def _earlier(bucket: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """Spans of bytes whose strings lie earlier in another segment of the bucket."""
-    chosen = _may_match(bucket)
-    if not chosen:
-        return []
-    owner, length, common = suffix_array([c[4] for c in chosen])
+Piece = tuple[bytes, int, int, int, bytes]  # core, doc_id, digest, start, bytes
+
+
+def _earlier(bucket: list[Piece]) -> list[tuple[int, int, int, int]]:
+    """Spans of bytes whose strings lie earlier in another piece of the bucket."""
+    owner, length, common = suffix_array([piece[4] for piece in bucket])
     group = np.cumsum(common < LENGTH)
     sizes = np.bincount(group)
     many = sizes[group] > 1
     owner, length, group = owner[many], length[many], group[many]
-    if not len(owner):
+    rows = sorted({piece[1:3] for piece in bucket})
+    number = {row: k for k, row in enumerate(rows)}
+    row = np.array([number[piece[1:3]] for piece in bucket], np.int64)[owner]
+    past = np.array([piece[3] + len(piece[4]) for piece in bucket], np.int64)
+    place = past[owner] - length
+    order = np.lexsort((place, row, group))
+    row, place, group = row[order], place[order], group[order]
+    later = np.flatnonzero(group[1:] == group[:-1]) + 1  # all but the first of each group
+    row, place = row[later], place[later]
+    if not len(row):
         return []
-    part_size = np.array([len(c[4]) for c in chosen])
-    doc = np.array([c[1] for c in chosen], np.int64)[owner]
-    place = np.array([c[2] for c in chosen], np.int64)[owner] + part_size[owner] - length
-    order = np.lexsort((place, doc, group))
-    doc, place, group = doc[order], place[order], group[order]
-    # The first of each group; rows of one doc_id may hold the same string at the same place.
-    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    head = np.repeat(heads, np.diff(np.append(heads, len(group))))
-    later = np.flatnonzero((doc != doc[head]) | (place != place[head]))
-    return _spans(doc[later], place[later])
-
-
-def _spans(doc: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
-    """Strings at neighbouring places as spans of bytes."""
-    if not len(doc):
-        return []
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
-    breaks = np.flatnonzero((np.diff(doc) != 0) | (np.diff(place) > 1)) + 1
+    # Strings at neighbouring places become one span.
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order]
+    breaks = np.flatnonzero((np.diff(row) != 0) | (np.diff(place) > 1)) + 1
     lows = np.concatenate([[0], breaks])
-    highs = np.concatenate([breaks, [len(doc)]]) - 1
-    return list(zip(doc[lows].tolist(), place[lows].tolist(), (place[highs] + LENGTH).tolist()))
+    highs = np.concatenate([breaks, [len(row)]]) - 1
+    return [
+        (*rows[k], first, last + LENGTH)
+        for k, first, last in zip(row[lows].tolist(), place[lows].tolist(), place[highs].tolist())
+    ]
 
 
-def _span_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    columns = list(zip(*spans)) if spans else [[], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "first", "past"])
+def _span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*spans)) if spans else [[]] * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64()) for c in columns], ["doc_id", "digest", "first", "past"]
+    )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor, in buckets of whole anchors; of equal rows one."""
-    bucket: list[tuple[int, int, int, int, bytes]] = []
-    seen: set[tuple[int, int, int, int, bytes]] = set()
-    last = None
+    """Different pieces sorted by core, in buckets of whole cores."""
+    bucket: list[Piece] = []
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if len(bucket) >= BUCKET and row[0] != bucket[-1][0]:
+        for piece in zip(*(column.to_pylist() for column in batch.columns)):
+            if len(bucket) >= BUCKET and piece[0] != bucket[-1][0]:
                 yield _span_batch(_earlier(bucket))
                 bucket = []
-            if row[0] != last:
-                seen, last = set(), row[0]
-            if row not in seen:
-                seen.add(row)
-                bucket.append(row)
+            bucket.append(piece)
     if bucket:
         yield _span_batch(_earlier(bucket))
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of the segments of hot anchors, by a 128-bit hash."""
-    first, second, powers, inverse, index = _tables()
-    for batch in batches:
-        for _, doc_id, start, _, part in zip(*(column.to_pylist() for column in batch.columns)):
-            data = np.frombuffer(part, np.uint8)
-            at = index[: len(data) - LENGTH + 1]
-            hashes = [
-                _hash(_prefixes(table[data], powers), inverse, at, at + LENGTH).view(np.int64)
-                for table in (first, second)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h) for h in hashes] + [pa.array(np.full(len(at), doc_id)), pa.array(at + start)],
-                ["h1", "h2", "doc_id", "place"],
-            )
+def _others(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """Those of ``rows`` that have the keys of a row of ``firsts`` but are not the one at its ``first_at``."""
+    met = rows.join(firsts.where(F.col("times") > 1).select(*keys, "first_at"), keys)
+    same = [F.col(name) == F.col(f"first_at.{name}") for name in ("doc_id", "digest", "start")]
+    return met.where(~(same[0] & same[1] & same[2]))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, first, past``: bytes covered by strings that also start earlier; they may overlap."""
+    """``doc_id, digest, first, past``: bytes covered by strings that also start earlier; they may overlap.
+
+    ``docs`` has ``doc_id, digest, text``, without nulls in the first two.
+    """
     spark = docs.sparkSession
-    plain = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col("text")
-    )
-    found = map_batches(plain, _find_segments, SEGMENT_SCHEMA)
+    found = map_batches(docs, _find_segments, f"{SEGMENT_SCHEMA}, met int")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = found.repartition(shards, "anchor").sortWithinPartitions("anchor")
+    dealt = found.repartition(shards, "anchor", F.greatest("met", F.lit(0))).sortWithinPartitions("anchor")
     again = materialize(map_batches(dealt, _met_again, SEGMENT_SCHEMA), "repeats_segments")
 
-    place = F.struct("doc_id", "start")
+    place = F.min(F.struct("doc_id", "digest", "start")).alias("first_at")
+    times = F.count("*").alias("times")
     different = materialize(
-        again.groupBy("anchor", "content").agg(
-            F.min(place).alias("at"), F.count("*").alias("times"), F.first("shape").alias("shape")
-        ),
-        "repeats_different",
-    )
-    copies = different.where(F.col("times") > 1).select("anchor", "content", "at")
-    copied = again.join(copies, ["anchor", "content"]).where(
-        (F.col("doc_id") != F.col("at.doc_id")) | (F.col("start") != F.col("at.start"))
-    )
-    whole = copied.select(
-        "doc_id", F.col("start").alias("first"), (F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)).alias("past")
+        again.groupBy("anchor", "content", "shape").agg(place, times), "repeats_different"
     )
-    counts = different.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1)
-    open_segments = different.join(counts, "anchor").select(
-        F.col("at.doc_id").alias("doc_id"),
-        F.struct("anchor", F.col("at.start").alias("start"), "shape").alias("one"),
+    copied = _others(again, different, ["anchor", "content", "shape"]).select(
+        "doc_id",
+        "digest",
+        F.col("start").alias("first"),
+        (F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)).alias("past"),
     )
-    wanted = open_segments.groupBy("doc_id").agg(F.collect_list("one").alias("wanted"))
-    with_text = plain.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-    hot_anchors = materialize(counts.where(F.col("kinds") > HOT_SEGMENTS).select("anchor"), "repeats_hot")
-    cut = materialize(
-        map_batches(with_text, _cut, "anchor bigint, doc_id bigint, start bigint, at int, bytes binary"), "repeats_bytes"
+    kinds = F.count("*").alias("kinds")
+    more = different.groupBy("anchor").agg(kinds).where(F.col("kinds") > 1).select("anchor")
+    wanted = (
+        different.join(more, "anchor")
+        .select("first_at.*", "shape")
+        .groupBy("doc_id", "digest")
+        .agg(F.collect_list(F.struct("start", "shape")).alias("wanted"))
     )
-    usual = cut.join(hot_anchors, "anchor", "left_anti").repartition(shards, "anchor").sortWithinPartitions("anchor")
-    compared = map_batches(usual, _compare, "doc_id bigint, first bigint, past bigint")
-    strings = materialize(
-        map_batches(
-            cut.join(hot_anchors, "anchor", "left_semi"), _strings, "h1 bigint, h2 bigint, doc_id bigint, place bigint"
-        ),
-        "repeats_strings",
-    )
-    firsts = (
-        strings.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "place")).alias("at"), F.count("*").alias("times"))
-        .where(F.col("times") > 1)
-    )
-    single = (
-        strings.join(firsts, ["h1", "h2"])
-        .where((F.col("doc_id") != F.col("at.doc_id")) | (F.col("place") != F.col("at.place")))
-        .select("doc_id", F.col("place").alias("first"), (F.col("place") + LENGTH).alias("past"))
-    )
-    return whole.unionByName(compared).unionByName(single)
+    with_text = docs.join(wanted, ["doc_id", "digest"]).select("doc_id", "digest", "text", "wanted")
+    pieces = map_batches(with_text, _cut, PIECE_SCHEMA)
+    spans, core = copied, GRAM
+    while core < LENGTH:
+        core += (LENGTH - core + 1) // 2
+        pieces = materialize(pieces, "repeats_pieces")
+        alike = materialize(
+            pieces.groupBy("core", "content").agg(
+                place, times, F.first("at").alias("at"), F.first("bytes").alias("bytes")
+            ),
+            "repeats_alike",
+        )
+        spans = spans.unionByName(
+            _others(pieces.select("core", "content", "doc_id", "digest", "start", "bytes"), alike, ["core", "content"]).select(
+                "doc_id",
+                "digest",
+                F.col("start").alias("first"),
+                (F.col("start") + F.length("bytes")).alias("past"),
+            )
+        )
+        groups = materialize(alike.groupBy("core").agg(kinds).where(F.col("kinds") > 1), "repeats_groups")
+        usual = alike.join(groups.where(F.col("kinds") <= BUCKET), "core", "left_semi")
+        sorted_pieces = (
+            usual.select("core", "first_at.*", "bytes").repartition(shards, "core").sortWithinPartitions("core")
+        )
+        spans = spans.unionByName(map_batches(sorted_pieces, _compare, SPAN_SCHEMA))
+        hot = groups.where(F.col("kinds") > BUCKET)
+        if hot.isEmpty():
+            break
+        split = alike.join(hot, "core", "left_semi").select("first_at.*", "at", "bytes")
+        pieces = map_batches(split, partial(_split, core=core), PIECE_SCHEMA)
+    return spans
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,16 +401,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs`` (``doc_id, text``).
 
     Null text counts as empty; texts of fewer than 100 bytes keep everything. Earlier
-    means a smaller doc_id (null before all), then an earlier start. Rows of one doc_id are taken
-    as one document: what is found in any of them is removed from each. Other columns are left aside.
+    means a smaller doc_id (null before all), then an earlier start. Rows of one doc_id, or of
+    none, that differ in their texts are documents of their own, in the order of a 64-bit hash of the text;
+    rows equal in both are one document, and what is removed goes from each of them. So the first
+    occurrence of every string stays. Other columns are left aside.
     """
-    spans = repeated_spans(docs).groupBy(F.col("doc_id").alias("_id")).agg(
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    ).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_row"), F.xxhash64("text").alias("digest"), "text")
+    keyed = rows.select(F.col("_row").alias("doc_id"), "digest", "text")
+    spans = repeated_spans(keyed).groupBy(F.col("doc_id").alias("_row"), "digest").agg(
         F.collect_list(F.struct("first", "past")).alias("spans")
     )
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    joined = plain.join(spans, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_id"), "left")
     return map_batches(
-        joined.select("doc_id", "text", "spans"),
+        rows.join(spans, ["_row", "digest"], "left").select("doc_id", "text", "spans"),
         _kept,
         "doc_id bigint, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )

@@ -132,8 +132,8 @@ def test_repeats_equal_brute_force(spark, docs, monkeypatch):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         runs = len(re.findall(b"\1+", bytes(gone)))
         expected[doc_id] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
-    for hot in (repeats.HOT_SEGMENTS, 1):  # by suffix arrays, and by strings
-        monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    for bucket in (repeats.BUCKET, 3, 1):  # by suffix arrays, after some splits, and by splits down to single strings
+        monkeypatch.setattr(repeats, "BUCKET", bucket)
         found = {r[0]: tuple(r[1:]) for r in repeats.remove_repeats(table).collect()}
         assert found == expected
     assert repeats.remove_repeats(docs).count() == docs.count()
@@ -143,27 +143,54 @@ def test_repeats_equal_brute_force(spark, docs, monkeypatch):
 def test_repeats_in_repeated_rows(spark, monkeypatch):
     one, two, three = (prose(k, 30) for k in (61, 62, 63))
     rows = [(1, one)] * 3 + [(2, one[:150] + two)] * 2 + [(3, two[:110] + three), (3, three + two), (3, one[:120]), (4, three[20:])]
+    rows += [(6, prose(64, 30)), (6, "zz " + prose(64, 30)), (None, prose(65, 30)), (None, prose(65, 30) + " zz"), (None, None), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    order = {
+        (r["doc_id"], r["text"]): (r["doc_id"] is not None, r["doc_id"] or 0, r["digest"])
+        for r in table.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) AS digest").collect()
+    }
     first, gone = {}, {}
-    for doc_id, text in rows:
+    for row in rows:
+        text = row[1] or ""
         for at in range(len(text) - 99):
             part = text[at : at + 100]
-            first[part] = min(first.get(part, (doc_id, at)), (doc_id, at))
-    for doc_id, text in rows:
+            first[part] = min(first.get(part, (order[row], at)), (order[row], at))
+    for row in rows:
+        text = row[1] or ""
         for at in range(len(text) - 99):
-            if first[text[at : at + 100]] != (doc_id, at):
-                gone.setdefault(doc_id, set()).update(range(at, at + 100))
+            if first[text[at : at + 100]] != (order[row], at):
+                gone.setdefault(row, set()).update(range(at, at + 100))
     expected = []
-    for doc_id, text in rows:
-        kept = "".join(c for k, c in enumerate(text) if k not in gone.get(doc_id, ()))
-        expected.append((doc_id, len(text), len(text) - len(kept), hashlib.sha256(kept.encode()).hexdigest()))
-    assert 1 not in gone
-    table = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for hot in (repeats.HOT_SEGMENTS, 1):
-        monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
-        made = repeats.remove_repeats(table).select("doc_id", "n_bytes", "n_removed", "kept_sha256")
+    for row in rows:
+        text = row[1] or ""
+        kept = "".join(c for k, c in enumerate(text) if k not in gone.get(row, ()))
+        expected.append((row[0] or -1, len(text), len(text) - len(kept), hashlib.sha256(kept.encode()).hexdigest()))
+    assert (1, one) not in gone
+    whole = {row for row in rows if row not in gone}
+    assert any(row[0] == 6 for row in whole) and any(row[0] is None and row[1] for row in whole)
+    for bucket in (repeats.BUCKET, 1):
+        monkeypatch.setattr(repeats, "BUCKET", bucket)
+        made = repeats.remove_repeats(table).selectExpr("coalesce(doc_id, -1)", "n_bytes", "n_removed", "kept_sha256")
         assert sorted(map(tuple, made.collect())) == sorted(expected)
 
 
+def test_pieces_hold_every_string_once():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        core = int(rng.choice([32, 66, 83, 92, 96, 98, 99]))
+        count = int(rng.integers(1, 102 - core))
+        low, high = max(0, count - 1), 100 - core  # the core lies in every string
+        at = int(rng.integers(low, high + 1))
+        part = rng.integers(0, 256, count + 99, dtype=np.uint8).tobytes()
+        grown = core + (101 - core) // 2
+        strings = []
+        for first, past, place in repeats._pieces(part, at, core):
+            for start in range(first, past - 99):
+                strings.append(start)
+                assert start <= place and place + grown <= start + 100
+        assert strings == list(range(count))
+
+
 def test_suffix_array():
     parts = [b"banana", b"ananas", b"", b"banana", bytes(range(256))]
     owner, length, common = repeats.suffix_array(parts)
