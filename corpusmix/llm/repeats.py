@@ -10,7 +10,7 @@ is two pieces, each keyed by the bytes that all its strings share: the anchor an
 are the piece's core. Equal pieces are settled by their first occurrence. Pieces of a core that is still in
 too many different ones are split by the next bytes in the same way, until
 groups are bounded; a core of ``LENGTH`` bytes is one string, so that ends after seven rounds.
-Keys and contents of pieces are compared as 128-bit digests of their bytes.
+Pieces are equal if 128-bit digests of their bytes are.
 
 Different pieces of one core meet in buckets of bounded size, and a suffix array with common prefixes is built over
 each bucket column by column: every round puts one more symbol in front of one suffix of each piece, and the
@@ -42,8 +42,9 @@ BUCKET = 2_000  # different pieces that are compared at once
 SPREAD = 1 << 16
 NO_ID = -(1 << 63)
 ROW = "doc_id bigint, digest bigint"  # a row is known by its doc_id and its text
+ROW_KEYS = ("doc_id", "digest", "start")
 SEGMENT_SCHEMA = f"anchor bigint, content bigint, {ROW}, start bigint, shape int"
-PIECE_SCHEMA = f"core binary, content binary, {ROW}, start bigint, at int, bytes binary"
+PIECE_SCHEMA = f"core bigint, content binary, {ROW}, start bigint, size int, at int, bytes binary"
 SPAN_SCHEMA = f"{ROW}, first bigint, past bigint"
 _U = np.uint64
 
@@ -184,14 +185,14 @@ def _piece_batch(found: Iterator[tuple[int, int, int, int, bytes]], core: int) -
     for doc_id, digest, start, at, part in found:
         for low, past, place in _pieces(part, at, core):
             piece = part[low:past]
-            key = blake2b(part[place : place + grown], digest_size=16).digest()
+            key = int.from_bytes(blake2b(part[place : place + grown], digest_size=8).digest(), "little", signed=True)
             content = blake2b(piece, digest_size=16).digest()
-            out.append((key, content, doc_id, digest, start + low, place - low, piece))
-    columns = list(zip(*out)) if out else [[]] * 7
-    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            out.append((key, content, doc_id, digest, start + low, past - low, place - low, piece))
+    columns = list(zip(*out)) if out else [[]] * 8
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)],
-        ["core", "content", "doc_id", "digest", "start", "at", "bytes"],
+        ["core", "content", *ROW_KEYS, "size", "at", "bytes"],
     )
 
 
@@ -250,7 +251,7 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return place // stride, place % stride, common
 
 
-Piece = tuple[bytes, int, int, int, bytes]  # core, doc_id, digest, start, bytes
+Piece = tuple[int, int, int, int, bytes]  # core, doc_id, digest, start, bytes
 
 
 def _earlier(bucket: list[Piece]) -> list[tuple[int, int, int, int]]:
@@ -303,11 +304,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _span_batch(_earlier(bucket))
 
 
-def _others(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
-    """Those of ``rows`` that have the keys of a row of ``firsts`` but are not the one at its ``first_at``."""
-    met = rows.join(firsts.where(F.col("times") > 1).select(*keys, "first_at"), keys)
-    same = [F.col(name) == F.col(f"first_at.{name}") for name in ("doc_id", "digest", "start")]
-    return met.where(~(same[0] & same[1] & same[2]))
+def _copied(rows: DataFrame, alike: DataFrame, keys: list[str]) -> DataFrame:
+    """The spans of ``rows`` (``past`` included) that are alike by ``keys``, but for the first of each kind."""
+    met = rows.join(alike.where(F.col("times") > 1).select(*keys, "first_at"), keys)
+    here = F.struct(*ROW_KEYS)
+    return met.where(here != F.col("first_at")).select("doc_id", "digest", F.col("start").alias("first"), "past")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -321,17 +322,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     dealt = found.repartition(shards, "anchor", F.greatest("met", F.lit(0))).sortWithinPartitions("anchor")
     again = materialize(map_batches(dealt, _met_again, SEGMENT_SCHEMA), "repeats_segments")
 
-    place = F.min(F.struct("doc_id", "digest", "start")).alias("first_at")
+    place = F.min(F.struct(*ROW_KEYS)).alias("first_at")
     times = F.count("*").alias("times")
     different = materialize(
         again.groupBy("anchor", "content", "shape").agg(place, times), "repeats_different"
     )
-    copied = _others(again, different, ["anchor", "content", "shape"]).select(
-        "doc_id",
-        "digest",
-        F.col("start").alias("first"),
-        (F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)).alias("past"),
-    )
+    past = F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)
+    spans = _copied(again.withColumn("past", past), different, ["anchor", "content", "shape"])
     kinds = F.count("*").alias("kinds")
     more = different.groupBy("anchor").agg(kinds).where(F.col("kinds") > 1).select("anchor")
     wanted = (
@@ -342,7 +339,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     with_text = docs.join(wanted, ["doc_id", "digest"]).select("doc_id", "digest", "text", "wanted")
     pieces = map_batches(with_text, _cut, PIECE_SCHEMA)
-    spans, core = copied, GRAM
+    core = GRAM
     while core < LENGTH:
         core += (LENGTH - core + 1) // 2
         pieces = materialize(pieces, "repeats_pieces")
@@ -352,14 +349,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             ),
             "repeats_alike",
         )
-        spans = spans.unionByName(
-            _others(pieces.select("core", "content", "doc_id", "digest", "start", "bytes"), alike, ["core", "content"]).select(
-                "doc_id",
-                "digest",
-                F.col("start").alias("first"),
-                (F.col("start") + F.length("bytes")).alias("past"),
-            )
-        )
+        copies = pieces.select("core", "content", *ROW_KEYS, (F.col("start") + F.col("size")).alias("past"))
+        spans = spans.unionByName(_copied(copies, alike, ["core", "content"]))
         groups = materialize(alike.groupBy("core").agg(kinds).where(F.col("kinds") > 1), "repeats_groups")
         usual = alike.join(groups.where(F.col("kinds") <= BUCKET), "core", "left_semi")
         sorted_pieces = (
@@ -408,7 +399,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_row"), F.xxhash64("text").alias("digest"), "text")
+    )
+    repeated = rows.groupBy("doc_id").count().where("count > 1")
+    # Where each doc_id is there once, nothing has to be carried beside it.
+    digest = F.lit(0).cast("bigint") if repeated.isEmpty() else F.xxhash64("text")
+    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_row"), digest.alias("digest"), "text")
     keyed = rows.select(F.col("_row").alias("doc_id"), "digest", "text")
     spans = repeated_spans(keyed).groupBy(F.col("doc_id").alias("_row"), "digest").agg(
         F.collect_list(F.struct("first", "past")).alias("spans")
