@@ -254,8 +254,25 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 Piece = tuple[int, int, int, int, bytes]  # core, doc_id, digest, start, bytes
 
 
+def _met_pieces(bucket: list[Piece], at: list[int], core: int) -> list[Piece]:
+    """The pieces of those in the bucket, one split further, whose core another one has."""
+    grown = core + (LENGTH - core + 1) // 2
+    first: dict[bytes, int] = {}
+    split: list[Piece] = []
+    met: list[bool] = []
+    for (key, doc_id, digest, start, part), here in zip(bucket, at):
+        for low, past, place in _pieces(part, here, core):
+            other = first.setdefault(part[place : place + grown], len(split))
+            met.append(other != len(split))
+            met[other] |= met[-1]
+            split.append((key, doc_id, digest, start + low, part[low:past]))
+    return [piece for piece, again in zip(split, met) if again]
+
+
 def _earlier(bucket: list[Piece]) -> list[tuple[int, int, int, int]]:
     """Spans of bytes whose strings lie earlier in another piece of the bucket."""
+    if not bucket:
+        return []
     owner, length, common = suffix_array([piece[4] for piece in bucket])
     group = np.cumsum(common < LENGTH)
     sizes = np.bincount(group)
@@ -291,17 +308,21 @@ def _span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     )
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], core: int) -> Iterator[pa.RecordBatch]:
     """Different pieces sorted by core, in buckets of whole cores."""
     bucket: list[Piece] = []
+    at: list[int] = []
     for batch in batches:
-        for piece in zip(*(column.to_pylist() for column in batch.columns)):
+        places = batch.column(4).to_pylist()
+        columns = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
+        for piece, place in zip(zip(*columns), places):
             if len(bucket) >= BUCKET and piece[0] != bucket[-1][0]:
-                yield _span_batch(_earlier(bucket))
-                bucket = []
+                yield _span_batch(_earlier(_met_pieces(bucket, at, core)))
+                bucket, at = [], []
             bucket.append(piece)
+            at.append(place)
     if bucket:
-        yield _span_batch(_earlier(bucket))
+        yield _span_batch(_earlier(_met_pieces(bucket, at, core)))
 
 
 def _copied(rows: DataFrame, alike: DataFrame, keys: list[str]) -> DataFrame:
@@ -354,9 +375,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         groups = materialize(alike.groupBy("core").agg(kinds).where(F.col("kinds") > 1), "repeats_groups")
         usual = alike.join(groups.where(F.col("kinds") <= BUCKET), "core", "left_semi")
         sorted_pieces = (
-            usual.select("core", "first_at.*", "bytes").repartition(shards, "core").sortWithinPartitions("core")
+            usual.select("core", "first_at.*", "at", "bytes").repartition(shards, "core").sortWithinPartitions("core")
         )
-        spans = spans.unionByName(map_batches(sorted_pieces, _compare, SPAN_SCHEMA))
+        spans = spans.unionByName(map_batches(sorted_pieces, partial(_compare, core=core), SPAN_SCHEMA))
         hot = groups.where(F.col("kinds") > BUCKET)
         if hot.isEmpty():
             break
