@@ -142,14 +142,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage in a way that survives losing executors, and later
-    passes read only the columns they need, unlike a row-wise checkpoint.
+    passes read only the columns they need, unlike a row-wise checkpoint. ``compression`` is
+    a Parquet codec, by default the session's.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
