@@ -341,12 +341,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = map_batches(docs, _find_segments, f"{SEGMENT_SCHEMA}, met int")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.repartition(shards, "anchor", F.greatest("met", F.lit(0))).sortWithinPartitions("anchor")
-    again = materialize(map_batches(dealt, _met_again, SEGMENT_SCHEMA), "repeats_segments")
+    again = materialize(map_batches(dealt, _met_again, SEGMENT_SCHEMA), "repeats_segments", "zstd")
 
     place = F.min(F.struct(*ROW_KEYS)).alias("first_at")
     times = F.count("*").alias("times")
     different = materialize(
-        again.groupBy("anchor", "content", "shape").agg(place, times), "repeats_different"
+        again.groupBy("anchor", "content", "shape").agg(place, times), "repeats_different", "zstd"
     )
     past = F.col("start") + F.col("shape").bitwiseAND(255) + (LENGTH - 1)
     spans = _copied(again.withColumn("past", past), different, ["anchor", "content", "shape"])
@@ -363,12 +363,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     core = GRAM
     while core < LENGTH:
         core += (LENGTH - core + 1) // 2
-        pieces = materialize(pieces, "repeats_pieces")
+        pieces = materialize(pieces, "repeats_pieces", "zstd")
         alike = materialize(
             pieces.groupBy("core", "content").agg(
                 place, times, F.first("at").alias("at"), F.first("bytes").alias("bytes")
             ),
-            "repeats_alike",
+            "repeats_alike", "zstd",
         )
         copies = pieces.select("core", "content", *ROW_KEYS, (F.col("start") + F.col("size")).alias("past"))
         spans = spans.unionByName(_copied(copies, alike, ["core", "content"]))
