@@ -46,12 +46,16 @@ RECIPE = parse_recipe(
             "texts_fr": {"path": "texts", "config": "fr", "language": "fr", "id_columns": ["doc_id"]},
             "texts_de": {"path": "texts", "config": "de", "language": "de", "id_columns": ["doc_id"]},
             "texts_es": {"path": "texts", "config": "es", "language": "es", "id_columns": ["doc_id"]},
+            "texts_other": {"path": "texts", "config": "other", "language": "und", "id_columns": ["doc_id"]},
         },
         "meta_strategy": {"target_ratio": "70:30", "eval_size": 0.05, "max_seq_len": 2048},
     }
 )
 
 
+NAMED = ("en", "fr", "de", "es")
+
+
 @lru_cache(maxsize=64)
 def table(spark: SparkSession, tables: str, name: str) -> DataFrame:
     """A given table; its schema is read from the file once per session."""
@@ -102,8 +106,10 @@ def pages(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, tables: str, language: str) -> DataFrame:
-    """Documents of one language: the first line asks for the whole text."""
-    documents = table(spark, tables, "documents").where(F.col("lang") == language)
+    """Documents of one language, or of no named one: the first line asks for the whole text."""
+    named = F.coalesce(F.col("lang").isin(*NAMED), F.lit(False))
+    wanted = ~named if language == "other" else F.col("lang") == language
+    documents = table(spark, tables, "documents").where(wanted)
     return documents.select(
         "doc_id",
         F.substring_index("text", "\n", 1).alias("instruction"),

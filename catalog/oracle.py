@@ -148,9 +148,10 @@ SELECT 'web_pages', 5, * EXCLUDE (rn, n) FROM (
   SELECT *, row_number() OVER (ORDER BY order_key) AS rn, count(*) OVER () AS n FROM pages_keyed
 ) WHERE rn <= floor(n * 1.0::double)
 UNION ALL
-SELECT 'texts_' || lang, 5 + list_position(['en', 'fr', 'de', 'es'], lang), {_key(42, "doc_id")},
-       'instruction', {_strip("split_part(text, chr(10), 1)")}, {_strip("text")}, lang, lang, 0
-FROM documents
+SELECT 'texts_' || named, 5 + list_position(['en', 'fr', 'de', 'es', 'other'], named), {_key(42, "doc_id")},
+       'instruction', {_strip("split_part(text, chr(10), 1)")}, {_strip("text")},
+       CASE named WHEN 'other' THEN 'und' ELSE named END, CASE named WHEN 'other' THEN 'und' ELSE named END, 0
+FROM (SELECT *, CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE 'other' END AS named FROM documents)
 """
 
 VIEWS["sliced"] = f"""
@@ -176,6 +177,8 @@ VIEWS["usage_lines"] = """
   UNION ALL SELECT 7, 'instruction', 'texts_fr', 1.0, (SELECT count(*) FROM documents WHERE lang = 'fr')
   UNION ALL SELECT 8, 'instruction', 'texts_de', 1.0, (SELECT count(*) FROM documents WHERE lang = 'de')
   UNION ALL SELECT 9, 'instruction', 'texts_es', 1.0, (SELECT count(*) FROM documents WHERE lang = 'es')
+  UNION ALL SELECT 10, 'instruction', 'texts_other', 1.0,
+         (SELECT count(*) FROM documents WHERE lang IS NULL OR lang NOT IN ('en', 'fr', 'de', 'es'))
 """
 
 # --- budget, duplicates, mix, split ----------------------------------------------

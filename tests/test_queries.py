@@ -1,5 +1,7 @@
 """Every registered query against its SQL, and what the plans must not contain."""
 
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -33,3 +35,17 @@ def test_query_equals_its_sql(spark, tables, duck, name):
         assert "Python" not in plan and "InPandas" not in plan
     expected = duck.execute(oracle_sql()[name]).df()
     assert differences(result.toPandas(), expected) is None
+
+
+@pytest.mark.parametrize("name", ["q06_usage_slice_union"])
+def test_documents_of_any_language_take_part(spark, tables, tmp_path, name):
+    for path in sorted(Path(tables).glob("*.parquet")):
+        (tmp_path / path.name).symlink_to(path)
+    (tmp_path / "documents.parquet").unlink()
+    other = "CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN 'it' ELSE lang END"
+    connect(tables).execute(
+        f"COPY (SELECT * REPLACE ({other} AS lang) FROM documents) TO '{tmp_path}/documents.parquet'"
+    )
+    result = queries()[name](spark, str(tmp_path)).toPandas()
+    assert (result["dataset_source"] == "texts_other").any()
+    assert differences(result, connect(str(tmp_path)).execute(oracle_sql()[name]).df()) is None
