@@ -10,6 +10,7 @@ task by definition; nothing larger than a conversation does.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,8 @@ class Template:
 
 
 DEFAULT = Template()
+# Code points per part of a string that is read at many places.
+PART = 4_096
 
 
 def escape(text: Column, template: Template = DEFAULT) -> Column:
@@ -58,6 +61,31 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, "\\\\(\\\\?)", "$1")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a ``value`` that is computed once, though it comes more than once or inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sums of the first one, two, three ... of an array of whole numbers.
+
+    Each round adds the sum that stands a power of two before, so n numbers take n log n steps; an ``aggregate``
+    that appends to an array copies it each time.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(31)])
+
+    def sums(given: Column) -> Column:
+        return F.aggregate(
+            F.filter(steps, lambda step: step < F.size(given)),
+            given,
+            lambda done, step: F.transform(
+                done, lambda value, at: value + F.coalesce(F.get(done, at - step), F.lit(0).cast("bigint"))
+            ),
+        )
+
+    return let(F.transform(numbers, lambda n: n.cast("bigint")), sums)
+
+
 def format_conversations(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -71,7 +99,8 @@ def format_conversations(
     ``spans`` holds ``start`` (from 0) and ``length`` in code points, one for each turn of
     a learnt role, the escaped text without any mark. Null text or role counts as empty. Turns
     of one number are ordered by role and text, and repeated rows are turns of their own. A null
-    conversation id is one conversation. Other columns are left aside.
+    conversation id is one conversation. Other columns are left aside, and an empty table gives an empty one. The work
+    grows with a conversation's length, but for a logarithm of its turns.
     """
     blank = F.lit("")
     said = turns.select(
@@ -113,34 +142,23 @@ def format_conversations(
     merged = sorted_turns.select(
         "conv_id", F.flatten(F.transform(F.array("_turns"), pieces)).alias("_pieces")
     )
-    span = "struct<start:bigint,length:bigint>"
-    spans = F.aggregate(
-        "_pieces",
-        F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast(f"array<{span}>").alias("spans")),
-        lambda done, p: F.struct(
-            (done["end"] + F.length(p["before"]) + F.length(p["text"]) + F.length(p["after"]))
-            .cast("bigint")
-            .alias("end"),
-            F.when(
-                p["learnt"],
-                F.concat(
-                    done["spans"],
-                    F.array(
-                        F.struct(
-                            (done["end"] + F.length(p["before"])).cast("bigint").alias("start"),
-                            F.length(p["text"]).cast("bigint").alias("length"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(done["spans"])
-            .alias("spans"),
-        ),
+    ends = running_sums(
+        F.transform("_pieces", lambda p: F.length(p["before"]) + F.length(p["text"]) + F.length(p["after"]))
+    )
+
+    def span(piece: Column, end: Column) -> Column:
+        length = F.length(piece["text"])
+        start = end - F.length(piece["after"]) - length
+        return F.struct(start.cast("bigint").alias("start"), length.cast("bigint").alias("length"))
+
+    spans = F.filter(
+        F.zip_with("_pieces", ends, lambda piece, end: F.when(piece["learnt"], span(piece, end))),
+        lambda one: one.isNotNull(),
     )
     joined = F.array_join(
         F.transform("_pieces", lambda p: F.concat(p["before"], p["text"], p["after"])), ""
     )
-    return merged.select("conv_id", joined.alias("formatted"), spans["spans"].alias("spans"))
+    return merged.select("conv_id", joined.alias("formatted"), spans.alias("spans"))
 
 
 def read_turns(formatted: Column, template: Template = DEFAULT) -> Column:
@@ -165,22 +183,37 @@ def read_turns(formatted: Column, template: Template = DEFAULT) -> Column:
             is_it = F.startswith(block, F.lit(opening))
             texts = F.when(is_it, body(block, F.lit(opening), closing)).otherwise(texts)
             role = F.when(is_it, F.lit(known)).otherwise(role)
-        return F.transform(texts, lambda text: F.struct(role.alias("role"), unescape(text).alias("text")))
+        # The role is read once per block, not once per text.
+        return let(
+            F.struct(role.alias("role"), texts.alias("texts")),
+            lambda read: F.transform(
+                read["texts"], lambda text: F.struct(read["role"].alias("role"), unescape(text).alias("text"))
+            ),
+        )
 
     return F.flatten(F.transform(blocks, turns))
 
 
 def learnt_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped and put together."""
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: unescape(
-                F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
-            ),
-        ),
-        "",
-    )
+    """All text under the loss mask, unescaped and put together.
+
+    The string is cut into parts first, since finding a code point means counting from the start.
+    """
+
+    def cut(parts: Column, span: Column) -> Column:
+        start, end = span["start"], span["start"] + span["length"]
+
+        def piece(k: Column) -> Column:
+            low, high = F.greatest(start - k * PART, F.lit(0)), F.least(end - k * PART, F.lit(PART))
+            return F.substr(F.get(parts, k.cast("int")), (low + 1).cast("int"), (high - low).cast("int"))
+
+        first, last = F.floor(start / PART), F.floor((end - 1) / PART)
+        return F.when(
+            span["length"] > 0, unescape(F.array_join(F.transform(F.sequence(first, last), piece), ""))
+        ).otherwise("")
+
+    parts = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+    return let(parts, lambda whole: F.array_join(F.transform(spans, lambda span: cut(whole, span)), ""))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
