@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmix.functions.frames import compute_once
-from corpusmix.llm.common import WORD_BREAK_CLASS
+from corpusmix.llm.common import WORD_BREAK_CLASS, fresh
 from corpusmix.session import materialize
 
 WINDOW_WORDS = 8
@@ -23,12 +23,14 @@ EVEN_EVIDENCE = 100
 SYMBOLS = "[#*$%&|<>]"
 RULES = ("short", "repetitive")
 
-# Windows whose hash another window has: their places in order, then the words they cover.
-_REPEATED = f"""
+
+def _repeated(windows: str) -> str:
+    """SQL for the windows whose hash another window has: their places in order, then the words they cover."""
+    return f"""
 aggregate(
   transform(
     array(sort_array(filter(flatten(transform(
-      array(sort_array(transform(_windows, (h, i) -> struct(h, i)))),
+      array(sort_array(transform(`{windows}`, (h, i) -> struct(h, i)))),
       s -> transform(s, (e, j) ->
         if(coalesce(get(s, j - 1).h = e.h, false) OR coalesce(get(s, j + 1).h = e.h, false), e.i, null))
     )), i -> i IS NOT NULL))),
@@ -43,35 +45,38 @@ aggregate(
 def with_rules(docs: DataFrame, text: str = "text", into: str = "_rules") -> DataFrame:
     """Add a struct of counts and failures of each text; the rows stay where they are.
 
-    Null text counts as empty. ``n_repeat_words`` counts the words in windows of eight
-    words that occur twice or more in the text.
+    A column called ``into`` is replaced, others of any name stay. Null text counts as empty. ``n_repeat_words``
+    counts the words in windows of eight words that occur twice or more in the text.
     """
+    words, lines, symbols, windows = (fresh(docs, name) for name in ("_words", "_lines", "_n_symbols", "_windows"))
     whole = F.coalesce(F.col(text), F.lit(""))
     split = compute_once(
         docs,
-        _words=F.array_remove(F.split(whole, f"{WORD_BREAK_CLASS}+"), ""),
-        _lines=F.filter(F.split(whole, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")),
-        _n_symbols=(F.size(F.split(whole, SYMBOLS)) - 1).cast("bigint"),
+        **{
+            words: F.array_remove(F.split(whole, f"{WORD_BREAK_CLASS}+"), ""),
+            lines: F.filter(F.split(whole, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")),
+            symbols: (F.size(F.split(whole, SYMBOLS)) - 1).cast("bigint"),
+        },
     )
-    starts = F.sequence(F.lit(1), F.size("_words") - (WINDOW_WORDS - 1))
-    windows = F.when(
-        F.size("_words") > WINDOW_WORDS,
-        F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, WINDOW_WORDS))),
+    starts = F.sequence(F.lit(1), F.size(words) - (WINDOW_WORDS - 1))
+    hashes = F.when(
+        F.size(words) > WINDOW_WORDS,
+        F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW_WORDS))),
     )
-    hashed = compute_once(split, _windows=windows)
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    hashed = compute_once(split, **{windows: hashes})
+    repeats = F.size(F.array_distinct(windows)) < F.size(windows)
     counted = compute_once(
         hashed,
         **{
             into: F.struct(
-                F.size("_words").cast("bigint").alias("n_words"),
-                F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
-                F.col("_n_symbols").alias("n_symbols"),
-                (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-                F.coalesce(F.when(repeats, F.expr(_REPEATED)), F.lit(0)).cast("bigint").alias("n_repeat_words"),
+                F.size(words).cast("bigint").alias("n_words"),
+                F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+                F.col(symbols).alias("n_symbols"),
+                (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+                F.coalesce(F.when(repeats, F.expr(_repeated(windows))), F.lit(0)).cast("bigint").alias("n_repeat_words"),
             )
         },
-    ).drop("_words", "_lines", "_windows", "_n_symbols")
+    ).drop(words, lines, windows, symbols)
     count = F.col(into)
     short = count["n_words"] < MIN_WORDS
     repetitive = 100 * count["n_repeat_words"] > MAX_REPEATED_PERCENT * count["n_words"]
@@ -139,22 +144,35 @@ def host_prior(hosts: DataFrame) -> tuple[float | None, float | None]:
     return mean, max(1 / rho - 1, 0.0)
 
 
-def judge_ruled(rows: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Rows that have ``_rules`` with a struct ``_verdict``: counts, failures, host rate, ``kept``.
+def judge_ruled(
+    rows: DataFrame,
+    host: str = "source",
+    max_rate: float = MAX_HOST_RATE,
+    rules: str = "_rules",
+    verdict: str = "_verdict",
+) -> DataFrame:
+    """Rows with a struct ``verdict`` in place of ``rules``: counts, failures, host rate, ``kept``.
 
+    A column called ``verdict`` is replaced, others of any name stay; repeated rows are judged one by one.
     The rows are written once, so the rules run once; the hosts' lines are a small table
     of their own. An empty table gives an empty one.
     """
     ruled = materialize(rows, "quality_rules")
-    hosts = materialize(host_verdicts(ruled, host, max_rate=max_rate), "quality_hosts").select(
-        F.col("host").alias("_host"), F.col("rate").alias("_rate"), F.col("host_kept").alias("_host_kept")
+    key, rate, good = (fresh(ruled, name) for name in ("_host", "_rate", "_host_kept"))
+    hosts = materialize(host_verdicts(ruled, host, rules, max_rate), "quality_hosts").select(
+        F.col("host").alias(key), F.col("rate").alias(rate), F.col("host_kept").alias(good)
     )
-    joined = ruled.join(hosts, F.col(host).eqNullSafe(F.col("_host")), "left")
-    kept = ~F.col("_rules")["base_failed"] & F.coalesce("_host_kept", F.lit(True))
-    verdict = F.struct("_rules.*", F.col("_rate").alias("host_rate"), kept.alias("kept"))
-    return joined.withColumn("_verdict", verdict).drop("_rules", "_host", "_rate", "_host_kept")
+    joined = ruled.join(hosts, F.col(host).eqNullSafe(F.col(key)), "left")
+    kept = ~F.col(rules)["base_failed"] & F.coalesce(good, F.lit(True))
+    judged = F.struct(f"{rules}.*", F.col(rate).alias("host_rate"), kept.alias("kept"))
+    return joined.withColumn(verdict, judged).drop(rules, key, rate, good)
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that pass the rules and whose host does."""
-    return judge_ruled(with_rules(docs), host).where(F.col("_verdict")["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that pass the rules and whose host does, with its columns, whatever their names.
+
+    Null and empty texts fail the rules. Repeated rows stay or go together; an empty table gives an empty one.
+    """
+    rules, verdict = fresh(docs, "_rules"), fresh(docs, "_verdict")
+    judged = judge_ruled(with_rules(docs, into=rules), host, rules=rules, verdict=verdict)
+    return judged.where(F.col(verdict)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
