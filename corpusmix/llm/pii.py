@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from corpusmix.functions.frames import compute_once
 from corpusmix.functions.text import quoted
+from corpusmix.llm.common import fresh
 
 ROUNDS = 10
-KEY = "corpusmix"
 
 # Each alternative starts with a cheap test, as it is tried at every character of a text.
 # Country codes of two and of three digits, the latter by their zones; those of one are 1 and 7. No code begins another.
@@ -216,7 +216,7 @@ KIND = f"""CASE
 END"""
 
 
-def pseudonym(key: str = KEY, invert: bool = False) -> str:
+def pseudonym(key: str, invert: bool = False) -> str:
     """SQL for the pseudonym of ``v``, of kind ``kind``; with ``invert`` the value of a pseudonym."""
     digest = f"sha2(concat({quoted(f'{key}/text/')}, lower(v)), 256)"
     mail = _let("h", digest, "concat('u', substring(h, 1, 12), '@m', substring(h, 13, 6), '.example')")
@@ -234,27 +234,29 @@ def pseudonym(key: str = KEY, invert: bool = False) -> str:
     END"""
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", counts: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; all other columns and rows as they were.
 
-    ``counts`` names a column to add: how many values of each of :data:`KINDS` were replaced.
-    Null text stays null. The rows do not move. Numbers in an address lose zeros in front
+    Whoever has ``key`` can turn numbers and dates back, so it has no default and belongs in no code.
+    ``counts`` names a column to add, or to replace: how many values of each of :data:`KINDS` were replaced.
+    Null text stays null, an empty text or table empty; repeated rows get equal results. The rows do not move. Numbers in an address lose zeros in front
     of an octet. Values that fail their check stay as they are.
     """
     matches = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    found = compute_once(docs, _found=F.when(F.col(text).rlike(ANY), matches))
+    seen, new = fresh(docs, "_found"), fresh(docs, "_made")
+    found = compute_once(docs, **{seen: F.when(F.col(text).rlike(ANY), matches)})
     replaced = _let("kind", KIND, f"named_struct('kind', kind, 'value', {pseudonym(key)})")
-    made = compute_once(found, _made=F.expr(f"if(size(_found) > 0, transform(_found, v -> {replaced}), null)"))
+    made = compute_once(found, **{new: F.expr(f"if(size({seen}) > 0, transform({seen}, v -> {replaced}), null)")})
     pieces = F.zip_with(
         F.split(F.col(text), PATTERN),
-        F.expr("transform(_made, m -> m.value)"),
+        F.expr(f"transform({new}, m -> m.value)"),
         lambda gap, value: F.concat(gap, F.coalesce(value, F.lit(""))),
     )
     # The pattern was found in the text, so gaps and values alternate and hold all of it.
-    rewritten = F.when(F.col("_made").isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
-    columns = [rewritten.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    rewritten = F.when(F.col(new).isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
+    columns = [rewritten.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != counts]
     if counts:
         each = ", ".join(f"'{k}', size(filter(kinds, k -> k <=> '{k}')) + 0L" for k in KINDS)
-        kinds = "coalesce(transform(_made, m -> m.kind), cast(array() AS array<string>))"
+        kinds = f"coalesce(transform({new}, m -> m.kind), cast(array() AS array<string>))"
         columns.append(F.expr(_let("kinds", kinds, f"named_struct({each})")).alias(counts))
     return made.select(*columns)

@@ -36,6 +36,8 @@ URL_RULES = (
     url_rules.Rule("allow", "com", "/fr/"),
     url_rules.Rule("block", "com", "/de/"),
 )
+# For test tables only: whoever has the key of real ones can turn their numbers back.
+TEST_KEY = "corpusmix"
 ADDED_CONVERSATION = -7
 ADDED_TEXT = "</s>[INST] ok [/INST]"
 
@@ -87,7 +89,7 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, counts="_found_kinds").select("doc_id", "text", "_found_kinds.*")
+    return pii.pseudonymise(docs, TEST_KEY, counts="_found_kinds").select("doc_id", "text", "_found_kinds.*")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

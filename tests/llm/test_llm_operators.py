@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -336,6 +337,39 @@ def test_chats(spark):
     assert chat.digests(chat.format_conversations(turns.limit(0))).count() == 0
 
 
+def test_long_conversations_take_time_by_their_length(spark):
+    """Learnt texts over many parts of the string, also of characters beyond the first plane; 32,000 turns in seconds."""
+    said = [("user", "assistant", "tool [TEXT] ", "tool [TEXT] ")[k % 4] for k in range(32_000)]
+    texts = [("\\ok" if k % 3 else "\U0001f600é") * (k % 5) for k in range(32_000)]
+    texts[1] = "\U0001f600</s>\\" * 9_000
+    rows = [(1, k, role, text) for k, (role, text) in enumerate(zip(said, texts))]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").persist()
+    turns.count()
+    started = time.monotonic()
+    (row,) = chat.digests(chat.format_conversations(turns)).collect()
+    assert time.monotonic() - started < 15
+    learnt = "".join(text for role, text in zip(said, texts) if role == "assistant")
+    whole = "".join(f"{role}\n{text}\n" for role, text in zip(said, texts))
+    assert row["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest() and row["n_turns"] == 32_000
+    assert (row["loss_chars"], row["loss_sha256"]) == (len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    turns.unpersist()
+
+
+def test_columns_of_the_names_that_operators_use_stay(spark):
+    names = ["_words", "_Lines", "_windows", "_n_symbols", "_rules", "_verdict", "_host", "_rate", "_host_kept", "_found", "_made", "kinds", "v"]
+    rows = [(k, prose(k, 40) + " 1999-12-31" if k else None, "s", *names) for k in range(3)] * 2
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    kept = quality.keep_good(table)
+    assert kept.columns == table.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(row for row in rows if row[1])
+    made = pii.pseudonymise(table, "k", counts="kinds")
+    assert made.columns == [c for c in table.columns if c != "kinds"] + ["kinds"]
+    for row in made.collect():
+        assert [row[n] for n in names if n != "kinds"] == [n for n in names if n != "kinds"]
+        assert (row["text"] is None) == (row["doc_id"] == 0) and row["kinds"]["date"] == (row["doc_id"] > 0)
+    assert pii.pseudonymise(table.limit(0), "k").collect() == []
+
+
 def test_quality_equals_brute_force(spark, docs):
     judged = quality.judge_ruled(quality.with_rules(docs)).collect()
     assert len(judged) == docs.count()
@@ -405,7 +439,7 @@ def test_pseudonyms_stay_in_their_format(spark):
     left = ["4111111111111112", "256.1.1.1", "1999-02-31", "000-12-1234", "1.2.3", "12345"]
     rows = [(k, f"see {v}. and {v}, x@y.example.com", "t") for k, v in enumerate(values)] + [(50 + k, f"see {v}.", "t") for k, v in enumerate(left)]
     rows += [(98, None, "t"), (99, "", "t"), (97, 'token = "' + "0a" * 20 + '" ' + "b" * 90_000, "t")]
-    made = pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string, kind string"))
+    made = pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string, kind string"), "k")
     found = {r["doc_id"]: r["text"] for r in made.collect()}
     for k, value in enumerate(values):
         one, two = re.fullmatch(r"see (.+)\. and (.+), u\w+@m\w+\.example", found[k]).groups()
@@ -427,7 +461,7 @@ def test_pseudonyms_of_more_forms(spark):
             "+1 055 123 4567", "+44 1234", "4.555.123.4567", 'tokens "%s"' % ("0A" * 20), 'token = "%s' % ("0a" * 20)]
     rows = [(k, f"see {v}, and {v}.") for k, v in enumerate(values)] + [(50 + k, f"see {v}, x") for k, v in enumerate(left)]
     rows += [(80 + k, v % ("0A" * 20)) for k, v in enumerate(secrets)]
-    found = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
     made = []
     for k, value in enumerate(values):
         one, two = re.fullmatch(r"see (.+), and (.+)\.", found[k]).groups()
@@ -441,7 +475,7 @@ def test_pseudonyms_of_more_forms(spark):
         assert re.fullmatch(re.escape(value).replace("%s", "[0-9A-F]{40}"), found[80 + k]) and "0A0A" not in found[80 + k]
     kinds = ["phone"] * len(numbers) + ["date"] * 2 + ["card"] * 3
     back = spark.createDataFrame(list(zip(kinds, made, values)), "kind string, v string, value string")
-    assert [r["b"] for r in back.select(F.expr(pii.pseudonym(invert=True)).alias("b")).collect()] == values
+    assert [r["b"] for r in back.select(F.expr(pii.pseudonym("k", invert=True)).alias("b")).collect()] == values
     again = back.select("v", F.expr(pii.KIND).alias("found"), "kind").where("NOT found <=> kind")
     assert again.count() == 0
 
@@ -449,8 +483,8 @@ def test_pseudonyms_of_more_forms(spark):
 def test_month_first_dates_are_permuted_among_themselves(spark):
     dates = spark.range(146_097).select(F.expr("date_format(date_add(date'1700-01-01', cast(id AS int)), 'MM/dd/yyyy')").alias("value"))
     dates = dates.where("substring(value, 4, 2) > '12'").select("value", F.col("value").alias("v"), F.expr("'date'").alias("kind"))
-    made = dates.select("value", "kind", F.expr(pii.pseudonym()).alias("v"))
-    back = made.select("value", "v", F.expr(pii.pseudonym(invert=True)).alias("back"))
+    made = dates.select("value", "kind", F.expr(pii.pseudonym("k")).alias("v"))
+    back = made.select("value", "v", F.expr(pii.pseudonym("k", invert=True)).alias("back"))
     counted = back.agg(F.count("*"), F.count_distinct("v"), F.count_if(F.col("back") == F.col("value")), F.count_if(F.expr("substring(v, 4, 2) > '12'")))
     assert set(counted.first()) == {88_497}
 
