@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmix.llm import bpe, decontaminate, minhash, pii, quality
 from corpusmix.llm.common import table
-from corpusmix.llm.queries import tokenizer_path
+from corpusmix.llm.queries import TEST_KEY, tokenizer_path
 from corpusmix.session import materialize
 
 
@@ -27,8 +27,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data under pseudonyms; ``n_chars`` follows the new text."""
-    made = pii.pseudonymise(docs)
+    """Documents with personal data under pseudonyms; ``n_chars`` follows the new text.
+
+    The key comes from the setting ``spark.corpusmix.pii.key``; without one, as in tests, it is that of the queries.
+    """
+    made = pii.pseudonymise(docs, spark.conf.get("spark.corpusmix.pii.key", TEST_KEY))
     length = F.length("text").cast(made.schema["n_chars"].dataType)
     return made.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
 
