@@ -5,6 +5,9 @@ q-grams or more, and all of them lie within ``k`` diagonals (position in the doc
 position in the item). So hits of item q-grams are counted in overlapping diagonal bands,
 only places in a band with enough hits near each other are kept, and these are
 confirmed by an alignment inside the band. A document is read once, as an array.
+
+Neighbouring hits of one diagonal are held as one stretch, of which only the ends are looked up, so a line of
+thousands of equal characters costs one stretch per diagonal and not every pair of its places.
 """
 
 from __future__ import annotations
@@ -22,12 +25,15 @@ from corpusmix.llm.common import map_batches
 Q = 10
 WINDOWS = (100, 50)
 EDIT_SHARE = 0.06
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
 HIT_SCHEMA = (
     "doc_id bigint, item_id bigint, region_start long, region_end long, "
     "item_start long, item_end long, shared_qgrams long, edits long"
 )
+# Bits of a code point plus one; no character, in an item or in a document, differs from all and from each other.
+_CODE_BITS = 22
+_NO_ITEM, _NO_DOC = 0, (1 << _CODE_BITS) - 1
 _U = np.uint64
 _FACTOR = _U(0x9E3779B97F4A7C15)
 _POWERS = {k: _U(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4, 8)}
@@ -77,55 +83,114 @@ def budgets(length: int) -> list[tuple[int, int, int]]:
 
 @dataclass
 class Index:
-    """The q-grams of a block of items, sorted, with where they lie."""
+    """The q-grams of a block of items with the characters beside them, sorted, and where they lie."""
 
     item_ids: list[int | None]
     codes: list[np.ndarray]
+    needed: np.ndarray
+    short: dict[str, list[int]]
+    whole: np.ndarray
+    owner: np.ndarray
+    offset: np.ndarray
     grams: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
     first: np.ndarray
-    needed: np.ndarray
+    before: tuple[np.ndarray, np.ndarray]
+    after: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
     def build(items: list[tuple[int | None, str]]) -> Index:
-        ids, codes, grams, owner, place = [], [], [], [], []
+        ids, codes, short, grams, places, marks = [], [], {}, [], [], ([], [])
+        offset = 0
         for item_id, text in sorted(items, key=lambda i: (i[0] is not None, i[0] or 0, i[1])):
-            one = _codes(normal(text))
-            found = _grams(one)
-            if not len(found):
+            plain = normal(text)
+            if not plain:
                 continue
-            owner.append(np.full(len(found), len(ids)))
-            place.append(np.arange(len(found)))
-            grams.append(found)
+            one = _codes(plain)
+            found = _grams(one)
+            if len(found):
+                grams.append(found)
+                places.append(np.arange(offset, offset + len(found), dtype=np.int32))
+                for out, beside in zip(marks, _beside(one, np.arange(len(found)), _NO_ITEM)):
+                    out.append(beside)
+            else:
+                short.setdefault(plain, []).append(len(ids))
             ids.append(item_id)
             codes.append(one)
-        everything = np.concatenate(grams) if grams else np.zeros(0, _U)
-        order = np.argsort(everything, kind="stable")
-        where = np.concatenate(owner)[order] if grams else np.zeros(0, np.int64)
-        at = np.concatenate(place)[order] if grams else np.zeros(0, np.int64)
+            offset += len(one)
+        lengths = [len(one) for one in codes]
+        known, number = np.unique(np.concatenate(grams) if grams else np.zeros(0, _U), return_inverse=True)
         first = np.zeros(1 << FILTER_BITS, dtype=bool)
-        first[Index.slot(everything)] = True
-        needed = np.array([min(b[2] for b in budgets(len(one))) for one in codes], np.int64)
-        return Index(ids, codes, everything[order], where, at, first, needed)
+        first[Index.slot(known)] = True
+        place = np.concatenate(places) if places else np.zeros(0, np.int32)
+        ordered = []
+        for side in marks:
+            keys = (number << _CODE_BITS) | (np.concatenate(side) if side else np.zeros(0, np.int64))
+            order = np.argsort(keys, kind="stable")
+            ordered.append((keys[order], place[order]))
+        return Index(
+            ids,
+            codes,
+            np.array([min(b[2] for b in budgets(size)) for size in lengths], np.int64),
+            short,
+            np.concatenate(codes) if codes else np.zeros(0, "<u4"),
+            np.repeat(np.arange(len(codes), dtype=np.int32), lengths),
+            np.cumsum([0, *lengths])[:-1],
+            known,
+            first,
+            *ordered,
+        )
 
     @staticmethod
     def slot(grams: np.ndarray) -> np.ndarray:
         return ((grams * _FACTOR) >> _U(64 - FILTER_BITS)).astype(np.int64)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All equal q-grams: item, place in the item, place in the document."""
+    def stretches(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All equal q-grams, neighbours of a diagonal together: item, diagonal, first and last place in the document.
+
+        They are sorted by these. A hit begins a stretch if the characters before it differ, and ends one if those
+        behind it do, so beginnings and ends of a diagonal take turns.
+        """
         grams = _grams(codes)
-        maybe = np.flatnonzero(self.first[self.slot(grams)])
-        wanted = grams[maybe]
-        low = np.searchsorted(self.grams, wanted, "left")
-        count = np.searchsorted(self.grams, wanted, "right") - low
-        total = int(count.sum())
-        if not total:
-            return (np.zeros(0, np.int64),) * 3
-        start = np.cumsum(count) - count
-        entry = np.arange(total) - np.repeat(start, count) + np.repeat(low, count)
-        return self.item[entry], self.place[entry], np.repeat(maybe, count)
+        at = np.flatnonzero(self.first[self.slot(grams)])
+        number = np.searchsorted(self.grams, grams[at])
+        if len(at):
+            is_one = self.grams[np.minimum(number, len(self.grams) - 1)] == grams[at]
+            at, number = at[is_one], number[is_one]
+        if not len(at):
+            return (np.zeros(0, np.int64),) * 4
+        ends = []
+        for entries, beside in zip((self.before, self.after), _beside(codes, at, _NO_DOC)):
+            place, here = self._unlike(entries, number, beside, at, codes)
+            item = self.owner[place].astype(np.int64)
+            diagonal = here - (place - self.offset[item])
+            order = np.lexsort((here, diagonal, item))
+            ends.append((item[order], diagonal[order], here[order]))
+        (item, diagonal, start), (_, _, end) = ends
+        return item, diagonal, start, end
+
+    def _unlike(
+        self, entries: tuple[np.ndarray, np.ndarray], number: np.ndarray, beside: np.ndarray, at: np.ndarray, codes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the items and in the document of equal q-grams with unequal characters beside them."""
+        keys, places = entries
+        own = (number << _CODE_BITS) | beside
+        low = np.concatenate([np.searchsorted(keys, number << _CODE_BITS), np.searchsorted(keys, own, "right")])
+        high = np.concatenate([np.searchsorted(keys, own), np.searchsorted(keys, (number + 1) << _CODE_BITS)])
+        count = high - low
+        begin = np.cumsum(count) - count
+        place = places[np.arange(int(count.sum())) - np.repeat(begin, count) + np.repeat(low, count)].astype(np.int64)
+        here = np.repeat(np.concatenate([at, at]), count)
+        same = np.ones(len(place), bool)
+        for k in range(Q):  # equal numbers of different q-grams are very rare, but would part beginnings from ends
+            same &= self.whole[place + k] == codes[here + k]
+        return place[same], here[same]
+
+
+def _beside(codes: np.ndarray, at: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The characters before and behind the q-grams at some places, counted from 1, or ``none``."""
+    before = np.where(at > 0, codes[np.maximum(at - 1, 0)].astype(np.int64) + 1, none)
+    after = np.where(at + Q < len(codes), codes[np.minimum(at + Q, len(codes) - 1)].astype(np.int64) + 1, none)
+    return before, after
 
 
 def aligned_edits(item: np.ndarray, doc: np.ndarray, low: int, high: int) -> int:
@@ -134,6 +199,9 @@ def aligned_edits(item: np.ndarray, doc: np.ndarray, low: int, high: int) -> int
     Row i of the band holds the ends i + low to i + high in the document; a part may
     start and end anywhere in it.
     """
+    for start in range(max(low, 0), min(high, len(doc) - len(item)) + 1):
+        if np.array_equal(item, doc[start : start + len(item)]):
+            return 0
     width = high - low + 1
     steps = np.arange(width)
     worst = len(item) + width + 1
@@ -174,31 +242,69 @@ def _confirmed_window(
     return None
 
 
-def _dense_runs(places: np.ndarray, needed: int, span: int) -> Iterator[slice]:
-    """Maximal runs of sorted places in which every ``needed`` neighbours lie within ``span``."""
-    reach = places[needed - 1 :] - places[: len(places) - needed + 1]
-    dense = np.flatnonzero(reach <= span)
+def _dense_runs(first: np.ndarray, last: np.ndarray, needed: int, span: int) -> Iterator[tuple[int, int, int]]:
+    """Maximal runs of hits in which every ``needed`` neighbours lie within ``span``: hits, first and last place.
+
+    The hits are those of stretches from ``first`` to ``last``; several may have one place.
+    """
+    sizes = last - first + 1
+    total, low = int(sizes.sum()), int(first.min())
+    if total <= int(last.max()) - low:
+        begin = np.cumsum(sizes) - sizes
+        places, times = np.unique(np.arange(total) - np.repeat(begin, sizes) + np.repeat(first, sizes), return_counts=True)
+    else:
+        change = np.bincount(first - low, minlength=int(last.max()) - low + 2)
+        change[: int(last.max()) - low + 2] -= np.bincount(last - low + 1, minlength=len(change))
+        every = np.cumsum(change)
+        places = np.flatnonzero(every)
+        times = every[places]
+        places = places + low
+    # Hits by their number in order of place: those of one place, and the last that begins a dense part there.
+    done = np.cumsum(times)
+    start = done - times
+    within = done[np.searchsorted(places, places + span, "right") - 1]
+    stop = np.minimum(done - 1, within - needed)
+    dense = np.flatnonzero(stop >= start)
     if len(dense):
-        for run in np.split(dense, np.flatnonzero(np.diff(dense) > needed) + 1):
-            yield slice(int(run[0]), int(run[-1]) + needed)
+        for run in np.split(dense, np.flatnonzero(start[dense[1:]] - stop[dense[:-1]] > needed) + 1):
+            lo, hi = int(start[run[0]]), int(stop[run[-1]]) + needed
+            yield hi - lo, int(places[run[0]]), int(places[np.searchsorted(done, hi - 1, "right")])
+
+
+def passages(index: Index, text: str) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """Confirmed regions of one text in normal form: item, its region, the item's part, q-grams, edits.
+
+    Items too short for a q-gram are found where they stand as they are, with no letter or digit right beside a
+    letter or digit of theirs.
+    """
+    yield from leaks(index, _codes(text))
+    if not index.short:
+        return
+    sizes = sorted({len(phrase) for phrase in index.short})
+    apart = [k for k in range(len(text) + 1) if k in (0, len(text)) or not (text[k - 1].isalnum() and text[k].isalnum())]
+    edges = set(apart)
+    for start in apart:
+        for size in sizes:
+            if start + size in edges:
+                for which in index.short.get(text[start : start + size], ()):
+                    yield which, start, start + size, 0, size, 0, 0
 
 
 def leaks(index: Index, codes: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int]]:
-    """Confirmed regions of one document: item, its region, the item's part, q-grams, edits.
+    """The regions that q-grams find.
 
     Overlapping bands see a region twice, so the places with most hits are confirmed first
     and others that overlap a confirmed one are left. Longer windows come before shorter ones.
     """
-    item, place, at = index.hits(codes)
+    item, diagonal, first, last = index.stretches(codes)
     if not len(item):
         return
-    diagonal = at - place
-    counts = np.bincount(item, minlength=len(index.codes))
-    for which in np.flatnonzero(counts >= index.needed).tolist():
-        mine = item == which
-        taken: list[tuple[int, int]] = []
+    counts = np.bincount(item, last - first + 1, len(index.codes))
+    for which in np.flatnonzero(counts >= np.maximum(index.needed, 1)).tolist():
+        lo, hi = np.searchsorted(item, [which, which + 1])
+        taken = np.zeros(len(codes), bool)
         for allowed in budgets(len(index.codes[which])):
-            found = _found(index.codes[which], codes, diagonal[mine], place[mine], at[mine], allowed, taken)
+            found = _found(index.codes[which], codes, diagonal[lo:hi], first[lo:hi], last[lo:hi], allowed, taken)
             for region, sure, shared in found:
                 yield which, *region, sure[0], sure[1], shared, sure[2]
 
@@ -207,14 +313,14 @@ def _found(
     item: np.ndarray,
     doc: np.ndarray,
     d: np.ndarray,
-    p: np.ndarray,
-    a: np.ndarray,
+    first: np.ndarray,
+    last: np.ndarray,
     allowed: tuple[int, int, int],
-    taken: list[tuple[int, int]],
+    taken: np.ndarray,
 ) -> Iterator[tuple[tuple[int, int], tuple[int, int, int], int]]:
-    """Regions that meet one budget and overlap none of ``taken``, which they are added to.
+    """Regions that meet one budget and overlap no place marked in ``taken``, where they are marked.
 
-    ``d, p, a`` are the hits of one item: diagonal, place in the item and in the document.
+    ``d, first, last`` are the stretches of one item: diagonal, first and last place in the document.
     """
     window, edits, needed = allowed
     width = 2 * edits + 1
@@ -222,24 +328,32 @@ def _found(
     # Bands overlap by the edits: a hit near the lower end also counts for the band below.
     near = (d - band * width) < edits
     band = np.concatenate([band, band[near] - 1])
-    p, a = np.concatenate([p, p[near]]), np.concatenate([a, a[near]])
-    order = np.lexsort((a, band))
-    band, p, a = band[order], p[order], a[order]
-    cuts = [0, *(np.flatnonzero(np.diff(band)) + 1).tolist(), len(band)]
+    d, first, last = (np.concatenate([x, x[near]]) for x in (d, first, last))
+    order = np.argsort(band, kind="stable")
+    band, d, first, last = band[order], d[order], first[order], last[order]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(band)) + 1, [len(band)]])
+    hits = np.add.reduceat(last - first + 1, cuts[:-1])
+    # Of a band whose places are all taken, no region can come.
+    places = np.concatenate([[0], np.cumsum(~taken)])
+    free = places[np.maximum.reduceat(last, cuts[:-1]) + Q] > places[np.minimum.reduceat(first, cuts[:-1])]
     runs = []
-    for lo, hi in zip(cuts, cuts[1:]):
-        if hi - lo >= needed:
-            for run in _dense_runs(a[lo:hi], needed, window + edits - Q):
-                runs.append((lo + run.start, lo + run.stop))
-    for lo, hi in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
-        region = (int(a[lo]), int(a[hi - 1]) + Q)
-        if any(region[0] < e and region[1] > s for s, e in taken):
+    for k in np.flatnonzero((hits >= needed) & free).tolist():
+        part = slice(int(cuts[k]), int(cuts[k + 1]))
+        for size, start, end in _dense_runs(first[part], last[part], needed, window + edits - Q):
+            runs.append((size, start, end, part))
+    for size, start, end, part in sorted(runs, key=lambda run: -run[0]):
+        region = (start, end + Q)
+        if taken[start : end + Q].any():
             continue
-        low = int(band[lo]) * width
-        sure = _confirmed_window(item, doc, np.unique(p[lo:hi]), low - edits, low + width + 2 * edits, allowed)
+        low = int(band[part.start]) * width
+        mine = (first[part] <= end) & (last[part] >= start)
+        marked = np.zeros(len(item), bool)
+        for diagonal, a, b in zip(d[part][mine].tolist(), first[part][mine].tolist(), last[part][mine].tolist()):
+            marked[max(a, start) - diagonal : min(b, end) - diagonal + 1] = True
+        sure = _confirmed_window(item, doc, np.flatnonzero(marked), low - edits, low + width + 2 * edits, allowed)
         if sure:
-            taken.append(region)
-            yield region, sure, hi - lo
+            taken[start : end + Q] = True
+            yield region, sure, size
 
 
 def _search(index):
@@ -249,7 +363,7 @@ def _search(index):
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for which, *rest in leaks(block, _codes(normal(text.as_py()))):
+                for which, *rest in passages(block, normal(text.as_py())):
                     out.append((doc_id, block.item_ids[which], *rest))
             columns = list(zip(*out)) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
@@ -266,7 +380,7 @@ def _mark(index, at: int):
         for batch in batches:
             lists = batch.column(batch.num_columns - 1).to_pylist()
             for found, text in zip(lists, batch.column(at)):
-                for which, start, _, first, last, *_ in leaks(block, _codes(normal(text.as_py()))):
+                for which, start, _, first, last, *_ in passages(block, normal(text.as_py())):
                     found.append({"bare": last - first < 2 * Q, "item": block.item_ids[which], "place": start})
             columns = [*batch.columns[:-1], pa.array(lists, kind)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
@@ -276,7 +390,7 @@ def _mark(index, at: int):
 
 def _indexes(spark: SparkSession, benchmark: DataFrame) -> Iterator:
     """The benchmark in blocks of at most ``BLOCK_CHARS`` characters (or a longer single item), for all tasks."""
-    items = benchmark.where(F.length("text") >= Q).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(size // BLOCK_CHARS) + 1
     for k in range(blocks):
@@ -292,8 +406,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``. Places count
     characters of the texts in lower case with single blanks. A passage is a window of 100
     characters or one of 50 (or the whole of a shorter item) with at most 6 % edits. Null and empty texts
-    have none; items of fewer than ten characters have no q-gram and are never found.
-    Repeated rows give repeated results. Null ids of either side are kept in the result.
+    have none; items of fewer than ten characters have no q-gram and are found as they are, as whole words.
+    Repeated rows give repeated results. Null ids of either side are kept in the result. Other columns are left
+    aside; an empty table or benchmark gives an empty result. Long texts are read whole.
 
     The benchmark is the stated set of queries: it is cut into blocks, and the documents are read once per block.
     """

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -305,6 +306,63 @@ def test_benchmark_rows_without_ids(spark):
     assert [r["doc_id"] for r in decontaminate.without_leaks(table, bench).collect()] == [3]
 
 
+def every_hit(items, text):
+    """All equal q-grams of items and a text, pair by pair: item, place in the document, diagonal."""
+    q = decontaminate.Q
+    return {(k, a, a - p) for k, item in enumerate(items) for p in range(len(item) - q + 1) for a in range(len(text) - q + 1) if item[p : p + q] == text[a : a + q]}
+
+
+def windows_by_brute_force(items, text):
+    """Items that have a window which shares enough q-grams with a part of the text, in a band of diagonals, and has few edits."""
+    hits = every_hit(items, text)
+    out = set()
+    for k, item in enumerate(items):
+        for window, edits, needed in decontaminate.budgets(len(item)):
+            for p in range(len(item) - window + 1):
+                inside = [d for i, a, d in hits if i == k and p <= a - d <= p + window - decontaminate.Q]
+                for low in sorted(set(inside)):
+                    if k not in out and sum(low <= d <= low + edits for d in inside) >= needed:
+                        part = decontaminate._codes(item[p : p + window])
+                        if decontaminate.aligned_edits(part, decontaminate._codes(text), low + p - edits, low + p + 2 * edits) <= edits:
+                            out.add(k)
+    return out
+
+
+def test_stretches_hold_every_hit_and_find_what_brute_force_finds():
+    rng = random.Random(12)
+    for _ in range(15):
+        letters = rng.choice(["ab", "abc", "abcdefghij"])
+        items = ["".join(rng.choice(letters) for _ in range(rng.randint(10, 70))) for _ in range(3)] + ["xy" * 20]
+        parts = [rng.choice(items) if rng.random() < 0.6 else "".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 4))]
+        text = list("q".join(parts))
+        for _ in range(rng.randint(0, 4)):
+            text[rng.randrange(len(text))] = rng.choice(["", "z", "a"])
+        text = "".join(text)
+        index = decontaminate.Index.build(list(enumerate(items)))
+        found = [(i, a, d) for i, d, s, e in zip(*map(np.ndarray.tolist, index.stretches(decontaminate._codes(text)))) for a in range(s, e + 1)]
+        assert len(found) == len(set(found)) and set(found) == every_hit(items, text)
+        assert {region[0] for region in decontaminate.passages(index, text)} == windows_by_brute_force(items, text)
+
+
+def test_long_lines_of_one_character_take_little():
+    index = decontaminate.Index.build([(1, "=" * 5_000), (2, "=-" * 2_000)])
+    tracemalloc.start()
+    started = time.monotonic()
+    found = list(decontaminate.passages(index, "=" * 20_000 + "x" + "-=" * 3_000))
+    assert time.monotonic() - started < 5 and tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+    assert {region[0] for region in found} == {0, 1}
+    assert sum(end - start for which, start, end, *_ in found if which == 0) >= 20_000 - 50
+
+
+def test_items_too_short_for_q_grams(spark):
+    bench = spark.createDataFrame([(1, "a + b"), (2, " Yes\n"), (3, "yes"), (4, " \n"), (None, "no")], "item_id bigint, text string")
+    texts = {1: "if A  + B, then", 2: "yesterday eyes", 3: "(YES) and yes", 4: "ca + b", 5: None, 6: "", 7: "a + b: yes", 8: "know no"}
+    table = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"] or 0, r["region_start"]) for r in decontaminate.find_leaks(table, bench).collect())
+    assert found == [(1, 1, 3), (3, 2, 1), (3, 2, 10), (3, 3, 1), (3, 3, 10), (7, 1, 0), (7, 2, 7), (7, 3, 7), (8, 0, 5)]
+
+
 def test_alignment_is_edit_distance():
     rng = random.Random(4)
     for _ in range(60):
