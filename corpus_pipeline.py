@@ -49,8 +49,7 @@ STAGES = [
     ("bpe", bpe_round_trip),
 ]
 
-# Byte-pair encoding and alignment with edits are not for SQL. Tests compare the operators one by one with brute
-# force or the library; none calls run() or compares the pipeline's rows yet.
+# Byte-pair encoding and alignment with edits are not for SQL; tests hold run() against plain Python of all stages.
 ORACLE_SQL = None
 
 
