@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import FLAT, rows
 from corpusmix.functions import fixed_values as fixed
 from corpusmix.functions.frames import compute_once
-from corpusmix.functions.tokens import TOKEN, BatchTokenizer, PatternTokenizer
+from corpusmix.functions.tokens import BATCH_CHARS, TOKEN, BatchTokenizer, PatternTokenizer
 from corpusmix.operators import budget
 from corpusmix.operators.prompts import TRANSLATION_TEMPLATE
 
@@ -113,3 +113,24 @@ def test_measured_text(spark):
         "model\n{target}", "model\n"
     )
     assert budget.total_lengths(df).first()["total_tokens"] == len(PATTERN.findall(text))
+
+
+class Bounded(Words):
+    """A tokenizer that is given no more than a part of a large Arrow batch at once."""
+
+    def __init__(self):
+        pass
+
+    def encode_batch(self, texts):
+        assert len(texts) <= 1_000 and sum(map(len, texts)) < 2 * BATCH_CHARS
+        return super().encode_batch(texts)
+
+
+def test_a_large_batch_reaches_the_tokenizer_in_parts(spark):
+    df = spark.range(0, 3_000, 1, 1).select(
+        F.when(F.col("id") % 11 > 0, F.expr("repeat('ab 7 ', cast(id % 200 as int))")).alias("v"), (F.col("id") % 9).cast("int").alias("n")
+    )
+    found = df.select("*", BatchTokenizer(Bounded).count(F.col("v")).alias("c"), BatchTokenizer(Bounded).cut(F.col("v"), F.col("n")).alias("t"))
+    for row in found.collect():
+        tokens = PATTERN.findall(row["v"] or "")
+        assert (row["c"], row["t"]) == (len(tokens), "".join(tokens[: row["n"]]).strip())
