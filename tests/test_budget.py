@@ -134,3 +134,19 @@ def test_a_large_batch_reaches_the_tokenizer_in_parts(spark):
     for row in found.collect():
         tokens = PATTERN.findall(row["v"] or "")
         assert (row["c"], row["t"]) == (len(tokens), "".join(tokens[: row["n"]]).strip())
+
+
+def test_native_counts_and_cuts_of_odd_texts(spark):
+    odd = ["<", "<<bos>", "<bos", " <bos>x", "a<eos>\n", "4ab", "  ", " \t ", "x \x0b", "ª1²é", "\x1c\x85", "𝒳y😀", "<start_of_turn<eos>>", "<bos> <eos> b", ""]
+    values = odd + [" ".join(pair) for pair in zip(odd, odd[1:])]
+    df = spark.createDataFrame([(v, n) for v in values for n in range(6)], "v string, n int")
+    native = PatternTokenizer()
+    for row in df.select("*", native.count(F.col("v")).alias("c"), native.cut(F.col("v"), F.col("n")).alias("t")).collect():
+        tokens = PATTERN.findall(row["v"])
+        assert (row["c"], row["t"]) == (len(tokens), Words.decode(None, tokens[: row["n"]]).strip())
+
+
+def test_tokens_are_neither_kept_nor_looked_at_one_by_one(spark):
+    df, native = spark.createDataFrame([("a b", 1)], "v string, n int"), PatternTokenizer()
+    plan = df.select(native.count(F.col("v")), native.cut(F.col("v"), F.col("n")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array_join" not in plan and "), 1)" in plan
