@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import catalog
 from corpusmix import session
@@ -38,3 +39,9 @@ def test_packages_are_shipped_once(spark):
     before = len(spark.sparkContext.listFiles)
     session.ship_packages(spark, catalog)
     assert len(spark.sparkContext.listFiles) == before
+
+
+def test_stages_of_a_build_are_written_with_zstd(spark):
+    written, counts = session.materialize_counted(spark.range(5), "stage", rows=F.count("*"))
+    assert counts == {"rows": 5}
+    assert written.inputFiles() and all(name.endswith(".zstd.parquet") for name in written.inputFiles())
