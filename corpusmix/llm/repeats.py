@@ -215,21 +215,40 @@ def _split(batches: Iterator[pa.RecordBatch], core: int) -> Iterator[pa.RecordBa
         yield _piece_batch(zip(*(column.to_pylist() for column in batch.columns)), core)
 
 
-def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def suffix_array(
+    parts: list[bytes], at: list[int] | None = None, cores: list[int] | None = None, size: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, length and common prefix (255 at most) with the one before, of all suffixes in order.
 
     Built column by column: at the start there is an empty suffix of each part, in order. A round
     puts in front of every suffix the symbol that stands there; suffixes with one symbol in
     front keep their order, and their common prefix is one more than the least between them.
+
+    ``cores`` numbers the ``size`` bytes that lie in each part at ``at``, equal bytes with equal numbers. They are
+    one symbol then, which stands behind all bytes and is ``size`` long, so there are as many rounds
+    as bytes beside them; suffixes that start inside them are left out.
     """
-    stride = max(map(len, parts), default=0) + 1
-    codes = np.zeros((len(parts), stride), dtype=np.uint16)
-    for k, part in enumerate(parts):  # right-aligned, column 0 is the last symbol
-        codes[k, : len(part)] = np.frombuffer(part, np.uint8)[::-1].astype(np.uint16) + 1
-    used, small = np.unique(codes, return_inverse=True)
-    if len(used) <= 256:
-        codes = small.astype(np.uint8)  # sorted by counting
-    codes = codes.reshape(-1)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    symbols = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1
+    past = np.cumsum(lengths)
+    behind = lengths.copy()  # symbols after the core
+    if cores is not None:
+        first = past - lengths + np.array(at, np.int64)
+        behind = past - first - size
+        symbols[first] = np.array(cores, np.int64) + 257
+        inside = np.zeros(len(symbols) + 1, np.int64)
+        inside[first + 1] += 1
+        inside[first + size] -= 1
+        symbols = symbols[np.cumsum(inside[:-1]) == 0]
+        lengths = lengths - (size - 1)
+        past = np.cumsum(lengths)
+    used, small = np.unique(symbols, return_inverse=True)
+    weights = np.concatenate([[0], np.where(used > 256, size, 1)]).astype(np.uint8)
+    stride = int(lengths.max(initial=0)) + 1
+    kind = np.uint8 if len(used) < 256 else np.uint16 if len(used) < 1 << 16 else np.int64  # the first two are sorted by counting
+    codes = np.zeros(len(parts) * stride, kind)  # right-aligned, column 0 is the last symbol
+    owner = np.repeat(np.arange(len(parts)), lengths)
+    codes[owner * stride + past[owner] - 1 - np.arange(len(symbols))] = small.reshape(-1) + 1
     ends = (np.arange(len(parts)) * stride).astype(np.int32)
     nothing = np.zeros(len(parts), np.uint8)
     place, common = ends, nothing  # where the symbol in front of each suffix is
@@ -245,35 +264,40 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         starts_symbol = np.concatenate([[True], symbols[1:] != symbols[:-1]])
         edges[0::2][starts_symbol] = order[starts_symbol]
         least = np.minimum.reduceat(np.append(common, np.uint8(0)), edges)[0::2]
-        shared = np.where(starts_symbol, 0, np.minimum(least, 254) + 1).astype(np.uint8)
+        weight = weights[symbols]
+        shared = np.where(starts_symbol, 0, np.minimum(least, 255 - weight) + weight).astype(np.uint8)
         place = np.concatenate([ends, place[order] + 1])
         common = np.concatenate([nothing, shared])
-    return place // stride, place % stride, common
+    owner, length = place // stride, place % stride
+    return owner, np.where(length > behind[owner], length + max(0, size - 1), length), common
 
 
 Piece = tuple[int, int, int, int, bytes]  # core, doc_id, digest, start, bytes
 
 
-def _met_pieces(bucket: list[Piece], at: list[int], core: int) -> list[Piece]:
-    """The pieces of those in the bucket, one split further, whose core another one has."""
+def _met_pieces(bucket: list[Piece], at: list[int], core: int) -> tuple[list[Piece], list[int], list[int]]:
+    """The pieces of those in the bucket, one split further, whose core another one has; place and number of their cores."""
     grown = core + (LENGTH - core + 1) // 2
     first: dict[bytes, int] = {}
-    split: list[Piece] = []
+    split: list[tuple[Piece, int, int]] = []
     met: list[bool] = []
     for (key, doc_id, digest, start, part), here in zip(bucket, at):
         for low, past, place in _pieces(part, here, core):
             other = first.setdefault(part[place : place + grown], len(split))
             met.append(other != len(split))
             met[other] |= met[-1]
-            split.append((key, doc_id, digest, start + low, part[low:past]))
-    return [piece for piece, again in zip(split, met) if again]
+            split.append(((key, doc_id, digest, start + low, part[low:past]), place - low, other))
+    kept = [one for one, again in zip(split, met) if again]
+    return [one[0] for one in kept], [one[1] for one in kept], [one[2] for one in kept]
 
 
-def _earlier(bucket: list[Piece]) -> list[tuple[int, int, int, int]]:
+def _earlier(bucket: list[Piece], at: list[int], core: int) -> list[tuple[int, int, int, int]]:
     """Spans of bytes whose strings lie earlier in another piece of the bucket."""
+    bucket, places, cores = _met_pieces(bucket, at, core)
     if not bucket:
         return []
-    owner, length, common = suffix_array([piece[4] for piece in bucket])
+    # Equal strings have equal cores at equal places, so those can be one symbol.
+    owner, length, common = suffix_array([piece[4] for piece in bucket], places, cores, core + (LENGTH - core + 1) // 2)
     group = np.cumsum(common < LENGTH)
     sizes = np.bincount(group)
     many = sizes[group] > 1
@@ -317,12 +341,12 @@ def _compare(batches: Iterator[pa.RecordBatch], core: int) -> Iterator[pa.Record
         columns = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
         for piece, place in zip(zip(*columns), places):
             if len(bucket) >= BUCKET and piece[0] != bucket[-1][0]:
-                yield _span_batch(_earlier(_met_pieces(bucket, at, core)))
+                yield _span_batch(_earlier(bucket, at, core))
                 bucket, at = [], []
             bucket.append(piece)
             at.append(place)
     if bucket:
-        yield _span_batch(_earlier(_met_pieces(bucket, at, core)))
+        yield _span_batch(_earlier(bucket, at, core))
 
 
 def _copied(rows: DataFrame, alike: DataFrame, keys: list[str]) -> DataFrame:

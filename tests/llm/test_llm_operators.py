@@ -202,6 +202,52 @@ def test_suffix_array():
         assert a[:n] == b[:n] and a[n : n + 1] != b[n : n + 1] or n == min(len(a), len(b))
 
 
+def test_suffix_array_of_parts_with_cores():
+    rng = random.Random(8)
+    for size in (1, 2, 5, 9):
+        known = [bytes(rng.choices(b"ab", k=size)) for _ in range(3)]
+        cores = [rng.randrange(3) for _ in range(60)]
+        cores = [known.index(known[core]) for core in cores]
+        at = [rng.randrange(5) for _ in cores]
+        parts = [bytes(rng.choices(b"ab", k=k)) + known[c] + bytes(rng.choices(b"ab", k=rng.randrange(5))) for k, c in zip(at, cores)]
+        owner, length, common = (x.tolist() for x in repeats.suffix_array(parts, at, cores, size))
+        starts = [len(parts[o]) - n for o, n in zip(owner, length)]
+        outside = [(k, b) for k, part in enumerate(parts) for b in range(len(part) + 1) if not at[k] < b < at[k] + size]
+        assert sorted(zip(owner, starts)) == outside
+
+        def symbols(k):  # of the suffix, with its core as one symbol of its length
+            part, here = parts[owner[k]], at[owner[k]]
+            if starts[k] > here:
+                return [(x, 1) for x in part[starts[k] :]]
+            head, tail = part[starts[k] : here], part[here + size :]
+            return [(x, 1) for x in head] + [(256 + cores[owner[k]], size)] + [(x, 1) for x in tail]
+
+        rows = [symbols(k) for k in range(len(owner))]
+        assert rows == sorted(rows)
+        for before, row, n in zip(rows, rows[1:], common[1:]):
+            same = 0
+            while same < min(len(before), len(row)) and before[same] == row[same]:
+                same += 1
+            assert n == sum(weight for _, weight in row[:same])
+
+
+def test_columns_of_a_bucket_are_the_bytes_beside_the_cores(monkeypatch):
+    rng = np.random.default_rng(6)
+    core = rng.integers(0, 256, 83, dtype=np.uint8).tobytes()
+    sides = [rng.integers(0, 256, 17, dtype=np.uint8).tobytes() for _ in range(3)]
+    bucket = [(1, k, 0, 0, sides[k] + core + sides[2]) for k in range(2)]
+    bucket.append((1, 2, 0, 50, sides[0] + core + sides[2][:5]))
+    rounds = []
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **b: rounds.append(1) or argsort(*a, **b))
+    # The second has the last string of the first, the third its first six.
+    found = sorted(repeats._earlier(bucket, [17, 17, 17], 66))
+    monkeypatch.undo()
+    gone = {(k, b) for k, _, first, past in found for b in range(first, past)}
+    assert gone == {(1, b) for b in range(17, 117)} | {(2, b) for b in range(50, 155)}
+    assert len(rounds) < 50  # a round per byte would be 117
+
+
 def test_near_duplicates_equal_brute_force(spark, docs):
     rng = random.Random(3)
     near = []
