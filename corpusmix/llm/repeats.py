@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from hashlib import blake2b, sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1  # substrings in a string
 CHUNK = 1 << 20
+PARTS = 5_000  # that are cut at once
 BUCKET = 2_000  # different pieces that are compared at once
 SPREAD = 1 << 16
 NO_ID = -(1 << 63)
@@ -178,8 +180,16 @@ def _pieces(part: bytes, at: int, core: int) -> Iterator[tuple[int, int, int]]:
         yield low, len(part), at
 
 
-def _piece_batch(found: Iterator[tuple[int, int, int, int, bytes]], core: int) -> pa.RecordBatch:
-    """Pieces of parts given as doc_id, digest, start, place of the core, bytes."""
+Part = tuple[int, int, int, int, bytes]  # doc_id, digest, start, place of the core, bytes
+
+
+def _piece_batches(found: Iterator[Part], core: int) -> Iterator[pa.RecordBatch]:
+    while parts := list(islice(found, PARTS)):
+        yield _piece_batch(parts, core)
+
+
+def _piece_batch(found: list[Part], core: int) -> pa.RecordBatch:
+    """The pieces of parts."""
     grown = core + (LENGTH - core + 1) // 2
     out = []
     for doc_id, digest, start, at, part in found:
@@ -196,23 +206,25 @@ def _piece_batch(found: Iterator[tuple[int, int, int, int, bytes]], core: int) -
     )
 
 
+def _wanted_parts(batch: pa.RecordBatch) -> Iterator[Part]:
+    wanted = batch.column(3)
+    rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), wanted.value_lengths().to_pylist())
+    starts, shapes = (iter(column.to_pylist()) for column in wanted.flatten().flatten())
+    for doc_id, digest, text, count in rows:
+        data = (text.as_py() or "").encode("utf-8")
+        for start, shape in islice(zip(starts, shapes), count):
+            yield doc_id, digest, start, shape >> 8, data[start : start + (shape & 255) + LENGTH - 1]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pieces of wanted segments."""
-    for batch in batches:
-        ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-        for (doc_id, digest), text, wanted in zip(ids, batch.column(2), batch.column(3)):
-            data = (text.as_py() or "").encode("utf-8")
-            found = (
-                (doc_id, digest, one["start"], one["shape"] >> 8, data[one["start"] : one["start"] + (one["shape"] & 255) + LENGTH - 1])
-                for one in wanted.as_py()
-            )
-            yield _piece_batch(found, GRAM)
+    yield from _piece_batches((part for batch in batches for part in _wanted_parts(batch)), GRAM)
 
 
 def _split(batches: Iterator[pa.RecordBatch], core: int) -> Iterator[pa.RecordBatch]:
     """Pieces, given as doc_id, digest, start, at, bytes, with the core that is next."""
-    for batch in batches:
-        yield _piece_batch(zip(*(column.to_pylist() for column in batch.columns)), core)
+    parts = (part for batch in batches for part in zip(*(column.to_pylist() for column in batch.columns)))
+    yield from _piece_batches(parts, core)
 
 
 def suffix_array(

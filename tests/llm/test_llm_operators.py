@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -248,6 +249,28 @@ def test_columns_of_a_bucket_are_the_bytes_beside_the_cores(monkeypatch):
     assert len(rounds) < 50  # a round per byte would be 117
 
 
+def test_cut_pieces_fill_batches_over_documents(monkeypatch):
+    texts = [prose(70 + k, 9) for k in range(7)]
+    # (first string, place of the anchor in it, strings)
+    wanted = [[], [(0, 68, 1)], [(3, 40, 2), (9, 10, 3)], [], [(0, 0, 1)], [(5, 60, 9)] * 4, []]
+    spans = pa.array(
+        [[{"start": a, "shape": b << 8 | c} for a, b, c in row] for row in wanted], pa.list_(pa.struct([("start", pa.int64()), ("shape", pa.int32())]))
+    )
+    columns = [pa.array(range(7), pa.int64()), pa.array([0] * 7, pa.int64()), pa.array(texts), spans]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "text", "wanted"])
+    expected = [
+        (k, a + low, texts[k].encode()[a + low : a + past])
+        for k, row in enumerate(wanted)
+        for a, b, c in row
+        for low, past, _ in repeats._pieces(texts[k].encode()[a : a + c + 99], b, 32)
+    ]
+    for parts, count in ((repeats.PARTS, 1), (3, 3)):
+        monkeypatch.setattr(repeats, "PARTS", parts)
+        made = list(repeats._cut(iter([batch.slice(0, 3), batch.slice(3)])))
+        found = [(r["doc_id"], r["start"], r["bytes"]) for one in made for r in one.to_pylist()]
+        assert found == expected and len(made) == count
+
+
 def test_near_duplicates_equal_brute_force(spark, docs):
     rng = random.Random(3)
     near = []
