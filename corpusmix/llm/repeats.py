@@ -16,8 +16,9 @@ Different pieces of one core meet in buckets of bounded size, and a suffix array
 each bucket column by column: every round puts one more symbol in front of one suffix of each piece, and the
 order and the common prefixes of all suffixes follow from those of the round before
 and the symbols in front of them (the Burrows-Wheeler transform of the bucket). A round
-reads and writes whole arrays in sequence; a piece has fewer than 200 symbols, so there are as
-few rounds, however long the documents are.
+reads and writes whole arrays in sequence. The bytes that pieces share as their core are one symbol, as equal
+strings have equal cores at equal places, so a piece of a bucket has at most 35 symbols, and there are as few
+rounds, however long the documents are.
 """
 
 from __future__ import annotations
